@@ -13,7 +13,7 @@ from farekit.operators import baseline, encode, popularity
 from farekit.operators.validation import Vocabularies
 from farekit.plans import features, multiplier, training
 from farekit.plans.quoting import QuoteContext
-from farekit.session import stage
+from farekit.session import stage, stage_evenly
 from farekit.sources import fixtures
 
 TRAINING_DATE = "2025-01-01"
@@ -97,15 +97,13 @@ def fare_fit(spark: SparkSession, sf_dir: str, preset: str = "gbt") -> FareFit:
     return _once(spark, (sf_dir, preset), make)
 
 
-def ratio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = fixtures.quotes(spark, sf_dir, "fare_key")
-    return multiplier.numeric_class(baseline.with_ratio(quotes))
+def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baseline.with_ratio(fixtures.quotes(spark, sf_dir, "fare_key"))
 
 
 def notebook_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
     def make():
-        rows = stage(ratio_features(spark, sf_dir), "ratios")
-        train, held_out = encode.split_with_fallback(rows, F.col("fare_key"))
+        train, held_out = multiplier.training_ratios(ratios(spark, sf_dir), "fare_key")
         return multiplier.notebook_pipeline(**CHECK_STEPS).fit(train), train, held_out
 
     return _once(spark, (sf_dir, "notebook"), make)
@@ -113,9 +111,8 @@ def notebook_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataF
 
 def stored_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     def make():
-        rows = stage(
-            ratio_features(spark, sf_dir).withColumnRenamed("price_ratio", "price_multiplier"), "multipliers"
-        )
+        labelled = ratios(spark, sf_dir).withColumnRenamed("price_ratio", "price_multiplier")
+        rows = stage_evenly(labelled, "multipliers", "fare_key")
         return multiplier.stored_pipeline(**CHECK_STEPS).fit(rows), rows
 
     return _once(spark, (sf_dir, "stored"), make)

@@ -13,6 +13,7 @@ from farekit.catalog.registry import query
 from farekit.catalog.views import FARES, with_fares, with_priced, with_quotes
 from farekit.operators import baseline, encode, popularity
 from farekit.plans import features, multiplier, training
+from farekit.session import stage
 from farekit.sources import fixtures
 
 _LABELS_SQL = f"""labelled AS (
@@ -55,7 +56,7 @@ _SLOTS_SQL = (
 @query("m02_one_hot", _SLOTS_SQL)
 def m02(spark, sf_dir):
     """The one-hot slot of every label of every fare."""
-    rows = _labelled(spark, sf_dir)
+    rows = stage(_labelled(spark, sf_dir), "labels")  # read twice: to count labels and to encode
     encoded = Pipeline(stages=training.encoding_stages()[:2]).fit(rows).transform(rows)
     slot = lambda name: (F.array_position(vector_to_array(f"{name}_encoded"), 1.0) - 1).cast("int")
     return encoded.select("fare_key", *[slot(name).alias(f"{name}_slot") for name in features.CATEGORICAL])
@@ -83,7 +84,7 @@ FROM ({_NUMBERS_SQL}) f"""),
 )
 def m03(spark, sf_dir):
     """Width and sum of the assembled vector: seven ones and twelve numbers."""
-    rows = inputs.training_features(spark, sf_dir)
+    rows = stage(inputs.training_features(spark, sf_dir), "features")
     rows = popularity.add_popularity(rows, popularity.popularity_table(rows))
     encoded = Pipeline(stages=training.encoding_stages()[:3]).fit(rows).transform(rows)
     entries = vector_to_array("raw_features")
@@ -199,5 +200,5 @@ FROM quotes JOIN {_BASELINE_SQL} b USING (flight)"""),
 def m16(spark, sf_dir):
     assembler = multiplier.notebook_pipeline().getStages()[0]
     entries = vector_to_array("features")
-    rows = assembler.transform(inputs.ratio_features(spark, sf_dir))
+    rows = assembler.transform(multiplier.numeric_class(inputs.ratios(spark, sf_dir)))
     return rows.select("fare_key", entries[0].alias("entry_0"), entries[1].alias("entry_1"))

@@ -12,7 +12,7 @@ from farekit.catalog.views import with_checked, with_fares, with_filled
 from farekit.operators import validation
 from farekit.plans import quoting
 from farekit.session import scratch_path
-from farekit.sources import fixtures
+from farekit.sources import fixtures, schemas
 from farekit.streaming import scoring
 
 
@@ -137,8 +137,7 @@ def v12(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
-    schema = fixtures.table(spark, sf_dir, "events").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    files = spark.readStream.schema(schemas.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return fixtures.requests(files)
 
 

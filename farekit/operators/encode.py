@@ -23,9 +23,10 @@ def index_table(df: DataFrame, features: list[str]) -> DataFrame:
 
 def scaled(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``<column>_scaled``: the value over its sample standard deviation, not centred."""
-    spread = df.agg(*[F.stddev_samp(c).alias(c) for c in columns])
+    # One subquery for all columns, so the rows are read once more, not once per column.
+    spread = df.agg(F.struct(*[F.stddev_samp(c).alias(c) for c in columns]).alias("s")).scalar()
     return df.withColumns(
-        {f"{c}_scaled": rules.price_ratio(F.col(c).cast("double"), spread.select(c).scalar()) for c in columns}
+        {f"{c}_scaled": rules.price_ratio(F.col(c).cast("double"), spread.getField(c)) for c in columns}
     )
 
 

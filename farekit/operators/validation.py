@@ -31,22 +31,22 @@ class Vocabularies:
 
     @classmethod
     def of(cls, flights: DataFrame) -> Vocabularies:
-        """From a flights table. ``as_source`` and ``as_destination`` tell the roles a city was seen in."""
-        airlines = flights.select("airline").where(F.col("airline").isNotNull()).distinct()
-        roles = flights.select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("source_city").alias("city"), F.lit(True).alias("source")),
-                    F.struct(F.col("destination_city").alias("city"), F.lit(False).alias("source")),
-                )
-            ).alias("seen")
-        ).select("seen.*")
+        """From one pass over a flights table. Cities keep the roles they were seen in."""
+        kinds = {"airline": "airline", "source": "source_city", "destination": "destination_city"}
+        seen = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("name")) for kind, c in kinds.items()])
+        found = flights.select(F.explode(seen).alias("seen")).select("seen.*").where(F.col("name").isNotNull())
+        # Aggregated before the shuffle, so that a frequent name is one row per task.
+        names = stage(found.distinct(), "names")
+        airlines = names.where(F.col("kind") == "airline").select(F.col("name").alias("airline"))
         cities = (
-            roles.where(F.col("city").isNotNull())
-            .groupBy("city")
-            .agg(F.bool_or("source").alias("as_source"), F.bool_or(~F.col("source")).alias("as_destination"))
+            names.where(F.col("kind") != "airline")
+            .groupBy(F.col("name").alias("city"))
+            .agg(
+                F.bool_or(F.col("kind") == "source").alias("as_source"),
+                F.bool_or(F.col("kind") == "destination").alias("as_destination"),
+            )
         )
-        return cls(stage(airlines, "airlines"), stage(cities, "cities"))
+        return cls(airlines, cities)
 
     @property
     def city_names(self) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farekit.functions import rules
+from farekit.operators import encode
+from farekit.session import stage_evenly
 
 # The two multiplier presets.
 NOTEBOOK = {"factorSize": 4, "fitIntercept": True, "fitLinear": True, "regParam": 0.1, "maxIter": 50, "stepSize": 0.1}
@@ -66,6 +68,12 @@ def stored_pipeline(**overrides) -> Pipeline:
     )
 
 
+def training_ratios(ratios: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out ratio rows: nine parts in ten, or less where that holds out too few."""
+    rows = stage_evenly(numeric_class(ratios), "ratios", key)
+    return encode.split_with_fallback(rows, F.col(key))
+
+
 def score_multiplier(model: PipelineModel, quotes: DataFrame, prediction: str = "predicted_ratio") -> DataFrame:
     """Quotes with ``multiplier``, the prediction brought into its allowed range."""
     return model.transform(numeric_class(quotes)).withColumn(
@@ -75,4 +83,5 @@ def score_multiplier(model: PipelineModel, quotes: DataFrame, prediction: str =
 
 def price_scenarios(scored: DataFrame, base: Column | None = None) -> DataFrame:
     """Final price of each scored row on a base price."""
-    return scored.withColumn("final_price", rules.final_price(F.lit(SCENARIO_BASE) if base is None else base, F.col("multiplier")))
+    on = F.lit(SCENARIO_BASE) if base is None else base
+    return scored.withColumn("final_price", rules.final_price(on, F.col("multiplier")))

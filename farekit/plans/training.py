@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from farekit.operators import encode, popularity
 from farekit.operators.validation import Vocabularies
 from farekit.plans.features import CATEGORICAL, NUMERIC
-from farekit.session import shared_dir, stage
+from farekit.session import shared_dir, stage_evenly
 
 LABEL, PREDICTION = "price", "predicted_price"
 
@@ -51,14 +51,12 @@ def fare_pipeline(preset: str = "gbt", **overrides) -> Pipeline:
 def training_tables(flights: DataFrame, key: str, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Training rows, held-out rows and the popularity table of the training part.
 
-    The feature table is spread evenly by key and written to shared storage, so
-    that the passes of the fit read columns from files, the input order is the
-    same on every run, and a lost executor costs a re-read instead of the joins.
+    The feature table is written to shared storage first: the passes of the fit
+    then read only the columns they need, and a lost executor costs a re-read
+    instead of the joins. Popularity comes from the training part alone.
     """
-    spark = flights.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = flights.repartition(parts, key).sortWithinPartitions(key)
-    rows = stage(spread.withColumn("in_training", encode.in_training(F.col(key), percent)), "training")
+    marked = flights.withColumn("in_training", encode.in_training(F.col(key), percent))
+    rows = stage_evenly(marked, "training", key)
     train, held_out = rows.where("in_training"), rows.where(~F.col("in_training"))
     known = popularity.popularity_table(train)
     return (

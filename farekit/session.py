@@ -70,3 +70,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_evenly(df: DataFrame, label: str, key: str | None = None) -> DataFrame:
+    """Stage a table that several passes of a fit will read, dealt out evenly.
+
+    Rows are dealt out whatever keys are frequent, so no task gets a hot key, and
+    at least one part per core keeps every core busy. Spark sorts rows before
+    dealing them out, so a retried task gives the same parts. With ``key`` each
+    part is written in key order.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = df.repartition(parts)
+    return stage(dealt.sortWithinPartitions(key) if key else dealt, label)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from farekit.functions import rules
 from farekit.operators import pricing
-from farekit.sources import dims
+from farekit.sources import dims, schemas
 
 # Labels of the fixture's codes.
 _SLOT_OF_PRIORITY = dict(
@@ -46,7 +46,7 @@ FARE_COLUMNS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _relabel(code, labels: dict):
