@@ -77,10 +77,10 @@ def main() -> None:
     for name in HEADLINE:
         timed(name, lambda name=name: run(QUERIES[name](spark, SF_DIR)))
 
-    tables = inputs.training_features(spark, SF_DIR)
-    train, held_out, _ = timed("training_tables", lambda: training.training_tables(tables, "fare_key"))
-    model = timed(f"fit_gbt_{ROUNDS}_rounds", lambda: training.fit_fare_model(train, "gbt", maxIter=ROUNDS))
-    scored = model.transform(held_out)
+    features = inputs.training_features(spark, SF_DIR)
+    tables = timed("training_tables", lambda: training.training_tables(features, "fare_key"))
+    model = timed(f"fit_gbt_{ROUNDS}_rounds", lambda: training.fit_fare_model(tables.train, "gbt", maxIter=ROUNDS))
+    scored = model.transform(tables.held_out)
     quality = timed(
         "evaluate_gbt", lambda: encode.regression_metrics(scored, training.LABEL, training.PREDICTION).first()
     )
@@ -97,7 +97,7 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "cpus": CPUS,
-                "training_rows": train.count(),
+                "training_rows": tables.train.count(),
                 "held_out_r2": round(quality["r2"], 6),
                 "held_out_rmse": round(quality["rmse"], 3),
                 "held_out_mae": round(quality["mae"], 3),

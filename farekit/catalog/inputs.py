@@ -88,11 +88,11 @@ def _training_tables(spark: SparkSession, sf_dir: str):
 
 def fare_fit(spark: SparkSession, sf_dir: str, preset: str = "gbt") -> FareFit:
     def make():
-        train, held_out, known = _training_tables(spark, sf_dir)
+        tables = _training_tables(spark, sf_dir)
         params = CHECK_ROUNDS if preset == "gbt" else CHECK_TREES
-        model = training.fit_fare_model(train, preset, **params)
-        metrics = encode.regression_metrics(model.transform(held_out), "price", training.PREDICTION)
-        return FareFit(model, train, held_out, known, metrics.first()["r2"])
+        model = training.fit_fare_model(tables.train, preset, **params)
+        metrics = encode.regression_metrics(model.transform(tables.held_out), "price", training.PREDICTION)
+        return FareFit(model, tables.train, tables.held_out, tables.popularity, metrics.first()["r2"])
 
     return _once(spark, (sf_dir, preset), make)
 

@@ -192,4 +192,4 @@ def parse_date(text: Column) -> Column:
 
 def hash_bucket(key: Column, buckets: int = 100) -> Column:
     """A stable bucket 0..buckets-1 from the key alone: the same after any retry."""
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % F.lit(buckets)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from farekit.session import stage
 
+SCHEMA = "route string, route_frequency bigint, route_popularity_score double"
+
 # Given to a route the table does not know.
 DEFAULT_FREQUENCY = 100
 DEFAULT_SCORE = 0.5

@@ -48,6 +48,14 @@ class Vocabularies:
         )
         return cls(airlines, cities)
 
+    @classmethod
+    def from_metadata(cls, metadata: DataFrame) -> Vocabularies:
+        """From the stored metadata record of a model."""
+        return cls(
+            metadata.select(F.explode("valid_airlines").alias("airline")),
+            metadata.select(F.explode("valid_cities").alias("city")),
+        )
+
     @property
     def city_names(self) -> DataFrame:
         return self.cities.select("city")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -48,18 +50,29 @@ def fare_pipeline(preset: str = "gbt", **overrides) -> Pipeline:
     return Pipeline(stages=[*encoding_stages(), last])
 
 
-def training_tables(flights: DataFrame, key: str, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Training rows, held-out rows and the popularity table of the training part.
+@dataclass(frozen=True)
+class TrainingTables:
+    """Staged feature rows, their two parts with popularity, and the popularity table."""
+
+    rows: DataFrame
+    train: DataFrame
+    held_out: DataFrame
+    popularity: DataFrame
+
+
+def training_tables(flights: DataFrame, key: str, percent: int = 80) -> TrainingTables:
+    """Split feature rows by key and attach popularity, which the training part alone decides.
 
     The feature table is written to shared storage first: the passes of the fit
     then read only the columns they need, and a lost executor costs a re-read
-    instead of the joins. Popularity comes from the training part alone.
+    instead of the joins.
     """
     marked = flights.withColumn("in_training", encode.in_training(F.col(key), percent))
     rows = stage_evenly(marked, "training", key)
     train, held_out = rows.where("in_training"), rows.where(~F.col("in_training"))
     known = popularity.popularity_table(train)
-    return (
+    return TrainingTables(
+        rows,
         popularity.add_popularity(train.drop("in_training"), known),
         popularity.add_popularity(held_out.drop("in_training"), known, fallback=True),
         known,

@@ -20,6 +20,7 @@ def spark():
         spark__driver__memory="6g",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
