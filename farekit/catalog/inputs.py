@@ -13,7 +13,7 @@ from farekit.operators import baseline, encode, popularity
 from farekit.operators.validation import Vocabularies
 from farekit.plans import features, multiplier, training
 from farekit.plans.quoting import QuoteContext
-from farekit.session import stage, stage_evenly
+from farekit.session import stage, stage_for_passes
 from farekit.sources import fixtures
 
 TRAINING_DATE = "2025-01-01"
@@ -112,7 +112,7 @@ def notebook_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataF
 def stored_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     def make():
         labelled = ratios(spark, sf_dir).withColumnRenamed("price_ratio", "price_multiplier")
-        rows = stage_evenly(labelled, "multipliers", "fare_key")
+        rows = stage_for_passes(labelled, "multipliers")
         return multiplier.stored_pipeline(**CHECK_STEPS).fit(rows), rows
 
     return _once(spark, (sf_dir, "stored"), make)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from farekit.functions import rules
 from farekit.operators import encode
-from farekit.session import stage_evenly
+from farekit.session import stage_for_passes
 
 # The two multiplier presets.
 NOTEBOOK = {"factorSize": 4, "fitIntercept": True, "fitLinear": True, "regParam": 0.1, "maxIter": 50, "stepSize": 0.1}
@@ -70,7 +70,7 @@ def stored_pipeline(**overrides) -> Pipeline:
 
 def training_ratios(ratios: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Training and held-out ratio rows: nine parts in ten, or less where that holds out too few."""
-    rows = stage_evenly(numeric_class(ratios), "ratios", key)
+    rows = stage_for_passes(numeric_class(ratios), "ratios")
     return encode.split_with_fallback(rows, F.col(key))
 
 

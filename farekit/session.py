@@ -72,15 +72,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_evenly(df: DataFrame, label: str, key: str | None = None) -> DataFrame:
-    """Stage a table that several passes of a fit will read, dealt out evenly.
+def stage_for_passes(df: DataFrame, label: str) -> DataFrame:
+    """Stage a table that several passes of a fit will read.
 
-    Rows are dealt out whatever keys are frequent, so no task gets a hot key, and
-    at least one part per core keeps every core busy. Spark sorts rows before
-    dealing them out, so a retried task gives the same parts. With ``key`` each
-    part is written in key order.
+    A large table is written as its tasks produce it, without another shuffle:
+    scans cut its files into even splits, whatever keys are frequent. Only a
+    table too small to give every core a split is dealt out and written again.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    dealt = df.repartition(parts)
-    return stage(dealt.sortWithinPartitions(key) if key else dealt, label)
+    staged = stage(df, label)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if staged.rdd.getNumPartitions() >= cores:
+        return staged
+    return stage(staged.repartition(cores), label)
