@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   table folder (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_ROUNDS   boosting rounds of the timed fit (default 20)
+BENCH_ROUNDS   boosting rounds of the timed fit (default 100, the full preset)
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from farekit.plans import multiplier, training  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROUNDS = int(os.environ.get("BENCH_ROUNDS", "20"))
+ROUNDS = int(os.environ.get("BENCH_ROUNDS", "100"))
 
 HEADLINE = (
     "s01_typed_scan",

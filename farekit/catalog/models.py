@@ -139,7 +139,7 @@ def m08(spark, sf_dir):
     return model.transform(rows).select("fare_key", "days_left", "classx", "price_multiplier", "predicted_multiplier")
 
 
-@query("m09_fit_pipeline")
+@query("m09_fit_and_predict")
 def m09(spark, sf_dir):
     """Held-out rows with prediction and absolute error."""
     fit = inputs.fare_fit(spark, sf_dir)

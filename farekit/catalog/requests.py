@@ -8,7 +8,7 @@ from farekit.catalog import inputs
 from farekit.catalog.joins import _ROUTES_SQL
 from farekit.catalog.registry import query
 from farekit.catalog.scans import METADATA_SQL
-from farekit.catalog.views import with_checked, with_fares, with_filled
+from farekit.catalog.views import with_checked, with_fares, with_filled, with_quick
 from farekit.operators import validation
 from farekit.plans import quoting
 from farekit.session import scratch_path
@@ -115,6 +115,19 @@ def v10(spark, sf_dir):
     return _flat(quoting.quote(inputs.requests(spark, sf_dir), inputs.quote_context(spark, sf_dir))[0])
 
 
+_QUICK = (
+    "request_id", "departure_time", "cabin_class", "days_before_departure", "distance_km", "stops", "month",
+    "day_of_week", "is_weekend", "is_holiday", "flight_date",
+)
+
+
+@query("v11_quick_defaults", with_quick(f"SELECT {', '.join(_QUICK)} FROM filled"))
+def v11_defaults(spark, sf_dir):
+    asked = quoting.quick_request(inputs.requests(spark, sf_dir))
+    rows, _ = quoting.prepared(asked, inputs.quote_context(spark, sf_dir, scored=False))
+    return rows.select(*_QUICK)
+
+
 @query("v11_quick_quote")
 def v11(spark, sf_dir):
     asked = quoting.quick_request(inputs.requests(spark, sf_dir))

@@ -118,6 +118,14 @@ REQUESTS = """requests AS (
   FROM events
 )"""
 
+# The six-field form: three fields default, five are left open.
+QUICK_REQUESTS = REQUESTS.replace("requests AS", "asked AS") + """, requests AS (
+  SELECT request_id, airline, source_city, destination_city, coalesce(departure_time, 'Morning') AS departure_time,
+         coalesce(cabin_class, 'Economy') AS cabin_class, coalesce(days_before_departure, 30) AS days_before_departure,
+         CAST(NULL AS VARCHAR) AS flight_date, CAST(NULL AS DOUBLE) AS distance_km, stops, is_weekend, is_holiday
+  FROM asked
+)"""
+
 # One boolean per rule; a null value breaks only the required-field rule.
 CHECKED = """known_airlines AS (SELECT DISTINCT airline FROM fares),
 known_cities AS (SELECT source_city AS city FROM fares UNION SELECT destination_city FROM fares),
@@ -195,3 +203,4 @@ with_requests = _with(REQUESTS)
 with_checked = _with(FARES, REQUESTS, CHECKED)
 with_distances = _with(CITIES, DISTANCES, REQUESTS)
 with_filled = _with(FARES, REQUESTS, CHECKED, CITIES, DISTANCES, FILLED)
+with_quick = _with(FARES, QUICK_REQUESTS, CHECKED, CITIES, DISTANCES, FILLED)

@@ -191,5 +191,9 @@ def parse_date(text: Column) -> Column:
 
 
 def hash_bucket(key: Column, buckets: int = 100) -> Column:
-    """A stable bucket 0..buckets-1 from the key alone: the same after any retry."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    """A stable bucket 0..buckets-1 from the key alone: the same after any retry.
+
+    A null key counts as empty text, so that no row is left without a bucket.
+    """
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)

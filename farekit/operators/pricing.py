@@ -47,6 +47,11 @@ def add_holiday(df: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def add_route(df: DataFrame, routes: DataFrame) -> DataFrame:
+    """Attach the attributes of a route by ``route_id``, never by its pair of cities."""
+    return df.join(routes.drop("source_city", "destination_city"), "route_id", "left")
+
+
 def add_factors(
     flights: DataFrame,
     airlines: DataFrame,

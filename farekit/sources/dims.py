@@ -7,6 +7,7 @@ size and broadcasts it without a hint. None of them grows with the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations, product
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,6 +96,23 @@ DISTANCES = (
     ("Mumbai", "Chennai", 1030),
 )
 
+# Tourist routes (source, destination, km, multiplier, frequency).
+TOURIST_ROUTES = (
+    ("Mumbai", "Goa", 440, 1.1, "high"),
+    ("Delhi", "Srinagar", 660, 1.15, "medium"),
+    ("Bangalore", "Goa", 520, 1.1, "medium"),
+    ("Delhi", "Varanasi", 680, 1.0, "medium"),
+    ("Bangalore", "Kochi", 490, 1.05, "medium"),
+    ("Mumbai", "Jaipur", 920, 1.05, "medium"),
+    ("Chennai", "Coimbatore", 340, 0.95, "high"),
+    ("Delhi", "Lucknow", 500, 0.95, "high"),
+    ("Mumbai", "Indore", 590, 1.0, "medium"),
+)
+
+# Multiplier and frequency of routes by the tiers they link.
+METRO_ROUTE = (1.0, "high")
+REGIONAL_ROUTE = (0.95, "medium")
+
 # Stop labels and season labels in listing order.
 STOPS = ("zero", "one", "two_or_more")
 SEASONS = ("Winter", "Summer", "Monsoon", "Post_Monsoon")
@@ -157,3 +175,19 @@ def distances(spark: SparkSession) -> DataFrame:
     return raw.selectExpr(
         "least(city_x, city_y) AS city_a", "greatest(city_x, city_y) AS city_b", "CAST(km AS double) AS known_km"
     )
+
+
+def routes(spark: SparkSession) -> DataFrame:
+    """All routes under a ``route_id``; ``route_km`` is null where no fixed distance is known.
+
+    The tourist routes repeat pairs of cities under other attributes, so a pair
+    is not a key: join by ``route_id``.
+    """
+    metros = [name for name, _, _, tier in CITIES if tier == 1]
+    others = [name for name, _, _, tier in CITIES if tier > 1]
+    links = [(a, b, None, *METRO_ROUTE) for a, b in combinations(metros, 2)]
+    links += [(a, b, None, *REGIONAL_ROUTE) for a, b in product(metros, others)]
+    rows = tuple((i, *link) for i, link in enumerate((*links, *TOURIST_ROUTES), 1))
+    return values_table(
+        spark, rows, ("route_id", "source_city", "destination_city", "route_km", "route_multiplier", "route_frequency")
+    )

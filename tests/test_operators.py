@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from farekit.operators import baseline, encode, lookup, popularity, profile
+from farekit.operators import baseline, encode, lookup, popularity, pricing, profile
 from farekit.session import shared_dir, stage
 from farekit.sources import dims, fixtures
 
@@ -142,3 +142,18 @@ def test_staged_table_keeps_rows_and_schema(spark):
     assert staged.schema == df.schema
     assert sorted(staged.collect()) == sorted(df.collect())
     assert stage(df.where("n > 5"), "test").count() == 0
+
+
+def test_routes_are_keyed_by_id_not_by_pair(spark):
+    routes = dims.routes(spark)
+    assert routes.count() == 108
+    assert routes.select("source_city", "destination_city").distinct().count() == 99
+    flights = spark.createDataFrame([(1,), (100,), (999,)], "route_id int")
+    found = {r.route_id: (r.route_km, r.route_multiplier) for r in pricing.add_route(flights, routes).collect()}
+    assert found == {1: (None, 1.0), 100: (440, 1.1), 999: (None, None)}
+
+
+def test_rows_without_a_key_still_belong_to_a_part(spark):
+    rows = spark.createDataFrame([("a",), (None,), (None,)], "k string")
+    train, held_out = encode.split(rows, F.col("k"))
+    assert train.count() + held_out.count() == 3
