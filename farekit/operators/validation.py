@@ -36,17 +36,18 @@ class Vocabularies:
         seen = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("name")) for kind, c in kinds.items()])
         found = flights.select(F.explode(seen).alias("seen")).select("seen.*").where(F.col("name").isNotNull())
         # Aggregated before the shuffle, so that a frequent name is one row per task.
-        names = stage(found.distinct(), "names")
-        airlines = names.where(F.col("kind") == "airline").select(F.col("name").alias("airline"))
-        cities = (
-            names.where(F.col("kind") != "airline")
-            .groupBy(F.col("name").alias("city"))
-            .agg(
-                F.bool_or(F.col("kind") == "source").alias("as_source"),
-                F.bool_or(F.col("kind") == "destination").alias("as_destination"),
-            )
+        was = lambda kind: F.bool_or(F.col("kind") == kind)
+        names = stage(
+            found.groupBy("name").agg(
+                was("airline").alias("as_airline"),
+                was("source").alias("as_source"),
+                was("destination").alias("as_destination"),
+            ),
+            "names",
         )
-        return cls(airlines, cities)
+        airlines = names.where("as_airline").select(F.col("name").alias("airline"))
+        cities = names.where("as_source OR as_destination")
+        return cls(airlines, cities.select(F.col("name").alias("city"), "as_source", "as_destination"))
 
     @classmethod
     def from_metadata(cls, metadata: DataFrame) -> Vocabularies:

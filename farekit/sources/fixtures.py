@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from farekit.functions import rules
 from farekit.operators import pricing
+from farekit.session import stage
 from farekit.sources import dims, schemas
 
 # Labels of the fixture's codes.
@@ -168,7 +169,7 @@ def fixture_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = fixture_cities(spark, sf_dir).select("city", "city_name")
     first = names.select(F.col("city").alias("nation_a"), F.col("city_name").alias("city_a"))
     second = names.select(F.col("city").alias("nation_b"), F.col("city_name").alias("city_b"))
-    return (
+    pairs = (
         dims.distances(spark)
         .join(first, "city_a")
         .join(second, "city_b")
@@ -178,6 +179,8 @@ def fixture_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
             "known_km",
         )
     )
+    # Staged, because the optimizer overestimates the size of joins of small tables.
+    return stage(pairs, "distances")
 
 
 def priced_fares(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
