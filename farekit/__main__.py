@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from farekit.plans import jobs
+from farekit.plans import jobs, quoting
 from farekit.session import build_session
 from farekit.sources import readers, schemas
 
@@ -54,7 +54,7 @@ def main() -> None:
         read = readers.stream_requests if args.stream else readers.read_json_requests
         requests = read(spark, args.requests)
         if args.quick:
-            requests = jobs.quoting.quick_request(requests)
+            requests = quoting.quick_request(requests)
         jobs.quote_requests(requests, jobs.load_context(spark, args.trained, args.as_of), args.out)
 
 

@@ -11,7 +11,7 @@ from farekit.catalog.projections import _SEASON_SQL, _URGENCY_SQL
 from farekit.catalog.registry import query
 from farekit.catalog.views import AS_OF_DATE, with_fares, with_filled, with_priced, with_quotes, with_requests
 from farekit.functions import rules, texts
-from farekit.operators import baseline, popularity
+from farekit.operators import baseline, popularity, validation
 from farekit.plans import quoting
 from farekit.sources import fixtures
 
@@ -267,8 +267,6 @@ _F31 = (
 
 @query("f31_default_filling", with_filled(f"SELECT {', '.join(_F31)} FROM filled"))
 def f31(spark, sf_dir):
-    from farekit.operators import validation
-
     checked = validation.with_reasons(inputs.requests(spark, sf_dir), inputs.vocabularies(spark, sf_dir))
     filled = quoting.with_defaults(
         validation.accepted(checked), fixtures.fixture_distances(spark, sf_dir), AS_OF_DATE

@@ -94,6 +94,15 @@ def test_without_a_date_the_defaults_apply(spark):
     assert (row.is_holiday, row.stops, row.distance_km, row.flight_date) == (0, "zero", 1150.0, "Not specified")
 
 
+@pytest.mark.parametrize(("flag", "expected"), [(None, 1), (0, 0), (1, 1)])
+def test_an_open_holiday_flag_is_looked_up_when_asked(spark, flag, expected):
+    row = [tuple({**GOOD, "flight_date": "2025-10-20", "is_holiday": flag}[name] for name in GOOD)]
+    asked = spark.createDataFrame(row, schemas.REQUESTS)
+    filled = quoting.with_defaults(asked, dims.distances(spark), "2025-06-15", dims.calendar(spark))
+    assert filled.first().is_holiday == expected
+    assert _filled(spark, flight_date="2025-10-20", is_holiday=None).is_holiday == 0
+
+
 def test_quick_request_fills_three_fields_and_opens_the_rest(spark):
     row = [tuple({**GOOD, "cabin_class": None, "days_before_departure": None, "departure_time": None}[n] for n in GOOD)]
     quick = quoting.quick_request(spark.createDataFrame(row, schemas.REQUESTS)).first()
