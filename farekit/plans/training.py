@@ -129,6 +129,7 @@ def prediction_sample(predictions: DataFrame, *columns: str) -> DataFrame:
 def metadata_record(metrics: DataFrame, names: Vocabularies, rows: Column, training_date: str) -> DataFrame:
     """One row: vocabularies, metrics, training date and training rows.
 
+    The record's format asks for the vocabularies as arrays; they hold distinct names only.
     ``rows`` is a scalar column, such as the subquery that counts the training part.
     """
     airlines = names.airlines.select(F.array_sort(F.collect_list("airline"))).scalar()
