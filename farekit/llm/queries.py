@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import mixing, quality, sharding
+from farekit.llm import mixing, quality, sharding, simhash
 from farekit.session import stage
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op4_simhash_groups")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.grouped(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 OP5_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, text,
