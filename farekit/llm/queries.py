@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import mixing, quality, sharding, simhash
+from farekit.llm import decontaminate, mixing, quality, sharding, simhash
 from farekit.session import stage
 
 QUERIES: dict[str, Query] = {}
@@ -89,6 +89,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = quality.with_counts(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
