@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import decontaminate, mixing, quality, sharding, simhash
-from farekit.session import stage
+from farekit.llm import decontaminate, mixing, quality, repair, sharding, simhash
+from farekit.session import scratch_path, stage
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +89,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    repair.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return repair.token_index(spark, path)
+
+
 @query("op9_decontaminate")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
