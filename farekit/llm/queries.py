@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import decontaminate, mixing, quality, repair, sharding, simhash
+from farekit.llm import decontaminate, extract, mixing, quality, repair, sharding, simhash
 from farekit.session import scratch_path, stage
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_extract_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.with_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query("op4_simhash_groups")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents"))
