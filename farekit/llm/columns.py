@@ -39,6 +39,6 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in lowered])
 
 
-def fold(remainder_of: Column, modulus: int) -> Column:
-    """crc32 of an id written as text, modulo; null for a null id."""
-    return F.crc32(remainder_of.cast("string").cast("binary")) % modulus
+def fold(key: Column, modulus: int) -> Column:
+    """crc32 of an id written as text, modulo; a null id counts as crc32 0."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")), F.lit(0)) % modulus

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import decontaminate, extract, mixing, quality, repair, sharding, simhash
+from farekit.llm import decontaminate, extract, langid, mixing, quality, repair, sharding, simhash
+from farekit.llm.columns import fold
 from farekit.session import scratch_path, stage
 
 QUERIES: dict[str, Query] = {}
@@ -33,6 +34,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.with_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query("op3_language")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    found = langid.with_language(docs.select("doc_id", "text"), docs.where(~held_out).select("text", "lang"))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_simhash_groups")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents"))
