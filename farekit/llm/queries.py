@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import decontaminate, extract, langid, mixing, quality, repair, sharding, simhash
+from farekit.llm import decontaminate, extract, langid, mixing, quality, repair, sharding, simhash, toxicity
 from farekit.llm.columns import fold
 from farekit.session import scratch_path, stage
 
@@ -113,6 +113,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_index(spark, path)
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0).select(F.col("doc_id").alias("__id"), "toxic")
+    labelled = docs.where(~held_out).join(labels, F.col("doc_id") == F.col("__id")).select("text", "toxic")
+    scored = toxicity.with_toxicity(docs, labelled)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op9_decontaminate")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
