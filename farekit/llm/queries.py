@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import decontaminate, extract, langid, mixing, quality, repair, sharding, simhash, toxicity
+from farekit.llm import decontaminate, extract, hpyp, langid, mixing, quality, repair, sharding, simhash, toxicity
 from farekit.llm.columns import fold
 from farekit.session import scratch_path, stage
 
@@ -28,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_hpyp_score")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = hpyp.score_texts(docs, fold(F.col("doc_id"), 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("in_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "perplexity",
+    )
+
+
 @query("op2_extract_text")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
