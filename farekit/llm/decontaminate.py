@@ -19,7 +19,7 @@ SHORTEST = 24
 INDEX_CHARS = 1_000_000
 STREAM_CHARS = 1_000_000
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
 _FILTER_BITS = 22
 _GAP = np.uint32(0)
 _SPACE = np.uint32(32)
@@ -58,8 +58,8 @@ def _gram_hashes(codes: np.ndarray) -> np.ndarray:
     while width < Q:
         if len(h) <= width:
             return np.empty(0, dtype=np.uint64)
-        h = h[:-width] * base + h[width:]
-        base, width = base * base, width * 2
+        h = h[:-width] * np.uint64(base) + h[width:]
+        base, width = base * base % (1 << 64), width * 2
     return h ^ (h >> np.uint64(29))
 
 

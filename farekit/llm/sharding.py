@@ -132,15 +132,15 @@ def shard(
 
     Shard sizes differ by one row at most. The same rows and seed give the same
     result whatever the cluster, except that rows with equal keys may swap
-    places. Null keys are hashed like any value, an empty table stays empty, and
+    places; such rows are shuffled like all others. Null keys are hashed like any value, an empty table stays empty, and
     existing columns ``shard`` and ``slot`` are replaced. No task sees more than
     a partition or a block, both of ``partition_rows`` rows in the mean.
     """
     names = [F.col(name) for name in key]
     rows = without(docs, *ADDED)
 
-    def order(salt: int) -> Column:
-        return F.xxhash64(F.lit(seed + salt), *names)
+    def order(salt: int, *more: str) -> Column:
+        return F.xxhash64(F.lit(seed + salt), *names, *[F.col(c) for c in more])
 
     total = docs.select(*key[:1]).count()
     partitions = _power_of_two(total / partition_rows)
@@ -152,40 +152,33 @@ def shard(
         lambda i: F.aggregate(F.slice("counts", 1, i), F.lit(0).cast("long"), lambda a, x: a + x),
     )
     ends = matrix.select(F.col("part").alias("__part"), upto.alias("__ends"))
-
-    local = Window.partitionBy("__part").orderBy("__first", *names)
-    ranked = (
-        rows.withColumn("__part", part)
-        .withColumn("__first", order(1))
-        .withColumn("__rank", F.row_number().over(local))
-        .join(ends, "__part")
-    )
     blocks = _power_of_two(total / shards / partition_rows)
-    sent = ranked.withColumn(
-        "shard", F.size(F.filter("__ends", lambda end: end < F.col("__rank"))).cast("int")
-    ).withColumn("__second", order(2))
-    sent = sent.withColumn("__block", F.pmod(F.shiftright("__second", 40), F.lit(blocks)).cast("int")).drop(
-        "__part", "__first", "__rank", "__ends"
-    )
-    within = Window.partitionBy("shard", "__block").orderBy("__second", *names)
-    placed = sent.withColumn("__place", F.row_number().over(within))
-    # The block sizes come from the keys alone: a narrow pass, not another one over the rows.
-    thin = (
-        docs.select(*dict.fromkeys(key)).withColumn("__part", part).withColumn("__first", order(1))
-        .withColumn("__rank", F.row_number().over(local)).join(ends, "__part")
-        .select(
-            F.size(F.filter("__ends", lambda end: end < F.col("__rank"))).cast("int").alias("__shard"),
-            F.pmod(F.shiftright(order(2), 40), F.lit(blocks)).cast("int").alias("__of_block"),
+
+    def sent(df: DataFrame) -> DataFrame:
+        """Add __shard, __block and __second. Rows of equal keys are numbered, so that they part ways like any others."""
+        alike = Window.partitionBy("__part", *names).orderBy(names[0])
+        local = Window.partitionBy("__part").orderBy("__first", *names, "__copy")
+        return (
+            df.withColumn("__part", part)
+            .withColumn("__copy", F.row_number().over(alike))
+            .withColumn("__first", order(1, "__copy"))
+            .withColumn("__rank", F.row_number().over(local))
+            .join(ends, "__part")
+            .withColumn("__shard", F.size(F.filter("__ends", lambda end: end < F.col("__rank"))).cast("int"))
+            .withColumn("__second", order(2, "__copy"))
+            .withColumn("__block", F.pmod(F.shiftright("__second", 40), F.lit(blocks)).cast("int"))
+            .drop("__part", "__first", "__rank", "__ends")
         )
-    )
-    before = Window.partitionBy("__shard").orderBy("__of_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stage(
-        thin.groupBy("__shard", "__of_block").agg(F.count("*").alias("__n"))
-        .select("__shard", "__of_block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")),
-        "shard-blocks",
-    )
-    joined = placed.join(
-        starts, (F.col("shard") == F.col("__shard")) & (F.col("__block") == F.col("__of_block"))
+
+    # The block sizes come from the keys alone: a narrow pass, not another one over the rows.
+    block_sizes = sent(docs.select(*dict.fromkeys(key))).groupBy("__shard", "__block").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__shard").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = block_sizes.select(
+        F.col("__shard").alias("shard"), F.col("__block").alias("__of_block"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
+    within = Window.partitionBy("__shard", "__block").orderBy("__second", *names, "__copy")
+    placed = sent(rows).withColumn("__place", F.row_number().over(within))
+    same = (F.col("__shard") == F.col("shard")) & (F.col("__block") == F.col("__of_block"))
+    joined = placed.join(stage(starts, "shard-blocks"), same)
     slot = (F.col("__start") + F.col("__place") - 1).cast("long")
     return joined.withColumn("slot", slot).select(*rows.columns, "shard", "slot")
