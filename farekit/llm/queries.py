@@ -127,9 +127,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 5) == 0
-    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0).select(F.col("doc_id").alias("__id"), "toxic")
-    labelled = docs.where(~held_out).join(labels, F.col("doc_id") == F.col("__id")).select("text", "toxic")
-    scored = toxicity.with_toxicity(docs, labelled)
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
+    scored = toxicity.with_toxicity(docs, labels)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

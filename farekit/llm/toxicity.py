@@ -13,6 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farekit.session import stage
+
 # Labelled rows of each class that the lexicon and the weights are learnt from, chosen by a hash of the text.
 SAMPLE_ROWS = 3000
 # Prefixes of words that may become insults, and what one needs: texts it occurs in, log odds, standard deviations.
@@ -215,21 +217,28 @@ def fit(x: np.ndarray, y: np.ndarray, importance: np.ndarray, ridge: float = 1.0
     return weights
 
 
-def learn(labelled: DataFrame) -> dict:
-    """Lexicon and weights from labelled rows (text, toxic).
+def learn(docs: DataFrame, labels: DataFrame) -> dict:
+    """Lexicon and weights from documents (doc_id, text) and their labels (doc_id, toxic).
 
-    SAMPLE_ROWS rows of each class are taken by a hash of the text; they alone
-    reach the driver. Half of them, again by hash, give the lexicon, the other
-    half the weights, so that the weights see words as new texts have them; in
+    SAMPLE_ROWS labels of each class are taken by a hash of the id, before any
+    text is touched; that bounds the broadcast, and as many texts of each class
+    at most reach the driver. Of two halves each gives the lexicon by which the
+    other is scored, so that the weights see words as new texts have them; in
     the end the lexicon is learnt from all. The classes weigh as in the whole
     table. Rows without text or with another label are no examples. Without
-    examples of both classes every score is the share of toxic rows.
+    examples of both classes every score is the share of toxic labels.
     """
-    rows = labelled.where("text is not null").where(F.col("toxic").isin(0, 1)).select("text", F.col("toxic").cast("int").alias("toxic"))
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("text"), "text")
-    sampled = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_ROWS)
-    sample = _unlike([(r["text"], r["toxic"]) for r in sampled.orderBy("toxic", "n").collect()])
+    known = labels.where(F.col("toxic").isin(0, 1)).where("doc_id is not null").select(
+        F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic")
+    )
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    by_id = Window.partitionBy("toxic").orderBy(F.xxhash64("__id"), "__id")
+    chosen = known.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= SAMPLE_ROWS)
+    chosen = stage(chosen, "toxicity-sample")
+    texts = docs.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
+    again = Window.partitionBy("toxic").orderBy("n", "text")
+    sampled = texts.select("toxic", "n", "text").withColumn("k", F.row_number().over(again)).where(F.col("k") <= SAMPLE_ROWS)
+    sample = _unlike([(r["text"], r["toxic"]) for r in sampled.orderBy("toxic", "k").collect()])
     share = sizes.get(1, 0) / max(sum(sizes.values()), 1)
     weights = np.zeros(FEATURES)
     weights[0] = np.log((share + 1e-6) / (1 - share + 1e-6))
@@ -259,7 +268,7 @@ def _score_all(shared: Broadcast[dict]):
     return of_texts
 
 
-def with_toxicity(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+def with_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``score`` (0 to 1, higher for toxic) and ``predicted`` (score of 0.5 or more), replacing such columns.
 
     Clauses end at . ! ? ; and line ends. In a clause, insults and threats add
@@ -268,6 +277,6 @@ def with_toxicity(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     Whole texts are read; null and empty ones score like texts without a match.
     The broadcast model has LEXICON entries at most.
     """
-    model = docs.sparkSession.sparkContext.broadcast(learn(labelled))
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
     scored = docs.drop("score", "predicted").withColumn("score", _score_all(model)("text"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
