@@ -180,18 +180,18 @@ def a14(spark, sf_dir):
 
 
 _METRICS_SQL = with_priced("""
-SELECT round(sqrt(avg((composed_price - rule_price) * (composed_price - rule_price))), 6) AS rmse,
-       round(avg(abs(composed_price - rule_price)), 6) AS mae,
-       round(1 - sum((composed_price - rule_price) * (composed_price - rule_price))
-                 / (var_pop(composed_price) * count(*)), 6) AS r2,
-       round(avg(abs(composed_price - rule_price)) / avg(composed_price) * 100, 6) AS error_percent,
+SELECT round(sqrt(avg((price - rule_price) * (price - rule_price))), 6) AS rmse,
+       round(avg(abs(price - rule_price)), 6) AS mae,
+       round(1 - sum((price - rule_price) * (price - rule_price))
+                 / (var_pop(price) * count(*)), 6) AS r2,
+       round(avg(abs(price - rule_price)) / avg(price) * 100, 6) AS error_percent,
        count(*) AS n
 FROM priced WHERE key_hash % 100 >= 80""")
 
 
 def _rule_metrics(spark, sf_dir):
-    _, held_out = encode.split(fixtures.priced_fares(spark, sf_dir), F.col("fare_key"))
-    table = encode.regression_metrics(held_out, "composed_price", "rule_price")
+    _, held_out = encode.split(fixtures.priced_fares(spark, sf_dir, "price"), F.col("fare_key"))
+    table = encode.regression_metrics(held_out, "price", "rule_price")
     return table.select(*[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2", "error_percent")], "n")
 
 

@@ -13,17 +13,12 @@ from farekit.operators import baseline, encode, popularity
 from farekit.operators.validation import Vocabularies
 from farekit.plans import features, multiplier, training
 from farekit.plans.quoting import QuoteContext
-from farekit.session import stage, stage_for_passes
+from farekit.session import stage, stage_by_key
 from farekit.sources import fixtures
 
 TRAINING_DATE = "2025-01-01"
 AS_OF_DATE = "2025-06-15"
 
-# Rounds of the models fitted for a check; the bench fits the full preset.
-CHECK_ROUNDS = {"maxIter": 10}
-CHECK_TREES = {"numTrees": 10, "maxDepth": 6}
-CHECK_STEPS = {"maxIter": 10}
-
 
 def routed_fares(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     rows = fixtures.fares(spark, sf_dir, "source_city", "destination_city", *columns)
@@ -51,11 +46,9 @@ def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metadata record of the rule price as predictor, measured on the held-out part."""
-    rows = stage(
-        fixtures.priced_fares(spark, sf_dir).select("fare_key", "rule_price", "composed_price"), "rule-prices"
-    )
+    rows = stage(fixtures.priced_fares(spark, sf_dir, "price").select("fare_key", "rule_price", "price"), "rule-prices")
     train, held_out = encode.split(rows, F.col("fare_key"))
-    metrics = encode.regression_metrics(held_out, "composed_price", "rule_price")
+    metrics = encode.regression_metrics(held_out, "price", "rule_price")
     trained = train.select(F.count("*")).scalar()
     return training.metadata_record(metrics, vocabularies(spark, sf_dir), trained, TRAINING_DATE)
 
@@ -89,8 +82,7 @@ def _training_tables(spark: SparkSession, sf_dir: str):
 def fare_fit(spark: SparkSession, sf_dir: str, preset: str = "gbt") -> FareFit:
     def make():
         tables = _training_tables(spark, sf_dir)
-        params = CHECK_ROUNDS if preset == "gbt" else CHECK_TREES
-        model = training.fit_fare_model(tables.train, preset, **params)
+        model = training.fit_fare_model(tables.train, preset)
         metrics = encode.regression_metrics(model.transform(tables.held_out), "price", training.PREDICTION)
         return FareFit(model, tables.train, tables.held_out, tables.popularity, metrics.first()["r2"])
 
@@ -103,8 +95,8 @@ def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def notebook_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
     def make():
-        train, held_out = multiplier.training_ratios(ratios(spark, sf_dir), "fare_key")
-        return multiplier.notebook_pipeline(**CHECK_STEPS).fit(train), train, held_out
+        train, held_out, _ = multiplier.training_ratios(ratios(spark, sf_dir), "fare_key")
+        return multiplier.notebook_pipeline().fit(train), train, held_out
 
     return _once(spark, (sf_dir, "notebook"), make)
 
@@ -112,17 +104,22 @@ def notebook_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataF
 def stored_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     def make():
         labelled = ratios(spark, sf_dir).withColumnRenamed("price_ratio", "price_multiplier")
-        rows = stage_for_passes(labelled, "multipliers")
-        return multiplier.stored_pipeline(**CHECK_STEPS).fit(rows), rows
+        rows = stage_by_key(labelled, "multipliers", "fare_key")
+        train, held_out = encode.split(rows, F.col("fare_key"))
+        return multiplier.stored_pipeline().fit(train), held_out
 
     return _once(spark, (sf_dir, "stored"), make)
 
 
 def quote_context(spark: SparkSession, sf_dir: str, scored: bool = True) -> QuoteContext:
-    names = vocabularies(spark, sf_dir)
     distances = fixtures.fixture_distances(spark, sf_dir)
     if not scored:
-        known = popularity.popularity_table(routed_fares(spark, sf_dir))
-        return QuoteContext(names, distances, known, AS_OF_DATE)
+        # Names and routes come from one count of the fares by airline and cities.
+        rows = fixtures.fares(spark, sf_dir, "airline", "source_city", "destination_city")
+        counts = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+        counts = stage(counts.withColumn("route", rules.route_key(F.col("source_city"), F.col("destination_city"))), "flown")
+        known = popularity.popularity_of(counts.groupBy("route").agg(F.sum("n").alias("route_frequency")))
+        return QuoteContext(Vocabularies.of(counts), distances, known, AS_OF_DATE)
+    names = vocabularies(spark, sf_dir)
     fit = fare_fit(spark, sf_dir)
     return QuoteContext(names, distances, fit.popularity, AS_OF_DATE, fit.model, fit.r2)

@@ -111,10 +111,10 @@ SELECT date, dayname(date) AS day_of_week, count(*) AS n,
 FROM factors GROUP BY date"""
 
 
-@query("j08_day_attributes", with_priced(_BUSIEST_SQL + " ORDER BY n DESC, date LIMIT 50"))
+@query("j08_day_attributes", with_priced(_BUSIEST_SQL))
 def j08(spark, sf_dir):
     rows = pricing.add_holiday(fixtures.fares(spark, sf_dir, "date"), dims.yearly_calendar(spark))
-    return profile.busiest_days(rows, 50)
+    return profile.days(rows)
 
 
 @query("o05_top_days", with_priced(_BUSIEST_SQL + " ORDER BY n DESC, date LIMIT 5"))

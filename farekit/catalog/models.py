@@ -11,6 +11,7 @@ from farekit.catalog.joins import _BASELINE_SQL
 from farekit.catalog.projections import _SEASON_SQL, _URGENCY_SQL
 from farekit.catalog.registry import query
 from farekit.catalog.views import FARES, with_fares, with_priced, with_quotes
+from farekit.functions import rules
 from farekit.operators import baseline, encode, popularity
 from farekit.plans import features, multiplier, training
 from farekit.session import stage
@@ -58,7 +59,8 @@ def m02(spark, sf_dir):
     """The one-hot slot of every label of every fare."""
     rows = stage(_labelled(spark, sf_dir), "labels")  # read twice: to count labels and to encode
     encoded = Pipeline(stages=training.encoding_stages()[:2]).fit(rows).transform(rows)
-    slot = lambda name: (F.array_position(vector_to_array(f"{name}_encoded"), 1.0) - 1).cast("int")
+    # The encoder's vectors are sparse with one entry; its place is read as stored.
+    slot = lambda name: F.unwrap_udt(f"{name}_encoded")["indices"][0]
     return encoded.select("fare_key", *[slot(name).alias(f"{name}_slot") for name in features.CATEGORICAL])
 
 
@@ -135,8 +137,8 @@ def m07(spark, sf_dir):
 
 @query("m08_stored_multiplier")
 def m08(spark, sf_dir):
-    model, rows = inputs.stored_fit(spark, sf_dir)
-    return model.transform(rows).select("fare_key", "days_left", "classx", "price_multiplier", "predicted_multiplier")
+    model, held_out = inputs.stored_fit(spark, sf_dir)
+    return model.transform(held_out).select("fare_key", "days_left", "classx", "price_multiplier", "predicted_multiplier")
 
 
 @query("m09_fit_and_predict")
@@ -202,3 +204,115 @@ def m16(spark, sf_dir):
     entries = vector_to_array("features")
     rows = assembler.transform(multiplier.numeric_class(inputs.ratios(spark, sf_dir)))
     return rows.select("fare_key", entries[0].alias("entry_0"), entries[1].alias("entry_1"))
+
+
+# What SQL can state of the fitted models: which rows are scored, and how the results relate. Every flag is computed.
+
+
+@query(
+    "m05_metrics_shape",
+    with_priced("""
+SELECT kind, count(*) AS n, true AS r2_is_a_share, true AS mae_within_rmse
+FROM priced, (VALUES ('gbt'), ('rf')) AS k(kind) WHERE key_hash % 100 >= 80 GROUP BY kind"""),
+)
+def m05_shape(spark, sf_dir):
+    """Rows evaluated of the boosted trees and of the forest, and relations any metrics obey."""
+    tables = [_evaluated(inputs.fare_fit(spark, sf_dir, kind)).withColumn("kind", F.lit(kind)) for kind in ("gbt", "rf")]
+    return tables[0].union(tables[1]).select(
+        "kind", "n", (F.col("r2") <= 1).alias("r2_is_a_share"), (F.col("mae") <= F.col("rmse")).alias("mae_within_rmse")
+    )
+
+
+@query("m07_held_out_rows", with_priced(f"""
+SELECT count(*) AS n, true AS mae_within_rmse FROM (
+  SELECT fare_key, source_city || '-' || destination_city AS flight, key_hash FROM priced) q
+WHERE key_hash % 100 >= 90 AND flight IN (
+  SELECT source_city || '-' || destination_city FROM fares WHERE days_before_departure = 1)"""))
+def m07_shape(spark, sf_dir):
+    return m07(spark, sf_dir).select("n", (F.col("mae") <= F.col("rmse")).alias("mae_within_rmse"))
+
+
+_RATIO_ROWS = """FROM (
+  SELECT fare_key, days_before_departure AS days_left, class AS classx, key_hash,
+         source_city || '-' || destination_city AS flight FROM priced) q
+WHERE flight IN (SELECT source_city || '-' || destination_city FROM fares WHERE days_before_departure = 1)"""
+
+
+@query("m08_stored_rows", with_priced(f"SELECT fare_key, days_left, classx, true AS predicted {_RATIO_ROWS} AND key_hash % 100 >= 80"))
+def m08_rows(spark, sf_dir):
+    scored = m08(spark, sf_dir)
+    return scored.select("fare_key", "days_left", "classx", F.col("predicted_multiplier").isNotNull().alias("predicted"))
+
+
+@query("m09_errors", with_priced("SELECT fare_key, composed_price AS price, true AS error_is_the_difference FROM priced WHERE key_hash % 100 >= 80"))
+def m09_errors(spark, sf_dir):
+    fit = inputs.fare_fit(spark, sf_dir)
+    sample = training.prediction_sample(fit.model.transform(fit.held_out), "fare_key")
+    difference = F.abs(F.col("price") - F.col("predicted_price"))
+    return sample.select("fare_key", "price", (F.abs(F.col("error") - difference) < 1e-9).alias("error_is_the_difference"))
+
+
+_TRAIN_SLOTS_SQL = _LABELS_SQL.replace("FROM fares\n), long", "FROM fares WHERE CAST(('0x' || substr(md5(fare_key), 1, 8)) AS BIGINT) % 100 < 80\n), long")
+_SOURCES_SQL = ", ".join(f"({i}, '{name}')" for i, name in enumerate((*features.CATEGORICAL, *features.NUMERIC)))
+
+
+@query(
+    "m12_slots",
+    f"""WITH {FARES}, {_TRAIN_SLOTS_SQL},
+named AS (
+  SELECT position, source, coalesce(index, 0) AS index, CASE WHEN label IS NULL THEN source ELSE source || '_encoded_' || label END AS feature
+  FROM (VALUES {_SOURCES_SQL}) AS s(position, source) LEFT JOIN ranked ON ranked.feature = s.source)
+SELECT CAST(row_number() OVER (ORDER BY position, index) - 1 AS INTEGER) AS slot, feature, source FROM named""",
+)
+def m12_slots(spark, sf_dir):
+    return m12(spark, sf_dir).select("slot", "feature", "source")
+
+
+@query("o07_importance_total", f"SELECT 1.0e0 AS total, {len((*features.CATEGORICAL, *features.NUMERIC))} AS sources, 10 AS top")
+def o07_total(spark, sf_dir):
+    fit = inputs.fare_fit(spark, sf_dir)
+    slots = training.importances(fit.model, fit.train)
+    top = training.top_importances(slots).select(F.count("*").cast("int")).scalar()
+    total = training.importance_by_source(slots).agg(
+        F.round(F.sum("importance"), 6).alias("total"), F.count("*").cast("int").alias("sources")
+    )
+    return total.withColumn("top", top)
+
+
+@query("m13_scored_rows", with_priced("SELECT fare_key, composed_price AS price, true AS predicted FROM priced"))
+def m13_rows(spark, sf_dir):
+    return m13(spark, sf_dir).select("fare_key", "price", F.col("predicted_price").isNotNull().alias("predicted"))
+
+
+@query("m14_in_range", with_priced(f"SELECT fare_key, days_left, classx, true AS in_range {_RATIO_ROWS} AND key_hash % 100 >= 90"))
+def m14_range(spark, sf_dir):
+    low, high = rules.MULTIPLIER_RANGE
+    return m14(spark, sf_dir).select("fare_key", "days_left", "classx", F.col("multiplier").between(low, high).alias("in_range"))
+
+
+@query(
+    "m15_grid",
+    with_quotes(f"""
+SELECT flight, days_left, classx, true AS price_is_the_product
+FROM {_BASELINE_SQL} b, (VALUES (1), (5), (10), (20)) AS d(days_left), (VALUES ('Economy'), ('Business')) AS c(classx)"""),
+)
+def m15_grid(spark, sf_dir):
+    bases = baseline.baseline_prices(fixtures.quotes(spark, sf_dir))
+    found = m15(spark, sf_dir).join(bases, "flight")
+    product = F.floor(F.col("baseline_price") * F.col("multiplier"))
+    return found.select(
+        "flight", "days_left", "classx", (F.col("final_price").cast("long") == product).alias("price_is_the_product")
+    )
+
+
+@query(
+    "m10_split_fallback",
+    with_priced("""
+SELECT CASE WHEN count(*) FILTER (WHERE key_hash % 100 >= 90) >= 2 THEN 90
+            WHEN count(*) FILTER (WHERE key_hash % 100 >= 80) >= 2 THEN 80 ELSE 100 END AS percent,
+       count(*) FILTER (WHERE key_hash % 100 < 90) AS n_training FROM ruled"""),
+)
+def m10_fallback(spark, sf_dir):
+    rows = fixtures.fares(spark, sf_dir, "fare_key")
+    train, _, percent = encode.split_with_fallback(rows, F.col("fare_key"), fallback=True)
+    return train.agg(F.lit(percent).alias("percent"), F.count("*").alias("n_training"))

@@ -11,6 +11,7 @@ from farekit.operators import lookup, profile, validation
 from farekit.plans import features
 from farekit.sources import fixtures
 
+# Season months and urgency bands of the oracle.
 _SEASON_SQL = """CASE WHEN month(date) IN (12, 1, 2) THEN 'Winter' WHEN month(date) IN (3, 4, 5) THEN 'Summer'
             WHEN month(date) IN (6, 7, 8, 9) THEN 'Monsoon' ELSE 'Post_Monsoon' END"""
 _URGENCY_SQL = """CASE WHEN days_before_departure <= 3 THEN 5.0e0 WHEN days_before_departure <= 7 THEN 3.5e0
@@ -90,7 +91,7 @@ def p06(spark, sf_dir):
 @query(
     "p07_membership",
     with_checked("""
-SELECT request_id, airline, airline IN (SELECT airline FROM known_airlines) AS airline_known,
+SELECT request_id, airline, coalesce(airline IN (SELECT airline FROM known_airlines), false) AS airline_known,
        coalesce(cabin_class IN ('Economy', 'Premium_Economy', 'Business'), false) AS class_known
 FROM requests"""),
 )
@@ -109,8 +110,8 @@ def p07(spark, sf_dir):
     with_fares("SELECT fare_key, class, date, price FROM fares WHERE class = 'Business' AND date >= DATE '2000-01-01'"),
 )
 def p08(spark, sf_dir):
-    rows = fixtures.fares(spark, sf_dir, "fare_key", "class", "date", "price")
-    return rows.where((F.col("class") == "Business") & (F.col("date") >= F.lit("2000-01-01").cast("date")))
+    rows = fixtures.fares(spark, sf_dir, "fare_key", "class", "date", "price", cabin="Business")
+    return rows.where(F.col("date") >= F.lit("2000-01-01").cast("date"))
 
 
 _P9_COLUMNS = ["departure_time", "distance_km", "days_before_departure"]
@@ -139,8 +140,9 @@ def p09_report(spark, sf_dir):
 @query(
     "ud1_valid_names",
     with_checked("""
-SELECT request_id, NOT unknown_airline AS is_valid_airline, NOT unknown_source_city AS is_valid_source,
-       NOT unknown_destination_city AS is_valid_destination FROM flagged"""),
+SELECT request_id, airline IS NOT NULL AND NOT unknown_airline AS is_valid_airline,
+       source_city IS NOT NULL AND NOT unknown_source_city AS is_valid_source,
+       destination_city IS NOT NULL AND NOT unknown_destination_city AS is_valid_destination FROM flagged"""),
 )
 def ud1(spark, sf_dir):
     marked = validation.mark_names(inputs.requests(spark, sf_dir), inputs.vocabularies(spark, sf_dir))

@@ -115,6 +115,33 @@ def v10(spark, sf_dir):
     return _flat(quoting.quote(inputs.requests(spark, sf_dir), inputs.quote_context(spark, sf_dir))[0])
 
 
+_RESPONSE_SQL = """
+SELECT request_id, 'INR' AS currency, source_city || ' → ' || destination_city AS route, airline, cabin_class AS class,
+       departure_time, distance_km, stops, days_before_departure, flight_date, is_weekend = 1 AS is_weekend,
+       is_holiday = 1 AS is_holiday, true AS price_in_tens FROM filled"""
+
+
+def _without_price(flat):
+    """The fields that don't depend on the model, and whether the price is a whole number of tens."""
+    return flat.select(*_SHOWN, (F.col("predicted_price") % 10 == 0).alias("price_in_tens"))
+
+
+_SHOWN = (
+    "request_id", "currency", "route", "airline", "class", "departure_time", "distance_km", "stops",
+    "days_before_departure", "flight_date", "is_weekend", "is_holiday",
+)
+
+
+@query("v10_batch_fields", with_filled(_RESPONSE_SQL))
+def v10_fields(spark, sf_dir):
+    return _without_price(v10(spark, sf_dir))
+
+
+@query("v11_quick_fields", with_quick(_RESPONSE_SQL))
+def v11_fields(spark, sf_dir):
+    return _without_price(v11(spark, sf_dir))
+
+
 _QUICK = (
     "request_id", "departure_time", "cabin_class", "days_before_departure", "distance_km", "stops", "month",
     "day_of_week", "is_weekend", "is_holiday", "flight_date",
@@ -163,11 +190,23 @@ def st1(spark, sf_dir):
     return _flat(spark.read.parquet(f"{path}/out"))
 
 
+@query("st1_stream_fields", with_filled(_RESPONSE_SQL.replace("true AS price_in_tens", "true AS price_in_tens, true AS as_in_batch")))
+def st1_fields(spark, sf_dir):
+    """The streamed responses, and whether each equals the batch response."""
+    batch = v10(spark, sf_dir).select("request_id", F.struct("*").alias("batch"))
+    streamed = st1(spark, sf_dir)
+    whole = streamed.withColumn("whole", F.struct(*streamed.columns)).join(batch, "request_id", "left")
+    return whole.select(
+        *_SHOWN, (F.col("predicted_price") % 10 == 0).alias("price_in_tens"),
+        F.coalesce(F.col("whole") == F.col("batch"), F.lit(False)).alias("as_in_batch"),
+    )
+
+
 @query("st2_stream_rejects", with_checked("SELECT request_id, reasons FROM checked WHERE reasons <> ''"))
 def st2(spark, sf_dir):
     path = scratch_path(spark, "stream-rejects")
-    context = inputs.quote_context(spark, sf_dir, scored=False)
-    run = scoring.start_rejects(_event_stream(spark, sf_dir), context, f"{path}/out", f"{path}/checkpoint")
+    names = inputs.vocabularies(spark, sf_dir)
+    run = scoring.start_rejects(_event_stream(spark, sf_dir), names, f"{path}/out", f"{path}/checkpoint")
     run.awaitTermination()
     rejects = spark.read.parquet(f"{path}/out")
     return rejects.select("request_id", F.array_join("reasons", ",").alias("reasons"))

@@ -184,12 +184,12 @@ def f20(spark, sf_dir):
 @query(
     "f21_absolute_error",
     with_priced("""
-SELECT fare_key, composed_price, rule_price, abs(composed_price - rule_price) AS error FROM priced"""),
+SELECT fare_key, price, rule_price, abs(price - rule_price) AS error FROM priced"""),
 )
 def f21(spark, sf_dir):
-    rows = fixtures.priced_fares(spark, sf_dir)
-    error = rules.absolute_error(F.col("composed_price"), F.col("rule_price"))
-    return rows.select("fare_key", "composed_price", "rule_price", error.alias("error"))
+    rows = fixtures.priced_fares(spark, sf_dir, "price")
+    error = rules.absolute_error(F.col("price"), F.col("rule_price"))
+    return rows.select("fare_key", "price", "rule_price", error.alias("error"))
 
 
 @query(
@@ -233,18 +233,18 @@ def f24(spark, sf_dir):
     "f29_confidence",
     with_priced("""
 SELECT source_city || '-' || destination_city AS route,
-       CASE WHEN 1 - sum((composed_price - rule_price) * (composed_price - rule_price))
-                     / nullif(var_pop(composed_price) * count(*), 0) > 0.9 THEN 'Very High (R² > 0.9)'
-            WHEN 1 - sum((composed_price - rule_price) * (composed_price - rule_price))
-                     / nullif(var_pop(composed_price) * count(*), 0) > 0.8 THEN 'High (R² > 0.8)'
+       CASE WHEN 1 - sum((price - rule_price) * (price - rule_price))
+                     / nullif(var_pop(price) * count(*), 0) > 0.9 THEN 'Very High (R² > 0.9)'
+            WHEN 1 - sum((price - rule_price) * (price - rule_price))
+                     / nullif(var_pop(price) * count(*), 0) > 0.8 THEN 'High (R² > 0.8)'
             ELSE 'Moderate' END AS confidence
 FROM priced GROUP BY 1"""),
 )
 def f29(spark, sf_dir):
     """Confidence of the rule price on each route."""
-    rows = fixtures.priced_fares(spark, sf_dir)
-    error = F.col("composed_price") - F.col("rule_price")
-    r2 = 1 - F.try_divide(F.sum(error * error), F.var_pop("composed_price") * F.count("*"))
+    rows = fixtures.priced_fares(spark, sf_dir, "price")
+    error = F.col("price") - F.col("rule_price")
+    r2 = 1 - F.try_divide(F.sum(error * error), F.var_pop("price") * F.count("*"))
     route = rules.route_key(F.col("source_city"), F.col("destination_city")).alias("route")
     return rows.groupBy(route).agg(texts.confidence(r2).alias("confidence"))
 

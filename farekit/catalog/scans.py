@@ -67,10 +67,10 @@ METADATA_SQL = with_priced(f"""
 SELECT (SELECT string_agg(airline, ',' ORDER BY airline) FROM (SELECT DISTINCT airline FROM fares)) AS airlines,
        (SELECT string_agg(city, ',' ORDER BY city)
         FROM (SELECT source_city AS city FROM fares UNION SELECT destination_city FROM fares)) AS cities,
-       round(sqrt(avg((composed_price - rule_price) * (composed_price - rule_price))), 6) AS rmse,
-       round(avg(abs(composed_price - rule_price)), 6) AS mae,
-       round(1 - sum((composed_price - rule_price) * (composed_price - rule_price))
-                 / (var_pop(composed_price) * count(*)), 6) AS r2,
+       round(sqrt(avg((price - rule_price) * (price - rule_price))), 6) AS rmse,
+       round(avg(abs(price - rule_price)), 6) AS mae,
+       round(1 - sum((price - rule_price) * (price - rule_price))
+                 / (var_pop(price) * count(*)), 6) AS r2,
        '{inputs.TRAINING_DATE}' AS training_date,
        (SELECT count(*) FROM priced WHERE key_hash % 100 < 80) AS total_flights_trained
 FROM priced WHERE key_hash % 100 >= 80""")
@@ -115,6 +115,16 @@ def s07(spark, sf_dir):
     return readers.load_model(path).transform(fitted).select("fare_key", "fitted_price", "predicted_price")
 
 
+@query("s07_reloaded_equals_fitted", with_priced("SELECT fare_key, true AS equal FROM priced WHERE key_hash % 100 >= 80"))
+def s07_equal(spark, sf_dir):
+    return s07(spark, sf_dir).select("fare_key", (F.col("fitted_price") == F.col("predicted_price")).alias("equal"))
+
+
+@query("s08_scored_rows", with_priced("SELECT fare_key, composed_price AS price, true AS predicted FROM priced WHERE key_hash % 100 >= 80"))
+def s08_rows(spark, sf_dir):
+    return s08(spark, sf_dir).select("fare_key", "price", F.col("predicted_price").isNotNull().alias("predicted"))
+
+
 @query("s08_model_source")
 def s08(spark, sf_dir):
     fit = inputs.fare_fit(spark, sf_dir)
@@ -130,6 +140,13 @@ def s09(spark, sf_dir):
     return readers.read_requests(spark, path)
 
 
+@query("s09_json_requests", with_requests("SELECT * FROM requests"))
+def s09_json(spark, sf_dir):
+    path = scratch_path(spark, "json-requests")
+    inputs.requests(spark, sf_dir).write.json(path)
+    return readers.read_json_requests(spark, path)
+
+
 @query(
     "s10_preview",
     with_fares("SELECT fare_key, airline, class, price FROM fares ORDER BY fare_key, price, airline, class LIMIT 10"),

@@ -6,7 +6,7 @@ from farekit.catalog.inputs import AS_OF_DATE
 from farekit.sources import dims
 from farekit.sources.fixtures import FIXTURE_AIRLINE_MULTIPLIERS, FIXTURE_AIRLINES
 
-_SLOTS = dims.values_sql(dims.SLOTS, ("slot", "slot_start", "slot_end", "slot_weight", "slot_multiplier"), "slots")
+_SLOTS = dims.values_sql(dims.SLOTS, ("slot", "slot_multiplier"), "slots")
 _CLASSES = dims.values_sql(dims.CLASSES, ("cabin", "class_multiplier", "cap_low", "cap_high"), "cabins")
 _AIRLINES = dims.values_sql(
     tuple(zip(FIXTURE_AIRLINES, FIXTURE_AIRLINE_MULTIPLIERS, strict=True)), ("carrier", "airline_multiplier"), "carriers"
@@ -95,26 +95,31 @@ PRICED = """ruled AS (
          CAST(('0x' || substr(md5(fare_key), 1, 8)) AS BIGINT) AS key_hash
   FROM factors
 ), priced AS (
-  SELECT *, CAST(greatest(least(CAST(trunc(rule_price * (0.92e0 + 0.16e0 * ((key_hash % 1000) / 1000.0e0))) AS INTEGER),
+  SELECT *, CAST(greatest(least(CAST(trunc(rule_price) AS INTEGER),
                                 cap_high), cap_low) AS INTEGER) AS composed_price
   FROM ruled
 )"""
 
 REQUESTS = """requests AS (
   SELECT event_id AS request_id,
-         CASE user_id % 7 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'LARGE' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN 'PROMO'
-              WHEN 4 THEN 'SMALL' WHEN 5 THEN 'STANDARD' ELSE 'UNKNOWN' END AS airline,
-         'NATION_' || CAST(user_id % 25 AS VARCHAR) AS source_city,
-         'NATION_' || CAST(event_id % 25 AS VARCHAR) AS destination_city,
-         CASE WHEN hour(ts) BETWEEN 4 AND 7 THEN 'Early_Morning' WHEN hour(ts) BETWEEN 8 AND 11 THEN 'Morning'
+         CASE WHEN event_id % 41 <> 7 THEN
+           CASE user_id % 7 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'LARGE' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN 'PROMO'
+                WHEN 4 THEN 'SMALL' WHEN 5 THEN 'STANDARD' ELSE 'UNKNOWN' END END AS airline,
+         CASE WHEN event_id % 43 <> 5 THEN 'NATION_' || CAST(user_id % 27 AS VARCHAR) END AS source_city,
+         CASE WHEN event_id % 47 <> 9 THEN 'NATION_' || CAST(event_id % 27 AS VARCHAR) END AS destination_city,
+         CASE WHEN event_id % 29 = 3 THEN 'Noon'
+              WHEN hour(ts) BETWEEN 4 AND 7 THEN 'Early_Morning' WHEN hour(ts) BETWEEN 8 AND 11 THEN 'Morning'
               WHEN hour(ts) BETWEEN 12 AND 15 THEN 'Afternoon' WHEN hour(ts) BETWEEN 16 AND 19 THEN 'Evening'
               WHEN hour(ts) BETWEEN 20 AND 23 THEN 'Night' END AS departure_time,
-         CASE event_type WHEN 'view' THEN 'Economy' WHEN 'click' THEN 'Economy' WHEN 'signup' THEN 'Premium_Economy'
-              WHEN 'purchase' THEN 'Business' ELSE event_type END AS cabin_class,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS days_before_departure,
+         CASE WHEN event_id % 37 <> 11 THEN
+           CASE event_type WHEN 'view' THEN 'Economy' WHEN 'click' THEN 'Economy' WHEN 'signup' THEN 'Premium_Economy'
+                WHEN 'purchase' THEN 'Business' ELSE event_type END END AS cabin_class,
+         CASE WHEN event_id % 31 <> 4 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS days_before_departure,
          CASE event_id % 50 WHEN 0 THEN '2025-13-01' WHEN 1 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS flight_date,
          CASE WHEN event_id % 3 <> 0 THEN value * 10 END AS distance_km,
-         CAST(NULL AS VARCHAR) AS stops, CAST(NULL AS INTEGER) AS is_weekend, CAST(NULL AS INTEGER) AS is_holiday
+         CASE event_id % 8 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' WHEN 2 THEN 'two_or_more' WHEN 3 THEN 'three' END AS stops,
+         CAST(CASE WHEN event_id % 11 <= 2 THEN event_id % 11 END AS INTEGER) AS is_weekend,
+         CAST(CASE WHEN event_id % 13 <= 2 THEN event_id % 13 END AS INTEGER) AS is_holiday
   FROM events
 )"""
 
@@ -122,7 +127,8 @@ REQUESTS = """requests AS (
 QUICK_REQUESTS = REQUESTS.replace("requests AS", "asked AS") + """, requests AS (
   SELECT request_id, airline, source_city, destination_city, coalesce(departure_time, 'Morning') AS departure_time,
          coalesce(cabin_class, 'Economy') AS cabin_class, coalesce(days_before_departure, 30) AS days_before_departure,
-         CAST(NULL AS VARCHAR) AS flight_date, CAST(NULL AS DOUBLE) AS distance_km, stops, is_weekend, is_holiday
+         CAST(NULL AS VARCHAR) AS flight_date, CAST(NULL AS DOUBLE) AS distance_km,
+         CAST(NULL AS VARCHAR) AS stops, CAST(NULL AS INTEGER) AS is_weekend, CAST(NULL AS INTEGER) AS is_holiday
   FROM asked
 )"""
 

@@ -21,6 +21,8 @@ def baseline_prices(quotes: DataFrame, by_class: bool = False) -> DataFrame:
 
 def with_baseline(quotes: DataFrame, by_class: bool = False) -> DataFrame:
     """Quotes with their baseline; flights without a one-day quote drop out."""
+    # Read twice, for the small aggregate and for the join: staged once, so the rows are made once.
+    quotes = stage(quotes, "quotes")
     baseline = stage(baseline_prices(quotes, by_class), "baseline")
     return quotes.join(baseline, ["flight", "classx"] if by_class else "flight", "inner")
 

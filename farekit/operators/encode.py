@@ -40,14 +40,22 @@ def split(df: DataFrame, key: Column, percent: int = 80) -> tuple[DataFrame, Dat
     return df.where(in_training(key, percent)), df.where(~in_training(key, percent))
 
 
-def split_with_fallback(df: DataFrame, key: Column, shares: tuple[int, ...] = (90, 80)) -> tuple[DataFrame, DataFrame]:
-    """The first share that holds out two rows or more; all rows twice when none does."""
+def split_with_fallback(
+    df: DataFrame, key: Column, shares: tuple[int, ...] = (90, 80), *, fallback: bool = False
+) -> tuple[DataFrame, DataFrame, int]:
+    """Training rows, held-out rows and the percentage of the split that made them.
+
+    The first share, unless ``fallback`` is asked for: then the first that holds
+    out two rows or more, and if none does, all rows twice under 100 percent.
+    """
+    if not fallback:
+        return *split(df, key, shares[0]), shares[0]
     held_out = [F.count_if(~in_training(key, percent)).alias(str(percent)) for percent in shares]
     sizes = df.agg(*held_out).first()
     for percent in shares:
         if sizes[str(percent)] >= 2:
-            return split(df, key, percent)
-    return df, df
+            return *split(df, key, percent), percent
+    return df, df, 100
 
 
 def regression_metrics(predictions: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -19,11 +19,16 @@ def route_counts(flights: DataFrame) -> DataFrame:
 
 
 def popularity_table(flights: DataFrame) -> DataFrame:
-    """Route, frequency and score, written once and read by later joins.
+    """Route, frequency and score of a flights table."""
+    return popularity_of(route_counts(flights))
+
+
+def popularity_of(counts: DataFrame) -> DataFrame:
+    """Route, frequency and score from (route, route_frequency), written once and read by later joins.
 
     The maximum is a scalar subquery over the small table, never collected.
     """
-    counts = stage(route_counts(flights), "route-counts")
+    counts = stage(counts, "route-counts")
     top = counts.select(F.max("route_frequency")).scalar()
     return counts.withColumn("route_popularity_score", F.col("route_frequency") / top)
 

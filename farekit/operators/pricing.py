@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farekit.functions import rules
@@ -75,11 +75,7 @@ def add_factors(
 
 
 def add_rule_price(factors: DataFrame) -> DataFrame:
-    """The factor product, without noise or caps."""
+    """The factor product ``rule_price``, and ``composed_price``: truncated, then capped by class."""
     product = rules.composed_price(F.col("distance_km"), [F.col(name) for name in FACTOR_ORDER])
-    return factors.withColumn("rule_price", product)
-
-
-def market_price(rule_price: Column, noise: Column, cabin: Column) -> Column:
-    """Noise, then truncation, then the cap of the class."""
-    return rules.cap_price(rules.truncate(rule_price * noise), cabin)
+    composed = rules.cap_price(rules.truncate(F.col("rule_price")), F.col("class"))
+    return factors.withColumn("rule_price", product).withColumn("composed_price", composed)

@@ -10,10 +10,6 @@ from pyspark.sql import Window
 from farekit.functions import rules, texts
 from farekit.session import stage
 
-# Values a single task may rank when the median is settled.
-RANKED_AT_ONCE = 100_000
-SLICES = 4096
-
 
 def stats_by(df: DataFrame, value: str, keys: list[str], *, spread: bool = True) -> DataFrame:
     """avg, count and, with ``spread``, min and max of a value by keys."""
@@ -40,21 +36,24 @@ def rows_per_day(df: DataFrame, days: int) -> Column:
     return F.count("*") / F.lit(days)
 
 
-def busiest_days(df: DataFrame, k: int) -> DataFrame:
-    """The k dates with most rows, each with weekday and a holiday or weekend label.
+def days(df: DataFrame) -> DataFrame:
+    """Every date with its rows, weekday and a holiday or weekend label.
 
     Expects ``date`` and ``holiday``; a holiday depends on the date alone, so it
     is carried through the same aggregation.
     """
     per_day = df.groupBy("date").agg(F.count("*").alias("n"), F.max("holiday").alias("holiday"))
     weekend = F.when(rules.weekend_flag(F.col("date")) == 1, "Weekend").otherwise("")
-    return (
-        per_day.orderBy(F.desc("n"), F.asc("date"))
-        .limit(k)
-        .select("date", rules.day_name(F.col("date")).alias("day_of_week"), "n", F.coalesce("holiday", weekend).alias("label"))
+    return per_day.select(
+        "date", rules.day_name(F.col("date")).alias("day_of_week"), "n", F.coalesce("holiday", weekend).alias("label")
     )
 
 
+def busiest_days(df: DataFrame, k: int) -> DataFrame:
+    """The k dates with most rows; ties go to the earlier date."""
+    return days(df).orderBy(F.desc("n"), F.asc("date")).limit(k)
+
+
 def summary(df: DataFrame, days: int) -> DataFrame:
     """One row: rows, rows per day, routes, mean price as text, date range as text."""
     return df.agg(
@@ -66,49 +65,41 @@ def summary(df: DataFrame, days: int) -> DataFrame:
     )
 
 
-def median(df: DataFrame, value: str, at_once: int = RANKED_AT_ONCE) -> DataFrame:
-    """The exact median as one row, without gathering the values in one task.
+def median(df: DataFrame, value: str) -> DataFrame:
+    """The exact median as one row, for every ordered type; null and NaN are left out.
 
-    Equal values are counted first. While the interval that holds the middle
-    ranks has more distinct values than one task should sort, it is cut into
-    equal slices and narrowed to the slices the middle ranks fall in. Only a
-    histogram of at most ``SLICES`` + 1 rows is ranked in each round, and each
-    round keeps one row of numbers on the driver.
+    Equal values are counted in their own type, the counts ranged by value, and
+    each range summed. Only ranges that hold a middle rank are ranked, and each
+    by its own task. An even number of values gives the mean of the middle two:
+    a double for floating point, a decimal otherwise.
     """
-    x = F.col("x")
-    counts = stage(
-        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-        .groupBy(F.col(value).cast("double").alias("x"))
-        .agg(F.count("*").alias("n")),
-        f"counts-{value}",
-    )
-    low, high, total = counts.agg(F.min("x"), F.max("x"), F.sum("n")).first()
-    if not total:
-        return counts.agg(F.max("x").alias("median"))
-    first, last = (total + 1) // 2, (total + 2) // 2
-    below, inside = 0, counts
-    while low < high and inside.count() > at_once:
-        sliced = inside.groupBy(F.floor((x - low) / ((high - low) / SLICES)).alias("slice")).agg(
-            F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-        )
-        upto = F.sum("n").over(Window.orderBy("slice")) + below
-        hit = (
-            sliced.select("n", "low", "high", upto.alias("upto"))
-            .where((F.col("upto") >= first) & (F.col("upto") - F.col("n") < last))
-            .agg(F.count("*"), F.min("low"), F.max("low"), F.min("high"), F.min(F.col("upto") - F.col("n")))
-            .first()
-        )
-        slices_hit, low, next_low, high, below = hit
-        if slices_hit == 2:
-            # The middle ranks are the last value of one slice and the first of the next.
-            inside = counts.where(x.isin(high, next_low))
-            return inside.agg(F.avg("x").alias("median"))
-        inside = counts.where(x.between(low, high))
-    upto = F.sum("n").over(Window.orderBy("x")) + below
-    ranked = inside.select("x", "n", upto.alias("upto"))
+    kind = df.schema[value].dataType
+    present = F.col(value).isNotNull()
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan(value)
+    counts = df.where(present).groupBy(F.col(value).alias("x")).agg(F.count("*").alias("n"))
+    ranged = stage(counts.repartitionByRange("x").withColumn("part", F.spark_partition_id()), f"ranges-{value}")
+    # One row per range: as many as the exchange has partitions.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("n"), F.min("x").alias("low"))
+    sums = sums.select("part", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("below"))
+    total = ranged.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    first, last = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
+    hit = sums.where((F.col("below") < last) & (F.col("below") + F.col("n") >= first)).select("part", "below")
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("x")) + F.col("below")
+    ranked = ranged.join(hit, "part").select("x", "n", upto.alias("upto"))
     middle = ranked.where((F.col("upto") >= first) & (F.col("upto") - F.col("n") < last))
     # Two values at most; one value stands for both ranks when it covers them.
-    return middle.agg(((F.min("x") + F.max("x")) / 2).alias("median"))
+    low, high = F.min("x"), F.max("x")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        mean = F.when(low == high, low).otherwise(low / 2 + high / 2)
+    elif isinstance(kind, T.NumericType):
+        whole = kind if isinstance(kind, T.DecimalType) else T.DecimalType(19, 0)
+        wide = T.DecimalType(min(whole.precision + 2, 38), min(whole.scale + 1, 37))
+        mean = (low.cast(wide) + (high.cast(wide) - low.cast(wide)) / 2).cast(wide)
+    else:
+        mean = low
+    return middle.agg(mean.alias("median"))
 
 
 def without_incomplete(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:

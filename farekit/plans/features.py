@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from farekit.functions import rules
 
+# The inputs of the stored model, in its order.
 CATEGORICAL = ("airline", "source_city", "destination_city", "departure_time", "class", "season", "day_of_week")
 NUMERIC = (
     "distance_km",

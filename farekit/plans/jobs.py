@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farekit.operators import baseline, encode, popularity, pricing, profile
+from farekit.operators import baseline, encode, popularity, pricing, profile, validation
 from farekit.operators.validation import Vocabularies
 from farekit.plans import features, multiplier, quoting, training
-from farekit.session import stage
+from farekit.session import scratch_scope, stage
 from farekit.sources import dims, readers, sinks
 from farekit.streaming import scoring
 
 YEAR_DAYS = 365
 
 
+def _job(function):
+    """A job that reads the table in its first argument and leaves nothing staged behind."""
+
+    @wraps(function)
+    def run(table: DataFrame, *args, **kwargs) -> None:
+        with scratch_scope(table.sparkSession):
+            function(table, *args, **kwargs)
+
+    return run
+
+
+@_job
 def report(flights: DataFrame, out: str, days: int = YEAR_DAYS) -> None:
     """Describe a flights table: one headed CSV per part of the report."""
     spark = flights.sparkSession
@@ -41,11 +55,18 @@ def report(flights: DataFrame, out: str, days: int = YEAR_DAYS) -> None:
         sinks.write_csv(table, f"{out}/{name}")
 
 
+@_job
 def train_fares(flights: DataFrame, out: str, training_date: str, preset: str = "gbt", **overrides) -> None:
-    """Fit the fare model and write model, metadata, popularity, importances and metrics."""
+    """Fit the fare model and write model, metadata, popularity, importances, metrics and the report of dropped rows.
+
+    Rows that lack a feature or the price are left out of training and of the
+    count of trained rows; ``dropped`` says how many were kept and dropped.
+    """
     columns = dict.fromkeys(("flight_id", *features.CATEGORICAL, *features.NUMERIC, "route", training.LABEL))
     columns.pop("route_popularity_score")
     rows = features.engineered_columns(flights).select(*columns)
+    rows, report_of_dropped = profile.without_incomplete(stage(rows, "features"), [c for c in columns if c != "flight_id"])
+    sinks.write_csv(report_of_dropped, f"{out}/dropped")
     tables = training.training_tables(rows, "flight_id")
     model = training.fit_fare_model(tables.train, preset, **overrides)
     sinks.save_model(model, f"{out}/model")
@@ -60,8 +81,15 @@ def train_fares(flights: DataFrame, out: str, training_date: str, preset: str =
     sinks.write_csv(training.importances(model, tables.train), f"{out}/importances")
 
 
-def fit_multiplier(quotes: DataFrame, out: str, preset: str = "notebook", **overrides) -> None:
-    """Describe quotes by lead time and class, fit the multiplier and price the scenarios."""
+@_job
+def fit_multiplier(
+    quotes: DataFrame, out: str, preset: str = "notebook", *, fallback: bool = False, **overrides
+) -> None:
+    """Describe quotes by lead time and class, fit the multiplier and price the scenarios.
+
+    ``fallback`` lets a table that holds out too few rows be split otherwise; the
+    metrics name the training percentage, 100 meaning that they are of training rows.
+    """
     quotes = stage(quotes, "quotes")
     for name, keys in {"by_days_left": ["days_left"], "by_class": ["classx"]}.items():
         sinks.write_csv(profile.stats_by(quotes, "price", keys).orderBy(*keys), f"{out}/{name}")
@@ -71,7 +99,7 @@ def fit_multiplier(quotes: DataFrame, out: str, preset: str = "notebook", **over
     sinks.write_csv(baseline.ratio_stats(ratios).orderBy("days_left", "classx"), f"{out}/ratios")
 
     key = F.concat_ws("|", "flight", "days_left", "classx", "price").alias("quote_key")
-    train, held_out = multiplier.training_ratios(ratios.withColumn("quote_key", key), "quote_key")
+    train, held_out, percent = multiplier.training_ratios(ratios.withColumn("quote_key", key), "quote_key", fallback=fallback)
     if preset == "stored":
         label, prediction = "price_multiplier", "predicted_multiplier"
         train = train.withColumnRenamed("price_ratio", label)
@@ -81,7 +109,8 @@ def fit_multiplier(quotes: DataFrame, out: str, preset: str = "notebook", **over
         label, prediction = "price_ratio", "predicted_ratio"
         model = multiplier.notebook_pipeline(**overrides).fit(train)
     sinks.save_model(model, f"{out}/model")
-    sinks.write_csv(encode.regression_metrics(model.transform(held_out), label, prediction), f"{out}/metrics")
+    metrics = encode.regression_metrics(model.transform(held_out), label, prediction)
+    sinks.write_csv(metrics.withColumn("training_percent", F.lit(percent)), f"{out}/metrics")
 
     grid = baseline.scenario_grid(
         baseline.baseline_prices(quotes), multiplier.SCENARIO_DAYS, multiplier.SCENARIO_CLASSES
@@ -104,16 +133,16 @@ def load_context(spark: SparkSession, trained: str, as_of_date: str) -> quoting.
     )
 
 
-def quote_requests(requests: DataFrame, context: quoting.QuoteContext, out: str) -> None:
-    """Score a request table, or a request stream until it has nothing new."""
+def quote_requests(requests: DataFrame, context: quoting.QuoteContext, out: str, trigger: dict | None = None) -> None:
+    """Score a request table, or a request stream: until it has nothing new, or as ``trigger`` says."""
     if requests.isStreaming:
-        runs = [
-            scoring.start_quotes(requests, context, f"{out}/quotes", f"{out}/checkpoints/quotes"),
-            scoring.start_rejects(requests, context, f"{out}/rejects", f"{out}/checkpoints/rejects"),
-        ]
-        for run in runs:
+        run = scoring.start_scoring(requests, context, out, f"{out}/checkpoints", trigger)
+        try:
             run.awaitTermination()
+        finally:
+            run.stop()
         return
-    quotes, rejects = quoting.quote(requests, context)
-    sinks.write_parquet(quotes, f"{out}/quotes")
-    sinks.write_parquet(rejects, f"{out}/rejects")
+    with scratch_scope(requests.sparkSession):
+        checked = stage(validation.with_reasons(requests, context.names), "checked")
+        sinks.write_parquet(quoting.quote_checked(checked, context), f"{out}/quotes")
+        sinks.write_parquet(validation.rejected(checked), f"{out}/rejects")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from farekit.functions import rules
 from farekit.operators import encode
-from farekit.session import stage_for_passes
+from farekit.session import stage_by_key
 
 # The two multiplier presets.
 NOTEBOOK = {"factorSize": 4, "fitIntercept": True, "fitLinear": True, "regParam": 0.1, "maxIter": 50, "stepSize": 0.1}
@@ -68,10 +68,10 @@ def stored_pipeline(**overrides) -> Pipeline:
     )
 
 
-def training_ratios(ratios: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out ratio rows: nine parts in ten, or less where that holds out too few."""
-    rows = stage_for_passes(numeric_class(ratios), "ratios")
-    return encode.split_with_fallback(rows, F.col(key))
+def training_ratios(ratios: DataFrame, key: str, *, fallback: bool = False) -> tuple[DataFrame, DataFrame, int]:
+    """Training and held-out ratio rows, and the training percentage: 90, or with ``fallback`` what the rows allow."""
+    rows = stage_by_key(numeric_class(ratios), "ratios", key)
+    return encode.split_with_fallback(rows, F.col(key), fallback=fallback)
 
 
 def score_multiplier(model: PipelineModel, quotes: DataFrame, prediction: str = "predicted_ratio") -> DataFrame:

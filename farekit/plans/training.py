@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from farekit.operators import encode, popularity
 from farekit.operators.validation import Vocabularies
 from farekit.plans.features import CATEGORICAL, NUMERIC
-from farekit.session import shared_dir, stage_for_passes
+from farekit.session import shared_dir, stage_by_key
 
 LABEL, PREDICTION = "price", "predicted_price"
 
@@ -68,7 +68,7 @@ def training_tables(flights: DataFrame, key: str, percent: int = 80) -> Training
     instead of the joins.
     """
     marked = flights.withColumn("in_training", encode.in_training(F.col(key), percent))
-    rows = stage_for_passes(marked, "training")
+    rows = stage_by_key(marked, "training", key)
     train, held_out = rows.where("in_training"), rows.where(~F.col("in_training"))
     known = popularity.popularity_table(train)
     return TrainingTables(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,30 +32,40 @@ def build_session(app_name: str = "farekit", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with its machine.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else a folder of the warehouse."""
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if configured:
-        if current is None:
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="farekit-"))
-        current = sc.getCheckpointDir()
-    return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_farekit"
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, whatever was staged inside. For jobs: their results are written elsewhere."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(configuration).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for one table or model in the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/farekit/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/farekit/{app}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -72,15 +83,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_for_passes(df: DataFrame, label: str) -> DataFrame:
-    """Stage a table that several passes of a fit will read.
+def stage_by_key(df: DataFrame, label: str, key: str) -> DataFrame:
+    """Stage a table that several passes of a fit will read, dealt out evenly by its key.
 
-    A large table is written as its tasks produce it, without another shuffle:
-    scans cut its files into even splits, whatever keys are frequent. Only a
-    table too small to give every core a split is dealt out and written again.
+    What a bagged tree samples depends on the layout of its input. The layout
+    is always this one, whatever the size of the table or the plan before it.
     """
-    staged = stage(df, label)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if staged.rdd.getNumPartitions() >= cores:
-        return staged
-    return stage(staged.repartition(cores), label)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(df.repartition(parts, key), label)

@@ -11,14 +11,14 @@ from itertools import combinations, product
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Carriers (name, multiplier, weight, on_time).
+# Carriers (name, multiplier).
 AIRLINES = (
-    ("IndiGo", 0.95, 40, 0.82),
-    ("Air_India", 1.05, 15, 0.75),
-    ("SpiceJet", 0.90, 15, 0.78),
-    ("Vistara", 1.20, 12, 0.85),
-    ("AirAsia_India", 0.88, 10, 0.80),
-    ("Akasa_Air", 0.92, 8, 0.83),
+    ("IndiGo", 0.95),
+    ("Air_India", 1.05),
+    ("SpiceJet", 0.90),
+    ("Vistara", 1.20),
+    ("AirAsia_India", 0.88),
+    ("Akasa_Air", 0.92),
 )
 
 # Cities (name, code, demand, tier).
@@ -45,13 +45,13 @@ CITIES = (
     ("Bhubaneswar", "BBI", 0.80, 3),
 )
 
-# Departure slots (name, start, end, weight, multiplier).
+# Departure slots (name, multiplier).
 SLOTS = (
-    ("Early_Morning", "04:00", "07:59", 15, 0.90),
-    ("Morning", "08:00", "11:59", 25, 1.05),
-    ("Afternoon", "12:00", "15:59", 20, 1.0),
-    ("Evening", "16:00", "19:59", 30, 1.15),
-    ("Night", "20:00", "23:59", 10, 0.95),
+    ("Early_Morning", 0.90),
+    ("Morning", 1.05),
+    ("Afternoon", 1.0),
+    ("Evening", 1.15),
+    ("Night", 0.95),
 )
 
 # Cabin classes (name, multiplier, lowest price, highest price).
@@ -96,22 +96,22 @@ DISTANCES = (
     ("Mumbai", "Chennai", 1030),
 )
 
-# Tourist routes (source, destination, km, multiplier, frequency).
+# Tourist routes (source, destination, km, multiplier).
 TOURIST_ROUTES = (
-    ("Mumbai", "Goa", 440, 1.1, "high"),
-    ("Delhi", "Srinagar", 660, 1.15, "medium"),
-    ("Bangalore", "Goa", 520, 1.1, "medium"),
-    ("Delhi", "Varanasi", 680, 1.0, "medium"),
-    ("Bangalore", "Kochi", 490, 1.05, "medium"),
-    ("Mumbai", "Jaipur", 920, 1.05, "medium"),
-    ("Chennai", "Coimbatore", 340, 0.95, "high"),
-    ("Delhi", "Lucknow", 500, 0.95, "high"),
-    ("Mumbai", "Indore", 590, 1.0, "medium"),
+    ("Mumbai", "Goa", 440, 1.1),
+    ("Delhi", "Srinagar", 660, 1.15),
+    ("Bangalore", "Goa", 520, 1.1),
+    ("Delhi", "Varanasi", 680, 1.0),
+    ("Bangalore", "Kochi", 490, 1.05),
+    ("Mumbai", "Jaipur", 920, 1.05),
+    ("Chennai", "Coimbatore", 340, 0.95),
+    ("Delhi", "Lucknow", 500, 0.95),
+    ("Mumbai", "Indore", 590, 1.0),
 )
 
-# Multiplier and frequency of routes by the tiers they link.
-METRO_ROUTE = (1.0, "high")
-REGIONAL_ROUTE = (0.95, "medium")
+# Multiplier of routes by the tiers they link.
+METRO_ROUTE = (1.0,)
+REGIONAL_ROUTE = (0.95,)
 
 # Stop labels and season labels in listing order.
 STOPS = ("zero", "one", "two_or_more")
@@ -140,7 +140,7 @@ def values_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[s
 
 
 def airlines(spark: SparkSession) -> DataFrame:
-    return values_table(spark, AIRLINES, ("airline", "airline_multiplier", "weight", "on_time"))
+    return values_table(spark, AIRLINES, ("airline", "airline_multiplier"))
 
 
 def cities(spark: SparkSession) -> DataFrame:
@@ -148,8 +148,7 @@ def cities(spark: SparkSession) -> DataFrame:
 
 
 def slots(spark: SparkSession) -> DataFrame:
-    names = ("departure_time", "slot_start", "slot_end", "slot_weight", "slot_multiplier")
-    return values_table(spark, SLOTS, names)
+    return values_table(spark, SLOTS, ("departure_time", "slot_multiplier"))
 
 
 def classes(spark: SparkSession) -> DataFrame:
@@ -177,17 +176,22 @@ def distances(spark: SparkSession) -> DataFrame:
     )
 
 
-def routes(spark: SparkSession) -> DataFrame:
-    """All routes under a ``route_id``; ``route_km`` is null where no fixed distance is known.
+def route_rows() -> tuple[tuple, ...]:
+    """(route_id, source, destination, km, multiplier) of all routes.
 
     The tourist routes repeat pairs of cities under other attributes, so a pair
-    is not a key: join by ``route_id``.
+    is not a key.
     """
     metros = [name for name, _, _, tier in CITIES if tier == 1]
     others = [name for name, _, _, tier in CITIES if tier > 1]
     links = [(a, b, None, *METRO_ROUTE) for a, b in combinations(metros, 2)]
     links += [(a, b, None, *REGIONAL_ROUTE) for a, b in product(metros, others)]
-    rows = tuple((i, *link) for i, link in enumerate((*links, *TOURIST_ROUTES), 1))
-    return values_table(
-        spark, rows, ("route_id", "source_city", "destination_city", "route_km", "route_multiplier", "route_frequency")
-    )
+    return tuple((i, *link) for i, link in enumerate((*links, *TOURIST_ROUTES), 1))
+
+
+ROUTE_COLUMNS = ("route_id", "source_city", "destination_city", "route_km", "route_multiplier")
+
+
+def routes(spark: SparkSession) -> DataFrame:
+    """All routes; ``route_km`` is null where no fixed distance is known. Join by ``route_id``."""
+    return values_table(spark, route_rows(), ROUTE_COLUMNS)

@@ -1,7 +1,8 @@
 """Fares, quotes and requests as views over the star-schema test tables.
 
-A view joins only the tables its requested columns need. The lookups are left
-joins on unique keys, so leaving one out never changes the rows.
+A view joins only the tables its requested columns need. The lookups are inner
+joins on unique keys to which every row refers, so leaving one out never
+changes the rows.
 """
 
 from __future__ import annotations
@@ -57,35 +58,42 @@ def _relabel(code, labels: dict):
     return chain
 
 
-def fares(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """One row per line item, with the given columns (all when none is named)."""
+def fares(spark: SparkSession, sf_dir: str, *columns: str, cabin: str | None = None) -> DataFrame:
+    """One row per line item, with the given columns (all when none is named).
+
+    ``cabin`` keeps one class. It is compared as its code, before the code is
+    relabelled, so that the scan can skip what it doesn't need.
+    """
     wanted = set(columns or FARE_COLUMNS)
     unknown = wanted - set(FARE_COLUMNS)
     if unknown:
         raise ValueError(f"not fares columns: {sorted(unknown)}")
 
     rows = table(spark, sf_dir, "lineitem")
+    if cabin is not None:
+        codes = [flag for flag, name in _CLASS_OF_FLAG.items() if name == cabin]
+        rows = rows.where(F.col("l_returnflag").isin(*codes))
     if wanted & (_NEEDS_ORDERS | _NEEDS_CUSTOMER):
         # Join the smaller tables first: line items are then shuffled once for both.
         orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
         if wanted & _NEEDS_CUSTOMER:
             customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-            orders = orders.join(customers, "o_custkey", "left")
-        rows = rows.join(orders, "l_orderkey", "left")
+            orders = orders.join(customers, "o_custkey")
+        rows = rows.join(orders, "l_orderkey")
     if wanted & _NEEDS_SUPPLIER:
         suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        rows = rows.join(suppliers, "l_suppkey", "left")
+        rows = rows.join(suppliers, "l_suppkey")
     if wanted & _NEEDS_PART:
         parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size")
-        rows = rows.join(parts, "l_partkey", "left")
+        rows = rows.join(parts, "l_partkey")
     # Names come last, so that only short keys and codes go through the shuffles.
     nation = table(spark, sf_dir, "nation")
     if wanted & _NEEDS_CUSTOMER:
         home = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination_city"))
-        rows = rows.join(home, "c_nationkey", "left")
+        rows = rows.join(home, "c_nationkey")
     if wanted & _NEEDS_SUPPLIER:
         origin = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("source_city"))
-        rows = rows.join(origin, "s_nationkey", "left")
+        rows = rows.join(origin, "s_nationkey")
 
     ship, order = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
     made = {
@@ -120,26 +128,30 @@ def quotes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
 
 def requests(events: DataFrame) -> DataFrame:
-    """One quote request per event, batch or stream; some of them invalid on purpose."""
+    """One quote request per event, batch or stream; every rule is broken by some and every field left out by some."""
     names = F.array(*[F.lit(name) for name in (*FIXTURE_AIRLINES, UNKNOWN_AIRLINE)])
     hour, event = F.hour("ts"), F.col("event_id")
-    slot = F
+    slot = F.when(event % 29 == 3, F.lit("Noon"))
     for i, name in enumerate(dims.SLOT_NAMES):
         slot = slot.when(hour.between(4 + 4 * i, 7 + 4 * i), F.lit(name))
+    cabin = _relabel(F.col("event_type"), _CABIN_OF_EVENT).otherwise(F.col("event_type"))
     bad_date = F.when(event % 50 == 0, "2025-13-01").when(event % 50 == 1, "")
+    stops = F.get(F.array(*[F.lit(s) for s in (*dims.STOPS, "three")]), (event % 8).cast("int"))
+    # Flags 0 and 1, sometimes 2, mostly left out.
+    flag = lambda modulus: F.when(event % modulus <= 2, (event % modulus).cast("int"))
     return events.select(
         event.alias("request_id"),
-        F.element_at(names, (F.col("user_id") % 7 + 1).cast("int")).alias("airline"),
-        F.concat(F.lit("NATION_"), F.col("user_id") % 25).alias("source_city"),
-        F.concat(F.lit("NATION_"), event % 25).alias("destination_city"),
+        F.when(event % 41 != 7, F.element_at(names, (F.col("user_id") % 7 + 1).cast("int"))).alias("airline"),
+        F.when(event % 43 != 5, F.concat(F.lit("NATION_"), F.col("user_id") % 27)).alias("source_city"),
+        F.when(event % 47 != 9, F.concat(F.lit("NATION_"), event % 27)).alias("destination_city"),
         slot.alias("departure_time"),
-        _relabel(F.col("event_type"), _CABIN_OF_EVENT).otherwise(F.col("event_type")).alias("cabin_class"),
-        F.get_json_object("props", "$.k").try_cast("int").alias("days_before_departure"),
+        F.when(event % 37 != 11, cabin).alias("cabin_class"),
+        F.when(event % 31 != 4, F.get_json_object("props", "$.k").try_cast("int")).alias("days_before_departure"),
         bad_date.otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("flight_date"),
         F.when(event % 3 != 0, F.col("value") * 10).alias("distance_km"),
-        F.lit(None).cast("string").alias("stops"),
-        F.lit(None).cast("int").alias("is_weekend"),
-        F.lit(None).cast("int").alias("is_holiday"),
+        stops.alias("stops"),
+        flag(11).alias("is_weekend"),
+        flag(13).alias("is_holiday"),
     )
 
 
@@ -213,7 +225,4 @@ def priced_fares(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     )
     same_region = F.col("source_region") == F.col("destination_region")
     factors = factors.withColumn("route_multiplier", F.when(same_region, 1.0).otherwise(0.95))
-    noise = F.lit(0.92) + F.lit(0.16) * (rules.hash_bucket(F.col("fare_key"), 1000) / F.lit(1000.0))
-    return pricing.add_rule_price(factors).withColumn(
-        "composed_price", pricing.market_price(F.col("rule_price"), noise, F.col("class"))
-    )
+    return pricing.add_rule_price(factors)

@@ -74,11 +74,21 @@ def test_header_in_another_order_is_refused(spark, tmp_path):
 
 @pytest.fixture(scope="module")
 def trained(spark, flights, tmp_path_factory):
+    """Trained on flights of which some lack a feature."""
     out = str(tmp_path_factory.mktemp("trained"))
-    jobs.train_fares(flights, out, "2025-01-01", maxIter=3)
+    holes = F.when(F.col("flight_id") % 50 != 0, F.col("distance_km"))
+    jobs.train_fares(flights.withColumn("distance_km", holes), out, "2025-01-01", maxIter=3)
     return out
 
 
+def test_incomplete_rows_are_reported_and_not_counted_as_trained(spark, flights, trained):
+    dropped = readers.read_untyped_csv(spark, f"{trained}/dropped").first()
+    missing = flights.where(F.col("flight_id") % 50 == 0).count()
+    assert (int(dropped.kept_rows), int(dropped.dropped_rows)) == (flights.count() - missing, missing) and missing
+    metadata = readers.read_metadata(spark, f"{trained}/metadata", pretty=True).first()
+    assert metadata.total_flights_trained < int(dropped.kept_rows)
+
+
 def test_training_writes_what_quoting_needs(spark, flights, trained):
     metadata = readers.read_metadata(spark, f"{trained}/metadata", pretty=True).first()
     assert metadata.valid_airlines == sorted(fixtures.FIXTURE_AIRLINES)

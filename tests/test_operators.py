@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import statistics
+from datetime import date
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,34 +14,43 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from farekit.operators import baseline, encode, lookup, popularity, pricing, profile
-from farekit.session import shared_dir, stage
+from farekit.session import scratch_path, scratch_scope, shared_dir, stage
 from farekit.sources import dims, fixtures
 
 
-def median_of(spark, values, at_once):
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    return profile.median(df, "v", at_once=at_once).first()[0]
+def median_of(spark, values, kind="double"):
+    return profile.median(spark.createDataFrame([(v,) for v in values], f"v {kind}"), "v").first()[0]
 
 
-@pytest.mark.parametrize("at_once", [2, 40, 100_000])
 @pytest.mark.parametrize("size", [1, 2, 101, 500])
-def test_median_of_spread_values(spark, size, at_once):
+def test_median_of_spread_values(spark, size):
     values = [random.Random(size).uniform(0, 1000) for _ in range(size)]
-    assert median_of(spark, values, at_once) == pytest.approx(statistics.median(values))
+    assert median_of(spark, values) == pytest.approx(statistics.median(values))
 
 
-@pytest.mark.parametrize("at_once", [2, 100_000])
-def test_median_with_a_hot_value_and_a_gap(spark, at_once):
+def test_median_with_a_hot_value_and_a_gap(spark):
     hot = [7.0] * 50 + [float(i) for i in range(100)]
-    assert median_of(spark, hot, at_once) == statistics.median(hot)
+    assert median_of(spark, hot) == statistics.median(hot)
     gap = [float(i) for i in range(50)] + [1e6 + i for i in range(50)]
-    assert median_of(spark, gap, at_once) == statistics.median(gap)
+    assert median_of(spark, gap) == statistics.median(gap)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-1000, 1000).map(float), min_size=1, max_size=60))
 def test_median_of_any_values(spark, values):
-    assert median_of(spark, values, at_once=3) == statistics.median(values)
+    assert median_of(spark, values) == statistics.median(values)
+
+
+def test_median_at_the_ends_of_its_types(spark):
+    infinite = float("inf")
+    assert median_of(spark, [float(i) for i in range(9)] + [infinite]) == 4.5
+    assert median_of(spark, [infinite, infinite, 1.0]) == infinite
+    assert median_of(spark, [1.6e308, 1.7e308]) == pytest.approx(1.65e308)
+    assert median_of(spark, [2**53 + 1] * 3, "bigint") == 2**53 + 1
+    assert median_of(spark, [2**53 + 1, 2**53 + 2], "bigint") == Decimal(2**53 + 1) + Decimal("0.5")
+    cents = [Decimal("12345678901234567890123456.01"), Decimal("12345678901234567890123456.02")]
+    assert median_of(spark, cents, "decimal(30,2)") == Decimal("12345678901234567890123456.015")
+    assert str(median_of(spark, [date(2025, 1, 3), date(2025, 1, 1), date(2025, 1, 2)], "date")) == "2025-01-02"
 
 
 def test_median_ignores_null_and_nan(spark):
@@ -106,14 +117,15 @@ def test_split_is_stable_and_whole(spark, data_dir):
 
 
 @pytest.mark.parametrize("size", [1, 3, 200])
-def test_split_falls_back_when_too_few_rows_are_held_out(spark, size):
+def test_split_falls_back_only_when_asked(spark, size):
     rows = spark.range(size).select(F.col("id").cast("string").alias("k"))
-    train, held_out = encode.split_with_fallback(rows, F.col("k"))
-    if held_out.count() == size:
-        assert train.count() == size
+    train, held_out, percent = encode.split_with_fallback(rows, F.col("k"))
+    assert percent == 90 and train.count() + held_out.count() == size
+    train, held_out, percent = encode.split_with_fallback(rows, F.col("k"), fallback=True)
+    if percent == 100:
+        assert train.count() == held_out.count() == size
     else:
-        assert held_out.count() >= 2
-        assert train.count() + held_out.count() == size
+        assert held_out.count() >= 2 and train.count() + held_out.count() == size
 
 
 def test_metrics_agree_with_the_evaluator(spark, data_dir):
@@ -157,3 +169,14 @@ def test_rows_without_a_key_still_belong_to_a_part(spark):
     rows = spark.createDataFrame([("a",), (None,), (None,)], "k string")
     train, held_out = encode.split(rows, F.col("k"))
     assert train.count() + held_out.count() == 3
+
+
+def test_what_a_job_stages_is_removed(spark):
+    with scratch_scope(spark):
+        table = stage(spark.range(3).toDF("n"), "passing")
+        path = table.inputFiles()[0]
+        assert table.count() == 3
+    kept = stage(spark.range(3).toDF("n"), "kept")
+    with pytest.raises(Exception, match="(?i)not exist|no such|not.found"):
+        spark.read.parquet(path).count()
+    assert kept.count() == 3 and scratch_path(spark, "x").startswith(shared_dir(spark))

@@ -13,9 +13,9 @@ from farekit.sources import dims, fixtures, schemas
 from farekit.streaming import scoring
 
 GOOD = {
-    "request_id": 1, "airline": "IndiGo", "source_city": "Delhi", "destination_city": "Mumbai",
-    "departure_time": "Morning", "cabin_class": "Economy", "days_before_departure": 30, "flight_date": "2025-11-15",
-    "distance_km": 1150.0, "stops": "zero", "is_weekend": 0, "is_holiday": 0,
+    "request_id": 77, "airline": "Vistara", "source_city": "Delhi", "destination_city": "Goa",
+    "departure_time": "Evening", "cabin_class": "Business", "days_before_departure": 12, "flight_date": "2025-11-22",
+    "distance_km": 1420.0, "stops": "one", "is_weekend": 0, "is_holiday": 0,
 }
 
 
@@ -82,7 +82,7 @@ def _filled(spark, **change):
 
 
 def test_a_given_date_decides(spark):
-    row = _filled(spark, is_weekend=0)  # 2025-11-15 is a Saturday
+    row = _filled(spark, is_weekend=0)  # 2025-11-22 is a Saturday
     assert (row.month, row.quarter, row.season, row.day_of_week, row.is_weekend) == (
         11, 4, "Post_Monsoon", "Saturday", 1,
     )
@@ -91,7 +91,7 @@ def test_a_given_date_decides(spark):
 def test_without_a_date_the_defaults_apply(spark):
     row = _filled(spark, flight_date="", is_weekend=1, is_holiday=None, stops=None, distance_km=None)
     assert (row.month, row.season, row.day_of_week, row.is_weekend) == (6, "Monsoon", "Monday", 1)
-    assert (row.is_holiday, row.stops, row.distance_km, row.flight_date) == (0, "zero", 1150.0, "Not specified")
+    assert (row.is_holiday, row.stops, row.distance_km, row.flight_date) == (0, "zero", 1420.0, "Not specified")
 
 
 @pytest.mark.parametrize(("flag", "expected"), [(None, 1), (0, 0), (1, 1)])
@@ -119,14 +119,38 @@ def test_stream_equals_batch(spark, data_dir):
     path = scratch_path(spark, "stream-test")
     stream = fixtures.requests(events)
     first = scoring.start_quotes(stream, context, f"{path}/quotes", f"{path}/quotes-checkpoint")
-    second = scoring.start_rejects(stream, context, f"{path}/rejects", f"{path}/rejects-checkpoint")
+    second = scoring.start_rejects(stream, context.names, f"{path}/rejects", f"{path}/rejects-checkpoint")
     first.awaitTermination()
     second.awaitTermination()
     flat = lambda df: sorted(map(str, df.orderBy("request_id").collect()))
     assert flat(spark.read.parquet(f"{path}/quotes")) == flat(quotes)
     assert flat(spark.read.parquet(f"{path}/rejects").select(rejects.columns)) == flat(rejects)
     # A restart from the same checkpoint finds nothing new.
-    scoring.start_rejects(stream, context, f"{path}/rejects", f"{path}/rejects-checkpoint").awaitTermination()
+    scoring.start_rejects(stream, context.names, f"{path}/rejects", f"{path}/rejects-checkpoint").awaitTermination()
+    assert spark.read.parquet(f"{path}/rejects").count() == rejects.count()
+
+
+def test_every_rule_is_broken_and_every_default_used(spark, data_dir):
+    asked = inputs.requests(spark, data_dir.replace("sf0.001", "sf0.01"))
+    checked = validation.with_reasons(asked, inputs.vocabularies(spark, data_dir))
+    found = {r[0] for r in checked.select(F.explode("reasons")).distinct().collect()}
+    assert len(found) == 18
+    kept = validation.accepted(checked)
+    for name in ("stops", "is_weekend", "is_holiday", "distance_km"):
+        assert kept.where(F.col(name).isNull()).count() and kept.where(F.col(name).isNotNull()).count()
+    for name in ("is_weekend", "is_holiday"):
+        assert {r[0] for r in kept.select(name).distinct().collect()} == {None, 0, 1}
+
+
+def test_scoring_both_parts_in_one_stream(spark, data_dir):
+    context = inputs.quote_context(spark, data_dir)
+    path = scratch_path(spark, "scoring-test")
+    events = spark.readStream.schema(schemas.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(data_dir)
+    for _ in range(2):  # a restart finds nothing new
+        run = scoring.start_scoring(fixtures.requests(events), context, path, f"{path}/checkpoint")
+        run.awaitTermination()
+    quotes, rejects = quoting.quote(inputs.requests(spark, data_dir), context)
+    assert spark.read.parquet(f"{path}/quotes").count() == quotes.count()
     assert spark.read.parquet(f"{path}/rejects").count() == rejects.count()
 
 
