@@ -235,7 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     by_id = Window.partitionBy("toxic").orderBy(F.xxhash64("__id"), "__id")
     chosen = known.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= SAMPLE_ROWS)
     chosen = stage(chosen, "toxicity-sample")
-    texts = docs.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
+    texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     again = Window.partitionBy("toxic").orderBy("n", "text")
     sampled = texts.select("toxic", "n", "text").withColumn("k", F.row_number().over(again)).where(F.col("k") <= SAMPLE_ROWS)
     sample = _unlike([(r["text"], r["toxic"]) for r in sampled.orderBy("toxic", "k").collect()])
