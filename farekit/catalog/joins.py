@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from farekit.catalog import inputs
 from farekit.catalog.registry import query
-from farekit.catalog.views import with_checked, with_distances, with_fares, with_priced, with_quotes
+from farekit.catalog.views import ROUTES, with_checked, with_distances, with_fares, with_priced, with_quotes
 from farekit.operators import baseline, lookup, popularity, pricing, profile
 from farekit.sources import dims, fixtures
 
@@ -79,6 +79,19 @@ def j05(spark, sf_dir):
     return fixtures.priced_fares(spark, sf_dir).select(*_J5)
 
 
+@query(
+    "j05_route_lookup",
+    with_fares(f"""
+SELECT fare_key, f.source_city, f.destination_city, f.route_id, CAST(route_km AS INTEGER) AS route_km,
+       CAST(route_multiplier AS DOUBLE) AS route_multiplier
+FROM fares f LEFT JOIN {ROUTES} ON route_table.route_id = f.route_id"""),
+)
+def j05_route(spark, sf_dir):
+    """Attributes of a fare's route by its id; a pair of cities may stand for several routes."""
+    rows = fixtures.fares(spark, sf_dir, "fare_key", "source_city", "destination_city", "route_id")
+    return pricing.add_route(rows, dims.routes(spark))
+
+
 @query("j06_calendar_lookup", with_priced("SELECT fare_key, date, holiday, holiday_boost, is_holiday FROM factors"))
 def j06(spark, sf_dir):
     rows = fixtures.fares(spark, sf_dir, "fare_key", "date")

@@ -15,9 +15,10 @@ _HOLIDAYS = dims.values_sql(dims.HOLIDAYS, ("holiday_date", "holiday", "boost"),
 _CITIES = dims.values_sql(
     tuple((i, *row) for i, row in enumerate(dims.CITIES)), ("position", "city_name", "code", "demand", "tier"), "cities"
 )
+ROUTES = dims.values_sql(dims.route_rows(), dims.ROUTE_COLUMNS, "route_table")
 _DISTANCES = dims.values_sql(dims.DISTANCES, ("x", "y", "km"), "km_table")
 
-FARES = """fares AS (
+FARES = f"""fares AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS fare_key,
          p_type AS airline, sn.n_name AS source_city, dn.n_name AS destination_city,
          sn.n_regionkey AS source_region, dn.n_regionkey AS destination_region,
@@ -30,7 +31,7 @@ FARES = """fares AS (
          CAST(l_shipdate AS DATE) AS date,
          CAST(((date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) % 91) + 91) % 91 AS INTEGER)
            AS days_before_departure,
-         l_extendedprice AS price
+         l_extendedprice AS price, CAST(l_suppkey % {len(dims.route_rows())} + 1 AS INTEGER) AS route_id
   FROM lineitem
   JOIN orders ON o_orderkey = l_orderkey
   JOIN customer ON c_custkey = o_custkey

@@ -44,6 +44,7 @@ FARE_COLUMNS = (
     "date",
     "days_before_departure",
     "price",
+    "route_id",
 )
 
 
@@ -108,6 +109,8 @@ def fares(spark: SparkSession, sf_dir: str, *columns: str, cabin: str | None = N
         "date": lambda: ship,
         "days_before_departure": lambda: F.pmod(F.datediff(ship, order), F.lit(91)),
         "price": lambda: F.col("l_extendedprice"),
+        # One of the known routes, by supplier.
+        "route_id": lambda: (F.pmod("l_suppkey", F.lit(len(dims.route_rows()))) + 1).cast("int"),
     }
     order_of = columns or FARE_COLUMNS
     return rows.select(*[made[name]().alias(name) for name in order_of])
