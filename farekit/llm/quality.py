@@ -89,19 +89,17 @@ def with_counts(docs: DataFrame) -> DataFrame:
     )
     lines = F.filter(F.split(body, "\n"), lambda line: F.btrim(line, F.lit(" \t\x0b\x0c\r")) != "")
     symbols = sum((F.length(body) - F.length(F.replace(body, F.lit(c))) for c in SYMBOLS), F.lit(0))
-    return (
-        marked.withColumn("__lines", lines)
-        .withColumns(
-            {
-                "n_words": F.size("__words").cast("long"),
-                "word_chars": F.length(F.array_join("__words", "")).cast("long"),
-                "n_symbols": symbols.cast("long"),
-                "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-                "n_repeat_words": covered,
-            }
-        )
-        .drop("__words", "__hashes", "__sorted", "__placed", "__starts", "__lines")
-    )
+    counts = {
+        "n_words": F.size("__words").cast("long"),
+        "word_chars": F.length(F.array_join("__words", "")).cast("long"),
+        "n_symbols": symbols.cast("long"),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "n_repeat_words": covered,
+    }
+    # Generated columns, so that a later filter on a count isn't moved below and doesn't repeat the whole computation.
+    numbers = F.inline(F.array(F.struct(*[value.alias(name) for name, value in counts.items()])))
+    kept = [c for c in marked.columns if not c.startswith("__") or c in docs.columns]
+    return marked.withColumn("__lines", lines).select(*[F.col(f"`{c}`") for c in kept], numbers)
 
 
 def base_failed() -> Column:
@@ -183,18 +181,15 @@ def certified_cutoffs(
     )
 
 
-def judged(
-    counted: DataFrame, labels: DataFrame, *, stratum: str = "lang", risk: float = RISK, error: float = ERROR
-) -> DataFrame:
+def judged(counted: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang") -> DataFrame:
     """Documents from ``with_counts`` with base_failed, kept and failed_rules (names), replacing such columns.
 
     ``kept`` is false if the base rules fail, or if a rule reaches the cutoff
-    certified for the document's stratum. An empty table stays empty; without
-    labels only the base rules decide.
+    that ``certified_cutoffs`` has for the document's stratum. An empty table
+    stays empty; without cutoffs only the base rules decide.
     """
     tests = rules()
-    table = stage(certified_cutoffs(counted, labels, stratum=stratum, risk=risk, error=error), "quality-cutoffs")
-    wide = table.groupBy(F.col("stratum").alias("__stratum")).agg(
+    wide = cutoffs.groupBy(F.col("stratum").alias("__stratum")).agg(
         *[F.max(F.when(F.col("rule") == rule.name, F.col("cutoff"))).alias(f"__{rule.name}") for rule in tests]
     )
     wide = stage(wide, "quality-strata")

@@ -141,5 +141,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = quality.with_counts(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     counted = stage(counted.drop("text"), "quality-counted")
-    verdict = quality.judged(counted, table(spark, sf_dir, "labels"))
+    cutoffs = quality.certified_cutoffs(counted, table(spark, sf_dir, "labels"))
+    verdict = quality.judged(counted, cutoffs)
     return verdict.select("doc_id", *quality.COUNTS, "base_failed", "kept", "failed_rules")

@@ -275,24 +275,19 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows one. All texts without a word are copies of each other. An empty table
     stays empty.
     """
-    columns = docs.columns
     body = F.col("text").cast("binary")
+    row = F.xxhash64("doc_id", "text")
 
     @F.pandas_udf("array<long>")
     def wide(bodies: pd.Series) -> pd.Series:
         return pd.Series([wide_simhash(b, CHECK_SHINGLE) for b in bodies], dtype="object")
 
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
-    marked = docs.withColumns(
-        {
-            "__bits": fingerprint(F.col("text"), 1, distinct=True),
-            "__check": wide(body),
-            "__row": F.xxhash64("doc_id", "text"),
-        }
-    ).withColumn("__node", F.xxhash64("__bits", "__check"))
-    marked = stage(marked, "marked")
-    nodes = marked.groupBy(F.col("__node").alias("node")).agg(
-        F.first("__bits").alias("bits"), F.first("__check").alias("check"), F.min(order).alias("low")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    prints = docs.select(
+        "doc_id", row.alias("row"), fingerprint(F.col("text"), 1, distinct=True).alias("bits"), wide(body).alias("check")
+    )
+    nodes = prints.groupBy(F.xxhash64("bits", "check").alias("node")).agg(
+        F.first("bits").alias("bits"), F.first("check").alias("check"), F.min(order).alias("low")
     )
     nodes = stage(nodes, "nodes")
     roots = linked(nodes, CANDIDATE_RADIUS, check_bits=check_radius(similarity)).withColumnRenamed("node", "__node")
@@ -300,10 +295,11 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     kept = with_root.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("low"))
     kept = stage(kept.select(F.col("low.row").alias("__kept")), "kept")
     # The row hash covers id and text, so copies of a hot text spread; only repeated rows meet in the window.
-    again = Window.partitionBy("__row").orderBy("__node")
+    again = Window.partitionBy("__row").orderBy("__kept")
     return (
-        marked.join(kept, F.col("__row") == F.col("__kept"))
+        docs.withColumn("__row", row)
+        .join(kept, F.col("__row") == F.col("__kept"))
         .withColumn("__again", F.row_number().over(again))
         .where("__again = 1")
-        .select(*[F.col(f"`{c}`") for c in columns])
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
