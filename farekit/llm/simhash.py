@@ -254,7 +254,7 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
 
 # Candidates of the deduplication: distinct single words, whose fingerprint a few edits move little. The links among
 # them that count have five-word fingerprints of 128 bits no further apart than a similarity of about 0.8 allows.
-CANDIDATE_RADIUS = 6
+CANDIDATE_RADIUS = 7
 CHECK_SHINGLE = 5
 SIMILARITY = 0.8
 
