@@ -137,10 +137,68 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op10_quality_rules")
+_VALUES_SQL = """CASE rule WHEN 'symbols_per_word' THEN n_symbols WHEN 'repeated_share' THEN n_repeat_words
+  WHEN 'dup_lines_per_word' THEN n_dup_lines ELSE word_chars END / nullif(n_words, 0)::DOUBLE"""
+_CUTOFFS_SQL = ", ".join(
+    f"('{rule.name}', {i}, {cutoff!r}::DOUBLE)" for rule in quality.rules() for i, cutoff in enumerate(rule.cutoffs, 1)
+)
+_RULES = len(quality.rules())
+
+OP10_SQL = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+placed AS (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+windows AS (
+  SELECT row, i, word AS a, lead(word) OVER w AS b, lead(word, 2) OVER w AS c FROM placed WINDOW w AS (PARTITION BY row ORDER BY i)),
+repeated AS (
+  SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, a, b, c) AS n FROM windows WHERE c IS NOT NULL) WHERE n > 1),
+covered AS (SELECT row, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS t(k) GROUP BY row),
+counted AS (
+  SELECT split.row, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM split LEFT JOIN covered USING (row)),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
+cutoffs AS (SELECT * FROM (VALUES {_CUTOFFS_SQL}) AS t(rule, step, cutoff)),
+holdout AS (SELECT * FROM based JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1)),
+rejected AS (
+  SELECT lang, rule, step, cutoff, count(*) FILTER (WHERE quality = 1) AS n,
+         count(*) FILTER (WHERE quality = 1 AND {_VALUES_SQL} >= cutoff) AS k,
+         count(*) FILTER (WHERE quality = 0 AND {_VALUES_SQL} >= cutoff) AS hits
+  FROM holdout, cutoffs GROUP BY ALL),
+tested AS (
+  SELECT *, CASE WHEN k >= n THEN 1.0 ELSE least(1.0, (
+           SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality.RISK / _RULES!r}::DOUBLE)
+                          + (n - i) * ln(1 - {quality.RISK / _RULES!r}::DOUBLE)))
+           FROM range(k + 1) AS r(i))) END
+         <= {quality.ERROR!r}::DOUBLE / ({_RULES} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM rejected))) AS passes
+  FROM rejected),
+certified AS (
+  SELECT *, bool_and(passes) OVER (PARTITION BY lang, rule ORDER BY step) AS certified FROM tested),
+chosen AS (SELECT lang, rule, arg_max(cutoff, step) AS cutoff FROM certified WHERE certified AND hits > k GROUP BY lang, rule),
+failed AS (
+  SELECT row, {", ".join(f"coalesce(bool_or(rule = '{r.name}' AND {_VALUES_SQL} >= cutoff), false) AS f{i}" for i, r in enumerate(quality.rules()))}
+  FROM based JOIN chosen ON chosen.lang IS NOT DISTINCT FROM based.lang GROUP BY row),
+named AS (
+  SELECT row, concat_ws(',', {", ".join(f"CASE WHEN f{i} THEN '{r.name}' END" for i, r in enumerate(quality.rules()))}) AS failed_rules
+  FROM failed)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(failed_rules, '') = '' AS kept, coalesce(failed_rules, '') AS failed_rules
+FROM based LEFT JOIN named USING (row)
+"""
+
+
+@query("op10_quality_rules", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = quality.with_counts(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     counted = stage(counted.drop("text"), "quality-counted")
     cutoffs = quality.certified_cutoffs(counted, table(spark, sf_dir, "labels"))
     verdict = quality.judged(counted, cutoffs)
-    return verdict.select("doc_id", *quality.COUNTS, "base_failed", "kept", "failed_rules")
+    return verdict.select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules")
+    )
