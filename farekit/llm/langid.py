@@ -10,6 +10,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farekit.session import stage
+
 # The sample that the automata are built from: this many characters of normalised text in all, at most so many of one
 # language, from at most so many rows of it.
 SAMPLE_CHARS = 240_000
@@ -153,13 +155,22 @@ def learn(labelled: DataFrame) -> dict:
     the budgets hold. That bounds the model whatever the size of the table.
     Null languages and rows without text teach nothing.
     """
-    rows = labelled.where("lang is not null and text is not null").select("text", F.col("lang").cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.length("text") > 10_000, F.xxhash64("text"), "text")
-    sample = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= LANGUAGE_ROWS)
-    upto = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    # A row is wanted while those before it are below the budget; only the last one is cut.
-    cut = sample.withColumn("before", F.coalesce(upto, F.lit(0))).where(F.col("before") < LANGUAGE_CHARS)
-    sampled = cut.select("lang", "n", F.substring("text", 1, LANGUAGE_CHARS).alias("text")).collect()
+    rows = labelled.where("lang is not null and text is not null").select(
+        "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h")
+    )
+    # The choice is made without the texts; the few chosen ones are fetched by their hashes.
+    thin = rows.select("lang", "h", (F.length("text") > 10_000).alias("long")).distinct()
+    order = Window.partitionBy("lang").orderBy("long", "h")
+    chosen = thin.withColumn("n", F.row_number().over(order)).where(F.col("n") <= LANGUAGE_ROWS)
+    chosen = stage(chosen.select(F.col("lang").alias("__lang"), F.col("h").alias("__h"), "n"), "language-sample")
+    texts = rows.join(F.broadcast(chosen), (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h")))
+    sampled = (
+        texts.groupBy("lang", "n").agg(F.min(F.substring("text", 1, LANGUAGE_CHARS)).alias("text"))
+        .withColumn("before", F.coalesce(F.sum(F.length("text")).over(
+            Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .where(F.col("before") < LANGUAGE_CHARS)
+        .select("lang", "n", "text").collect()
+    )
     letters = _letters()
     names = sorted({row["lang"] for row in sampled})
     budget = min(LANGUAGE_CHARS, SAMPLE_CHARS // max(len(names), 1))
