@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farekit.llm.spans import SpanHasher
+from farekit.llm.spans import SpanHasher, distinct
 from farekit.session import stage
 
 END_ID = 2
@@ -58,7 +58,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.nda
     documents. Frequent pairs are replaced in rounds: all pairs of at least a
     given count at once, overlapping ones from the left, the count falling from
     a thousandth of the shard to FEWEST. Rule k stands for symbol first_rule + k
-    and uses earlier symbols only. The rules end where symbols do.
+    and uses earlier symbols only. The rules end where symbols do, or when a
+    last round shortens the sequence by less than a two-hundredth.
     """
     bits = symbol_bits(first_rule)
     kind = np.uint32 if bits == 16 else np.uint64
@@ -99,6 +100,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.nda
         keep[at + 1] = False
         body, last = body[keep], last[keep]
         made += len(used)
+        if least == FEWEST and len(at) < len(body) // 200:
+            break  # what is left would be found a few pairs at a time
         least = max(FEWEST, least // 8)
     narrow = f"<u{bits // 8}"
     empty = np.empty(0, dtype=narrow)
@@ -215,14 +218,17 @@ class Encoder:
 
     def _run_ids(self, raw: bytes) -> list[int] | None:
         text = raw.decode("utf-8", "replace")
-        if not text.isascii():
+        if text.isascii():
+            if "'" in text or "<|" in text:
+                return None
+            if text.isprintable():  # printable ASCII stands for itself
+                return [t.id for t in self.tokenizer.model.tokenize(text)]
+        else:
             lowered = text.lower()
             plain = text.isalpha() and lowered.isalpha() and "\u03a3" not in text
             if not plain or not unicodedata.is_normalized("NFC", text):
                 return None
             raw = lowered.encode()
-        elif "'" in text or "<|" in text:
-            return None
         return [t.id for t in self.tokenizer.model.tokenize("".join(map(self.byte_letters.__getitem__, raw)))]
 
     def _learn(self, keys: np.ndarray, raws: list[bytes]) -> None:
@@ -234,9 +240,11 @@ class Encoder:
         sizes = np.array(sizes, dtype=np.int64)
         starts = len(self.flat) + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
         self.flat = np.concatenate([self.flat, np.array(ids, dtype=np.int32)])
-        order = np.argsort(all_keys := np.concatenate([self.keys, keys]))
-        self.keys = all_keys[order]
-        self.starts, self.sizes = np.concatenate([self.starts, starts])[order], np.concatenate([self.sizes, sizes])[order]
+        # Both lists of keys are in order, so the new ones are let in where they belong.
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.starts, self.sizes = (
+            np.insert(known, at, new) for known, new in ((self.keys, keys), (self.starts, starts), (self.sizes, sizes))
+        )
 
     def _places(self, keys: np.ndarray) -> np.ndarray:
         """Where the keys stand among the known ones; -1 if nowhere."""
@@ -256,16 +264,16 @@ class Encoder:
         # The stretch between white space that each run belongs to.
         stretch = np.cumsum(~solid)[solid]
         begins, ends = begins[solid], ends[solid]
-        hashes = self.hasher.hashes(self.lower[data], begins, ends)
-        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        lowered = self.lower[data]
+        keys, first, which = distinct(self.hasher.hashes(lowered, begins, ends))
         if len(self.keys) > REMEMBERED:
             self.forget()
         new = np.flatnonzero(self._places(keys) < 0)
         if len(new):
             # ASCII letters are lower-cased for the hash; a run beyond ASCII is lower-cased as a whole when it is learnt.
-            lowered = self.lower[data].tobytes()
+            raw = lowered.tobytes()
             spans = zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            self._learn(keys[new], [lowered[a:b] for a, b in spans])
+            self._learn(keys[new], [raw[a:b] for a, b in spans])
         place = self._places(keys)[which]
         sizes, starts, flat = self.sizes[place], self.starts[place], self.flat
         odd = np.unique(stretch[sizes < 0])

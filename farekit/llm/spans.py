@@ -1,4 +1,4 @@
-"""Hashes of many stretches of a byte array at once."""
+"""Hashes of many stretches of a byte array at once, and the different ones among many."""
 
 from __future__ import annotations
 
@@ -43,3 +43,14 @@ class SpanHasher:
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(32))
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values in order, a place of each, and which one stands at every place."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(values), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], which
