@@ -17,6 +17,7 @@ from farekit.session import stage
 SAMPLE_CHARS = 240_000
 LANGUAGE_CHARS = 60_000
 LANGUAGE_ROWS = 256
+PARTS = 16
 # Characters of one language with a column in its table; rarer ones are phrases of their own.
 ALPHABET = 63
 # A phrase ends at every so many characters, so that texts of any length are parsed in equal pieces side by side.
@@ -160,8 +161,11 @@ def learn(labelled: DataFrame) -> dict:
     )
     # The choice is made without the texts; the few chosen ones are fetched by their hashes.
     thin = rows.select("lang", "h", (F.length("text") > 10_000).alias("long")).distinct()
+    # First by parts of a language, so that no task sees more of a frequent one than parts x LANGUAGE_ROWS.
+    part = Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("long", "h")
     order = Window.partitionBy("lang").orderBy("long", "h")
-    chosen = thin.withColumn("n", F.row_number().over(order)).where(F.col("n") <= LANGUAGE_ROWS)
+    first = thin.withColumn("n", F.row_number().over(part)).where(F.col("n") <= LANGUAGE_ROWS)
+    chosen = first.withColumn("n", F.row_number().over(order)).where(F.col("n") <= LANGUAGE_ROWS)
     chosen = stage(chosen.select(F.col("lang").alias("__lang"), F.col("h").alias("__h"), "n"), "language-sample")
     texts = rows.join(F.broadcast(chosen), (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h")))
     sampled = (

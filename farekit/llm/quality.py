@@ -24,21 +24,23 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class Rule:
-    """Reject where ``value`` reaches a cutoff; the cutoffs are tried from the laxest (first) on."""
+    """Reject where ``count`` per word reaches a cutoff; the cutoffs are tried from the laxest (first) on."""
 
     name: str
-    value: Column
+    count: str
     cutoffs: tuple[float, ...]
 
+    @property
+    def value(self) -> Column:
+        return F.try_divide(F.col(self.count), F.col("n_words"))
 
-def rules() -> tuple[Rule, ...]:
-    words_, chars, symbols, repeated = F.col("n_words"), F.col("word_chars"), F.col("n_symbols"), F.col("n_repeat_words")
-    return (
-        Rule("symbols_per_word", F.try_divide(symbols, words_), (2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05)),
-        Rule("repeated_share", F.try_divide(repeated, words_), (0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1)),
-        Rule("dup_lines_per_word", F.try_divide(F.col("n_dup_lines"), words_), (0.2, 0.15, 0.1, 0.075, 0.05, 0.025)),
-        Rule("chars_per_word", F.try_divide(chars, words_), (20.0, 16.0, 14.0, 12.0, 11.0, 10.0, 9.0, 8.0, 7.0)),
-    )
+
+RULES = (
+    Rule("symbols_per_word", "n_symbols", (2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05)),
+    Rule("repeated_share", "n_repeat_words", (0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1)),
+    Rule("dup_lines_per_word", "n_dup_lines", (0.2, 0.15, 0.1, 0.075, 0.05, 0.025)),
+    Rule("chars_per_word", "word_chars", (20.0, 16.0, 14.0, 12.0, 11.0, 10.0, 9.0, 8.0, 7.0)),
+)
 
 
 def _repeated_words(tokens: Column) -> Column:
@@ -129,7 +131,7 @@ def certified_cutoffs(
     never. Each labelled row becomes one row per rule, summed before the
     shuffle; the tests run on one row per stratum, rule and cutoff.
     """
-    tests = rules()
+    tests = RULES
     known = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__quality"))
     passed = counted.where(~base_failed()).select("doc_id", F.col(stratum).alias("stratum"), *COUNTS)
     holdout = passed.join(known, F.col("doc_id") == F.col("__id"))
@@ -188,7 +190,7 @@ def judged(counted: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang") ->
     that ``certified_cutoffs`` has for the document's stratum. An empty table
     stays empty; without cutoffs only the base rules decide.
     """
-    tests = rules()
+    tests = RULES
     wide = cutoffs.groupBy(F.col("stratum").alias("__stratum")).agg(
         *[F.max(F.when(F.col("rule") == rule.name, F.col("cutoff"))).alias(f"__{rule.name}") for rule in tests]
     )

@@ -140,9 +140,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 _VALUES_SQL = """CASE rule WHEN 'symbols_per_word' THEN n_symbols WHEN 'repeated_share' THEN n_repeat_words
   WHEN 'dup_lines_per_word' THEN n_dup_lines ELSE word_chars END / nullif(n_words, 0)::DOUBLE"""
 _CUTOFFS_SQL = ", ".join(
-    f"('{rule.name}', {i}, {cutoff!r}::DOUBLE)" for rule in quality.rules() for i, cutoff in enumerate(rule.cutoffs, 1)
+    f"('{rule.name}', {i}, {cutoff!r}::DOUBLE)" for rule in quality.RULES for i, cutoff in enumerate(rule.cutoffs, 1)
 )
-_RULES = len(quality.rules())
+_N_RULES = len(quality.RULES)
 
 OP10_SQL = rf"""
 WITH split AS (
@@ -173,19 +173,19 @@ rejected AS (
   FROM holdout, cutoffs GROUP BY ALL),
 tested AS (
   SELECT *, CASE WHEN k >= n THEN 1.0 ELSE least(1.0, (
-           SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality.RISK / _RULES!r}::DOUBLE)
-                          + (n - i) * ln(1 - {quality.RISK / _RULES!r}::DOUBLE)))
+           SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality.RISK / _N_RULES!r}::DOUBLE)
+                          + (n - i) * ln(1 - {quality.RISK / _N_RULES!r}::DOUBLE)))
            FROM range(k + 1) AS r(i))) END
-         <= {quality.ERROR!r}::DOUBLE / ({_RULES} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM rejected))) AS passes
+         <= {quality.ERROR!r}::DOUBLE / ({_N_RULES} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM rejected))) AS passes
   FROM rejected),
 certified AS (
   SELECT *, bool_and(passes) OVER (PARTITION BY lang, rule ORDER BY step) AS certified FROM tested),
 chosen AS (SELECT lang, rule, arg_max(cutoff, step) AS cutoff FROM certified WHERE certified AND hits > k GROUP BY lang, rule),
 failed AS (
-  SELECT row, {", ".join(f"coalesce(bool_or(rule = '{r.name}' AND {_VALUES_SQL} >= cutoff), false) AS f{i}" for i, r in enumerate(quality.rules()))}
+  SELECT row, {", ".join(f"coalesce(bool_or(rule = '{r.name}' AND {_VALUES_SQL} >= cutoff), false) AS f{i}" for i, r in enumerate(quality.RULES))}
   FROM based JOIN chosen ON chosen.lang IS NOT DISTINCT FROM based.lang GROUP BY row),
 named AS (
-  SELECT row, concat_ws(',', {", ".join(f"CASE WHEN f{i} THEN '{r.name}' END" for i, r in enumerate(quality.rules()))}) AS failed_rules
+  SELECT row, concat_ws(',', {", ".join(f"CASE WHEN f{i} THEN '{r.name}' END" for i, r in enumerate(quality.RULES))}) AS failed_rules
   FROM failed)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(failed_rules, '') = '' AS kept, coalesce(failed_rules, '') AS failed_rules

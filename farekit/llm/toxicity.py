@@ -17,6 +17,7 @@ from farekit.session import stage
 
 # Labelled rows of each class that the lexicon and the weights are learnt from, chosen by a hash of the text.
 SAMPLE_ROWS = 3000
+PARTS = 16
 # Prefixes of words that may become insults, and what one needs: texts it occurs in, log odds, standard deviations.
 STEM_LETTERS = (4, 5, 6, 7, 8)
 LEAST_TEXTS = 3
@@ -232,8 +233,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
         F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic")
     )
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    by_id = Window.partitionBy("toxic").orderBy(F.xxhash64("__id"), "__id")
-    chosen = known.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= SAMPLE_ROWS)
+    order = (F.xxhash64("__id"), F.col("__id"))
+    # First by parts of a class, so that no task sees more of a frequent one than parts x SAMPLE_ROWS.
+    part = Window.partitionBy("toxic", F.pmod(order[0], F.lit(PARTS))).orderBy(*order)
+    by_id = Window.partitionBy("toxic").orderBy(*order)
+    first = known.withColumn("n", F.row_number().over(part)).where(F.col("n") <= SAMPLE_ROWS)
+    chosen = first.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= SAMPLE_ROWS)
     chosen = stage(chosen, "toxicity-sample")
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     again = Window.partitionBy("toxic").orderBy("n", "text")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farekit.llm import chance, quality, queries
+from tests import oracle
 from tests.llm.cases import ODD, crowded, docs
 
 
@@ -81,3 +82,10 @@ def test_without_labels_or_rows_only_the_base_rules_decide(spark):
 def test_query_gives_every_document(spark, data_dir):
     found = queries.QUERIES["op10_quality_rules"](spark, data_dir)
     assert found.count() == 200 and found.where("base_failed AND kept").count() == 0
+
+
+def test_query_agrees_with_sql(spark, data_dir):
+    path = data_dir.replace("sf0.001", "sf0.1")
+    df = queries.QUERIES["op10_quality_rules"](spark, path)
+    assert df.where("failed_rules <> ''").count()
+    assert oracle.compare(df, oracle.connect(path), queries.ORACLES["op10_quality_rules"]) == []
