@@ -85,7 +85,7 @@ def main() -> None:
         "evaluate_gbt", lambda: encode.regression_metrics(scored, training.LABEL, training.PREDICTION).first()
     )
     ratios = inputs.ratios(spark, SF_DIR)
-    part, _ = timed("training_ratios", lambda: multiplier.training_ratios(ratios, "fare_key"))
+    part, _, _ = timed("training_ratios", lambda: multiplier.training_ratios(ratios, "fare_key"))
     timed("fit_fm_50_steps", lambda: multiplier.notebook_pipeline().fit(part))
 
     print(

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -13,6 +17,13 @@ def connection(data_dir):
     return oracle.connect(data_dir)
 
 
+def test_listing_queries_needs_no_session():
+    listing = "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 0)"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    said = subprocess.run([sys.executable, "-c", listing], cwd=root, capture_output=True, text=True, check=True)
+    assert said.stdout.strip() == "True"
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
