@@ -68,15 +68,6 @@ def simhash(body: bytes | None, size: int = SHINGLE, distinct: bool = False) ->
     return int(_majority(hashes, BITS)[0])
 
 
-def wide_simhash(body: bytes | None, size: int) -> list[int]:
-    """The same over 128-bit hashes of the distinct shingles, as two longs."""
-    hashes = (
-        np.frombuffer(b"".join(xxhash.xxh3_128_digest(s) for s in part), np.uint8).reshape(-1, 16)
-        for part in _shingles(body or b"", size, True)
-    )
-    return _majority(hashes, 2 * BITS).tolist()
-
-
 def fingerprint(text: Column, size: int = SHINGLE, distinct: bool = False) -> Column:
     """``simhash`` of a text column; null counts as empty."""
 
@@ -252,46 +243,142 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     return prints.join(members, F.col("bits") == F.col("__bits")).select("doc_id", "bits", "component_id")
 
 
-# Candidates of the deduplication: distinct single words, whose fingerprint a few edits move little. The links among
-# them that count have five-word fingerprints of 128 bits no further apart than a similarity of about 0.8 allows.
-CANDIDATE_RADIUS = 7
-CHECK_SHINGLE = 5
+# Deduplication: sets of five-word shingles, alike from this Jaccard similarity on.
+SHINGLES = 5
 SIMILARITY = 0.8
+# Candidates share all minima of a band. Two sets of similarity s do so in no band with probability (1 - s^BAND)^BANDS:
+# 3e-6 at 0.8, less above.
+BANDS, BAND = 32, 5
+# Hashes that meet in one task: 2 MB.
+MEETING = 1 << 18
+# Multipliers and masks of the permutations whose minima are taken: fixed, so a retry repeats its result.
+_MIX = np.random.default_rng(HASH_SEED).integers(0, 2**64, (2, BANDS * BAND), dtype=np.uint64)
+_TIMES, _MASKS = _MIX[0] | np.uint64(1), _MIX[1]
+
+
+_SKETCH = T.StructType(
+    [
+        T.StructField("node", T.LongType()), T.StructField("size", T.IntegerType()),
+        T.StructField("keys", T.ArrayType(T.LongType())),
+    ]
+)
+
+
+def shingle_set(body: bytes | None) -> np.ndarray:
+    """Hashes of the distinct five-word shingles of a text, in order; none for a text without a word."""
+    hashes = [xxhash.xxh3_64_intdigest(s) for part in _shingles(body or b"", SHINGLES, True) for s in part]
+    return np.unique(np.array(hashes, dtype=np.uint64))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A key for each band: the hash of the band's number and its minima over the set; none for an empty set."""
+    if not len(hashes):
+        return []
+    minima = np.full(BANDS * BAND, 2**64 - 1, dtype=np.uint64)
+    for i in range(0, len(hashes), 1024):
+        mixed = (hashes[i : i + 1024, None] ^ _MASKS) * _TIMES
+        np.minimum(minima, mixed.min(axis=0), out=minima)
+    bands = minima.reshape(BANDS, BAND)
+    return [xxhash.xxh3_64_intdigest(b.tobytes(), n) - (1 << 63) for n, b in enumerate(bands)]
+
+
+@F.pandas_udf(_SKETCH)
+def _sketch(bodies: pd.Series) -> pd.DataFrame:
+    rows = []
+    for body in bodies:
+        hashes = shingle_set(body)
+        rows.append((xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63), len(hashes), band_keys(hashes)))
+    return pd.DataFrame(rows, columns=["node", "size", "keys"])
+
+
+@F.pandas_udf(T.BinaryType())
+def _set(bodies: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(b).tobytes() for b in bodies], dtype="object")
+
+
+def _alike(similarity: float):
+    """The links inside one meeting of sets, by exact count of what each two have in common, as a spanning forest."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids = group.column("node").to_pylist()
+        sets = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        sizes = np.array([len(h) for h in sets])
+        _, which = np.unique(np.concatenate(sets), return_inverse=True)
+        owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(which, kind="stable")]
+        holders = np.bincount(which)
+        starts = np.cumsum(holders) - holders
+        forest, done = _Forest(len(ids)), 0
+        for i, size in enumerate(sizes.tolist()):
+            mine = which[done : done + size]
+            done += size
+            n = holders[mine]
+            at = np.repeat(starts[mine] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both = np.bincount(owners[at], minlength=len(ids))[:i]
+            for j in np.flatnonzero(both / (size + sizes[:i] - both) >= similarity).tolist():
+                forest.join(i, j)
+        roots = [forest.root(i) for i in range(len(ids))]
+        edges = [(ids[i], ids[r]) for i, r in enumerate(roots) if i != r]
+        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
 
+    return run
 
-def check_radius(similarity: float, bits: int = 2 * BITS) -> int:
-    """Differing bits expected at a Jaccard similarity of equal-sized sets, and two standard deviations more."""
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(np.ceil(bits * share + 2 * np.sqrt(bits * share * (1 - share))))
+
+def similar(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, root) of all sets that link to another; root is the smallest node reachable.
+
+    ``nodes`` has (node, size, keys, row) of every set, ``texts`` (row, body),
+    where row finds one text of each. Sets that share a band key meet, with all
+    their hashes, and link if their Jaccard similarity is high enough. Keys
+    with the same sets meet once. Sets of more than MEETING hashes in all are
+    dealt into several parts, every two of which meet. What leaves a meeting
+    is a spanning forest, so a dense group gives as many links as it has sets,
+    not their square.
+    """
+    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("size").alias("hashes"), F.bit_xor(F.xxhash64("node")).alias("all"),
+        F.min("node").alias("low"), F.max("node").alias("high"),
+    )
+    once = shared.where("n > 1").groupBy("n", "hashes", "all", "low", "high").agg(F.min("key").alias("__key"))
+    parts = F.ceil(F.col("hashes") / MEETING).cast("int").alias("parts")
+    once = stage(once.select("__key", parts), "shared-keys")
+    members = stage(keyed.join(once, F.col("key") == F.col("__key")).select("key", "node", "parts"), "members")
+    wanted = members.select(F.col("node").alias("__node")).distinct()
+    rows = nodes.join(wanted, F.col("node") == F.col("__node")).select(F.col("node").alias("__set"), F.col("row").alias("__row"))
+    rows = stage(rows, "candidates")
+    # Repeated rows share their hash; one of them is enough.
+    found = texts.join(rows, F.col("row") == F.col("__row")).select("__set", _set("body").alias("hashes"))
+    sets = stage(found.dropDuplicates(["__set"]), "sets")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
+        F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: x != F.col("part"))
+    )
+    meets = members.withColumn("part", part).select("key", "node", "part", F.explode(others).alias("other"))
+    meets = meets.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "node")
+    links = meets.join(sets, F.col("node") == F.col("__set")).select("key", "low", "high", "node", "hashes")
+    links = links.groupBy("key", "low", "high").applyInArrow(_alike(similarity), "a long, b long")
+    return components(stage(links, "links"))
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each group of near-duplicates, with the columns it came with.
 
-    Documents link if their word fingerprints differ in CANDIDATE_RADIUS bits at
-    most and their 128-bit fingerprints of five-word shingles by no more than
-    documents of the given similarity usually do. The smallest doc_id of a
-    group stays, null last; of equal ids the one with the smaller hash, of equal
-    rows one. All texts without a word are copies of each other. An empty table
-    stays empty.
+    Documents link if the sets of their five-word shingles (A-Z lowered; a
+    shorter text is one shingle) have the given Jaccard similarity. The smallest
+    doc_id of a group stays, null last; of equal ids the one with the smaller
+    hash, of equal rows one. All texts without a word are copies of each other.
+    An empty table stays empty.
     """
-    body = F.col("text").cast("binary")
     row = F.xxhash64("doc_id", "text")
-
-    @F.pandas_udf("array<long>")
-    def wide(bodies: pd.Series) -> pd.Series:
-        return pd.Series([wide_simhash(b, CHECK_SHINGLE) for b in bodies], dtype="object")
-
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    prints = docs.select(
-        "doc_id", row.alias("row"), fingerprint(F.col("text"), 1, distinct=True).alias("bits"), wide(body).alias("check")
-    )
-    nodes = prints.groupBy(F.xxhash64("bits", "check").alias("node")).agg(
-        F.first("bits").alias("bits"), F.first("check").alias("check"), F.min(order).alias("low")
-    )
+    texts = docs.select("doc_id", row.alias("row"), F.col("text").cast("binary").alias("body"))
+    prints = texts.select("doc_id", "row", _sketch("body").alias("sketch")).select("doc_id", "row", "sketch.*")
+    nodes = prints.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"), F.min(order).alias("low"))
     nodes = stage(nodes, "nodes")
-    roots = linked(nodes, CANDIDATE_RADIUS, check_bits=check_radius(similarity)).withColumnRenamed("node", "__node")
-    with_root = nodes.join(roots, F.col("node") == F.col("__node"), "left")
+    roots = similar(nodes.select("node", "size", "keys", "low.row"), texts, similarity)
+    with_root = nodes.select("node", "low").join(
+        stage(roots.withColumnsRenamed({"node": "__node"}), "roots"), F.col("node") == F.col("__node"), "left"
+    )
     kept = with_root.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("low"))
     kept = stage(kept.select(F.col("low.row").alias("__kept")), "kept")
     # The row hash covers id and text, so copies of a hot text spread; only repeated rows meet in the window.

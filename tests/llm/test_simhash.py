@@ -128,3 +128,19 @@ def test_similar_documents_are_caught_and_others_left(spark, data_dir):
                 missed += rows[i].doc_id in kept and rows[j].doc_id in kept
     assert doubled and missed <= 0.1 * doubled
     assert all(r.doc_id in kept for r, b in zip(rows, best, strict=True) if b < 0.5)
+
+
+def _cut(body, n):
+    """The text with its last ``n`` words replaced: n of its shingles go, n others come."""
+    return body[: len(body) - n] + [f"{body[0]}x{i}" for i in range(n)]
+
+
+def test_exact_similarity_decides(spark):
+    """104 words are 100 shingles; 11 of them replaced leave 89 / 111 = 0.802, 12 leave 88 / 112 = 0.786."""
+    rows = []
+    for i in range(60):
+        body = [f"t{i}w{k}" for k in range(104)]
+        rows += [(3 * i, " ".join(body), "en", "a", 1)]
+        rows += [(3 * i + 1, " ".join(_cut(body, 11 if i % 2 else 12)), "en", "a", 1)]
+    kept = {r.doc_id for r in simhash.deduplicated(docs(spark, rows)).collect()}
+    assert kept == {3 * i for i in range(60)} | {3 * i + 1 for i in range(0, 60, 2)}
