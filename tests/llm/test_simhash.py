@@ -144,3 +144,36 @@ def test_exact_similarity_decides(spark):
         rows += [(3 * i + 1, " ".join(_cut(body, 11 if i % 2 else 12)), "en", "a", 1)]
     kept = {r.doc_id for r in simhash.deduplicated(docs(spark, rows)).collect()}
     assert kept == {3 * i for i in range(60)} | {3 * i + 1 for i in range(0, 60, 2)}
+
+
+def test_far_words_do_not_hide_a_pair(spark, data_dir):
+    """Every pair at 0.8 or more goes, and only what links to another by such pairs."""
+    docs_ = spark.read.parquet(f"{data_dir.replace('sf0.001', 'sf0.1')}/documents.parquet").where("doc_id IN (4, 205, 2789, 8154)")
+    assert sorted(r.doc_id for r in simhash.deduplicated(docs_).collect()) == [4, 2789]
+
+
+def test_components_equal_brute_force(spark, data_dir, monkeypatch):
+    rows = spark.read.parquet(f"{data_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").collect()
+    dice = random.Random(9)
+    texts = [(r.doc_id, r.text) for r in rows]
+    for i in range(60):
+        body = [f"n{k}" for k in range(150)]
+        for _ in range(4):
+            body[dice.randrange(150)] = f"y{i}z{dice.random()}"
+        texts.append((100_000 + i, " ".join(body)))
+    sets = [set(simhash.shingle_set(t.encode()).tolist()) for _, t in texts]
+    by_hash, links = {}, {}
+    for i, s in enumerate(sets):
+        for j in {j for h in s for j in by_hash.get(h, ())}:
+            if len(s & sets[j]) / len(s | sets[j]) >= 0.8:
+                links.setdefault(i, []).append(j)
+        for h in s:
+            by_hash.setdefault(h, []).append(i)
+    top = groups([0] * len(sets), 0, lambda i, j: j in links.get(i, ()))
+    wanted = {}
+    for (doc, _), t in zip(texts, top, strict=True):
+        wanted[t] = min(doc, wanted.get(t, doc))
+    given = docs(spark, [(d, t, "en", "a", 1) for d, t in texts])
+    for hashes in (1 << 18, 3000):
+        monkeypatch.setattr(simhash, "MEETING", hashes)
+        assert sorted(r.doc_id for r in simhash.deduplicated(given).collect()) == sorted(wanted.values())
