@@ -34,6 +34,13 @@ FOREIGN_WORDS = frozenset(
     "recommended recommendations widget login signup pagination pager toolbar skip hidden".split()
 )
 KEPT = frozenset("html body article main".split())
+# Elements that hold one whole article; roles, classes and ids that say so of others.
+ARTICLES = frozenset("article main".split())
+ARTICLE_NAMES = frozenset(
+    "main article article-body article-content articlebody content main-content post post-body post-content entry entry-content story "
+    "story-body".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre h1 h2 h3 h4 h5 h6 li td dd dt blockquote".split())
 # Containers above a paragraph that get a share of its points; the next share would be a seventeenth.
 LEVELS = 16
@@ -50,6 +57,7 @@ class _Node:
     tag: str
     parent: int
     foreign: bool
+    named: bool = False
     score: float = 0.0
     chars: int = 0
     link_chars: int = 0
@@ -76,6 +84,13 @@ def _foreign(tag: str, raw: str, inside: bool) -> bool:
     return bool(words & FOREIGN_WORDS)
 
 
+def _named(raw: str) -> bool:
+    """Whether role, class, id or itemprop name the element as an article's container."""
+    found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(raw)}
+    words = [w for name in ("role", "class", "id", "itemprop") for w in found.get(name, "").split()]
+    return not ARTICLE_NAMES.isdisjoint(words)
+
+
 class _Page:
     """The tree of a page's block elements, and its blocks of text in page order."""
 
@@ -112,7 +127,8 @@ class _Page:
         if tag in ITEMS:
             self._close(("td", "th") if tag in ("td", "th") else ("dd", "dt") if tag in ("dd", "dt") else (tag,), ITEMS[tag])
         parent = self.stack[-1]
-        self.nodes.append(_Node(tag, parent, self.nodes[parent].foreign or _foreign(tag, raw, self.inside > 0)))
+        named = bool(raw) and tag not in PARAGRAPHS and tag not in ("html", "body") and _named(raw)
+        self.nodes.append(_Node(tag, parent, self.nodes[parent].foreign or _foreign(tag, raw, self.inside > 0), named))
         self.stack.append(len(self.nodes) - 1)
         self.open[tag] += 1
         self.inside += tag in ("article", "main")
@@ -188,13 +204,42 @@ def _score(page: _Page, texts: list[str]) -> None:
             node.score += 25
 
 
+def _whole(page: _Page, best: int) -> int | None:
+    """The container of the whole article that the best container is a part of, if one can be told.
+
+    The outermost article; else the nearest main element or container named so; else the outermost one that directly
+    holds a heading or paragraph of its own.
+    """
+    nodes, above = page.nodes, []
+    node = best
+    while node > 0:
+        above.append(node)
+        node = nodes[node].parent
+    for wanted in ([i for i in reversed(above) if nodes[i].tag == "article"], [i for i in above if nodes[i].tag == "main"]):
+        if wanted:
+            return wanted[0]
+    for i in above:
+        if nodes[i].named:
+            return i
+    ancestors = set(above)
+    holding = {
+        nodes[b.node].parent for b in page.blocks
+        if (nodes[b.node].tag in HEADINGS or nodes[b.node].tag == "p") and b.linked < 0.9 * len("".join(b.parts).strip())
+    }
+    return next((i for i in reversed(above) if i in holding & ancestors), None)
+
+
 def main_text(source: str | None) -> str:
-    """The blocks of the best container and of its siblings like it, in page order, one to a line.
+    """The blocks of the article around the best container, in page order, one to a line.
+
+    Where an article, a main element, a container named so, or one with a
+    heading or paragraph of its own holds the best container, that has the
+    article, and all its blocks are kept. Else the best container is kept
+    without lists of links. Siblings like it stay in either case, and h1.
 
     A block's white space is one space each; character references are decoded.
     Menus, page headers, footers, asides, forms, scripts, adverts, notices and
-    comments are left out by element, role or name before scoring, and lists of
-    links by their link share. Of equal containers the first wins. Null, empty
+    comments are left out by element, role or name before scoring. Of equal containers the first wins. Null, empty
     and textless pages give an empty text; broken markup gives what can be read.
     """
     page = _Page(source or "")
@@ -202,14 +247,16 @@ def main_text(source: str | None) -> str:
     _score(page, texts)
     nodes = page.nodes
     best = max(range(len(nodes)), key=lambda i: (nodes[i].score, -i))
+    whole = _whole(page, best) if nodes[best].score else None
     if not nodes[best].score:
         chosen = {0}
     else:
         least = max(10.0, 0.2 * nodes[best].score)
-        chosen = {best} | {
+        top = best if whole is None else whole
+        chosen = {top} | {
             i for i, n in enumerate(nodes)
-            if n.parent == nodes[best].parent and i != best
-            and (n.score >= least or (n.tag == "p" and n.chars > 80 and n.link_chars < 0.25 * n.chars))
+            if n.parent == nodes[top].parent and i != top
+            and (n.score >= least or (n.tag == "p" and n.chars > 80 and n.link_chars < 0.25 * n.chars) or n.tag == "h1")
         }
     part = [False] * len(nodes)
     for i, node in enumerate(nodes):
@@ -217,7 +264,7 @@ def main_text(source: str | None) -> str:
     kept = []
     for block, text in zip(page.blocks, texts, strict=True):
         listed = nodes[block.node].tag in ("li", "div", "td", "dd") and block.linked >= 0.9 * len(text)
-        if part[block.node] and text and not listed:
+        if part[block.node] and text and (whole is not None or not listed):
             kept.append(text)
     return "\n".join(kept)
 

@@ -63,3 +63,30 @@ def test_odd_rows(spark):
     found = extract.with_text(pages).collect()
     assert sorted(r.n_chars for r in found)[:2] == [0, 1] and len(found) == 4
     assert extract.with_text(pages.limit(0)).count() == 0
+
+
+LINE = "A paragraph, with commas, of some length, so that it has points, and then some more of them, to be sure."
+
+
+@pytest.mark.parametrize(
+    ("source", "lines"),
+    [
+        # The first section alone outweighs the article; heading and second section belong to it all the same.
+        (
+            f"<article><h1>Head</h1><section>{f'<p>{LINE}</p>' * 12}</section><section><p>{LINE}</p></section></article>",
+            ["Head", *[LINE] * 13],
+        ),
+        (f"<div><h1>Head</h1><p>Lede.</p><div>{f'<p>{LINE}</p>' * 9}</div></div>", ["Head", "Lede.", *[LINE] * 9]),
+        (f"<div class='post'><div>By me</div><div>{f'<p>{LINE}</p>' * 9}</div><div>End.</div></div>", ["By me", *[LINE] * 9, "End."]),
+        (f"<article><p>{LINE}</p><ul><li><a href=x>Source</a></ul><div><a href=y>More</a></div></article>", [LINE, "Source", "More"]),
+        # A second article like the first stays, and a title above them.
+        (f"<main><h1>Head</h1>{f'<article><div><p>{LINE}</p></div><p>End.</article>' * 2}</main>", ["Head", *[LINE, "End."] * 2]),
+        # What stands outside the article, or is foreign inside it, stays out.
+        (
+            f"<main><div>Outside</div><article><h1>H</h1><div>{f'<p>{LINE}</p>' * 3}</div><nav>Menu</nav></article><p>Tail</main>",
+            ["H", *[LINE] * 3],
+        ),
+    ],
+)
+def test_the_whole_article_is_kept(source, lines):
+    assert main_text(f"<html><body><nav><a href=z>Home</a></nav>{source}<footer><p>Foot</p></footer></body></html>").split("\n") == lines
