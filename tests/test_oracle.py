@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import subprocess
 import sys
 
@@ -24,6 +25,21 @@ def test_listing_queries_needs_no_session():
     assert said.stdout.strip() == "True"
 
 
+@pytest.mark.parametrize("left_out", [("farekit/llm",), ("corpus_pipeline.py",), ("farekit/llm", "corpus_pipeline.py")])
+def test_loads_without_the_training_data_part(tmp_path, left_out):
+    """Listing queries and collecting the tests must work with those folders gone, pipeline file or not."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    copy = tmp_path / "copy"
+    names = shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache", "spark-warehouse", ".hypothesis")
+    gone = {os.path.join(root, path) for path in (*left_out, "tests/llm")}
+    shutil.copytree(root, copy, ignore=lambda at, found: names(at, found) | {f for f in found if os.path.join(at, f) in gone})
+    listing = "import __spark_entry__ as e; print(*e.queries()); e.oracle_sql()"
+    said = subprocess.run([sys.executable, "-c", listing], cwd=copy, capture_output=True, text=True, check=True).stdout.split()
+    assert "pipeline" not in said and "s01_typed_scan" in said
+    assert any(name.startswith("op1_") for name in said) == ("farekit/llm" not in left_out)
+    subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q"], cwd=copy, capture_output=True, check=True)
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
