@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import decontaminate, extract, hpyp, langid, mixing, quality, repair, sharding, simhash, toxicity
+from farekit.llm import audit, decontaminate, extract, hpyp, langid, mixing, quality, repair, sharding, simhash, toxicity
 from farekit.llm.columns import fold
 from farekit.session import scratch_path, stage
 
@@ -202,3 +202,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.select(
         "doc_id", *quality.COUNTS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules")
     )
+
+
+_BIT_SQL = "1 << (ascii(step_filter) - 65)"
+
+OP11_SQL = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM split GROUP BY text),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                 max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part,
+         CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(split.text) - length(regexp_replace(split.text, '[A-Z]', '', 'g'))) > 5 * length(split.text)
+                THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(split.text, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN split.doc_id > first THEN 16 ELSE 0 END AS mask,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM split JOIN firsts ON firsts.text = split.text LEFT JOIN marks ON marks.doc_id = split.doc_id),
+counted AS (SELECT part, mask, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM masked GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS step_filter,
+         list_sum([0] || [1 << (ascii(x) - 65) FOR x IN string_split(substr(filter_order, 1, step - 1), '') IF x <> '']) AS earlier
+  FROM orders, range(1, 6) AS r(step)),
+summed AS (
+  SELECT part, filter_order, step, step_filter,
+         sum(docs) FILTER (WHERE mask & (CAST(earlier AS BIGINT) | ({_BIT_SQL})) = 0) AS kept,
+         sum(docs) FILTER (WHERE mask & CAST(earlier AS BIGINT) = 0 AND mask & ({_BIT_SQL}) <> 0) AS removed,
+         sum(docs) FILTER (WHERE mask & CAST(earlier AS BIGINT) <> 0 AND mask & ({_BIT_SQL}) <> 0) AS redundant,
+         sum(docs) FILTER (WHERE mask = ({_BIT_SQL})) AS unique_fails,
+         sum(good) FILTER (WHERE mask & CAST(earlier AS BIGINT) = 0 AND mask & ({_BIT_SQL}) <> 0) AS good_lost,
+         sum(toxic) FILTER (WHERE mask & CAST(earlier AS BIGINT) = 0 AND mask & ({_BIT_SQL}) <> 0) AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, step_filter)
+SELECT part, filter_order, step,
+       {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, step_filter), 0) AS BIGINT) AS shapley
+FROM summed
+"""
+
+
+@query("op11_filter_interactions", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
