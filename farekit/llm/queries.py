@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import audit, decontaminate, extract, hpyp, langid, mixing, quality, repair, sharding, simhash, toxicity
+from farekit.llm import audit, centroids, decontaminate, extract, hpyp, langid, mixing, quality, repair, sharding, simhash, toxicity
 from farekit.llm.columns import fold
 from farekit.session import scratch_path, stage
 
@@ -252,3 +252,46 @@ FROM summed
 @query("op11_filter_interactions", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _kmeans_sql(rounds: int) -> str:
+    """The rounds written out one after the other; distances of whole numbers below 2^53 are exact in doubles."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor(1024 * CAST(v AS DOUBLE)) FOR v IN embedding] AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0)""",
+        """c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY digest NULLS LAST, x) - 1 AS k, x
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS digest, x FROM kept ORDER BY digest NULLS LAST, x LIMIT 8))""",
+    ]
+    near = """near{i} AS MATERIALIZED (
+  SELECT row, min(CAST(list_dot_product(kept.x, kept.x) - 2 * list_dot_product(kept.x, c.x) + list_dot_product(c.x, c.x) AS BIGINT)
+                  * 8 + k) AS code
+  FROM kept, c{i} c GROUP BY row)"""
+    moved = """c{j} AS MATERIALIZED (
+  SELECT k, coalesce(m.x, c.x) AS x
+  FROM c{i} c LEFT JOIN (
+    SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY d) AS x
+    FROM (SELECT code % 8 AS k, d, CAST(sum(CAST(kept.x[d] AS BIGINT)) AS BIGINT) AS s, count(*) AS n
+          FROM near{i} JOIN kept USING (row), range(1, 65) AS r(d) GROUP BY code % 8, d)
+    GROUP BY k) m USING (k))"""
+    for i in range(rounds):
+        steps += [near.format(i=i), moved.format(i=i, j=i + 1)]
+    steps.append(near.format(i=rounds))
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, CAST(code % 8 AS INTEGER) AS cluster, code // 8 AS distance,
+       CAST(sum(code // 8) OVER (PARTITION BY code % 8) AS BIGINT) AS cluster_inertia,
+       CAST(sum(code // 8) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string([CAST(v AS BIGINT) FOR v IN c.x], ',')) AS centroid_sha256
+FROM near{rounds} JOIN kept USING (row) JOIN c{rounds} c ON c.k = code % 8
+"""
+
+
+OP12_SQL = _kmeans_sql(centroids.ROUNDS)
+
+
+@query("op12_centroid_clusters", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
