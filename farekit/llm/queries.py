@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farekit.catalog.registry import Query
-from farekit.llm import audit, centroids, decontaminate, extract, hpyp, langid, mixing, quality, repair, sharding, simhash, toxicity
+from farekit.llm import audit, centroids, decontaminate, extract, hpyp, langid, mixing, quality, repair, repeats, sharding, simhash, toxicity
 from farekit.llm.columns import fold
 from farekit.session import scratch_path, stage
 
@@ -295,3 +295,37 @@ OP12_SQL = _kmeans_sql(centroids.ROUNDS)
 @query("op12_centroid_clusters", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+# Bytes as pairs of hexadecimal digits.
+OP13_SQL = """
+WITH raw AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT row, doc_id, p, substr(h, 2 * p + 1, 100) AS string
+  FROM (SELECT row, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM raw WHERE len(h) >= 100)),
+firsts AS (SELECT string, min(doc_id) AS first FROM strings GROUP BY string HAVING count(*) > 1),
+later AS (SELECT row, p FROM strings JOIN firsts USING (string) WHERE doc_id > first),
+marked AS (SELECT row, p, CASE WHEN p <= lag(p) OVER (PARTITION BY row ORDER BY p) + 50 THEN 0 ELSE 1 END AS opens FROM later),
+numbered AS (SELECT row, p, sum(opens) OVER (PARTITION BY row ORDER BY p) AS span FROM marked),
+spans AS (SELECT row, span, min(p) AS b, max(p) + 50 AS e FROM numbered GROUP BY row, span),
+pieces AS (
+  SELECT row, span, substr(h, 2 * lag(e, 1, 0) OVER w + 1, 2 * (b - lag(e, 1, 0) OVER w)) AS piece, e - b AS gone
+  FROM spans JOIN raw USING (row) WINDOW w AS (PARTITION BY row ORDER BY span)),
+joined AS (
+  SELECT row, string_agg(piece, '' ORDER BY span) AS before, CAST(sum(gone) AS BIGINT) AS n_removed, count(*) AS n_spans
+  FROM pieces GROUP BY row),
+ends AS (SELECT row, max(e) AS e FROM spans GROUP BY row)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(e, 0) + 1))) AS kept_sha256
+FROM raw LEFT JOIN joined USING (row) LEFT JOIN ends USING (row)
+"""
+
+
+@query("op13_without_repeats", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("begins", "ends", lambda b, e: e - b), F.lit(0).cast("long"), lambda a, x: a + x)
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -32,13 +32,26 @@ class SpanHasher:
         self.letters = np.random.default_rng(20_240_601).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.powers = self.inverse = np.ones(1, dtype=np.uint64)
 
-    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _sums(self, data: np.ndarray) -> np.ndarray:
         if len(data) + 1 > len(self.powers):
             size = 1 << len(data).bit_length()
             self.powers, self.inverse = _powers(_BASE, size), _powers(_INVERSE, size)
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(self.letters[data] * self.powers[: len(data)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64)
+        return sums
+
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sums = self._sums(data)
+        return self._finished((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+    def windows(self, data: np.ndarray, width: int) -> np.ndarray:
+        """The hashes of all stretches of one width, by their first place."""
+        n = max(len(data) - width + 1, 0)
+        sums = self._sums(data)
+        return self._finished((sums[len(data) + 1 - n :] - sums[:n]) * self.inverse[:n] + np.uint64(width))
+
+    @staticmethod
+    def _finished(h: np.ndarray) -> np.ndarray:
         # The low bits of a polynomial are weak; a finalizer spreads the high ones.
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
