@@ -137,6 +137,30 @@ def p09_report(spark, sf_dir):
     return profile.without_incomplete(inputs.requests(spark, sf_dir), _P9_COLUMNS)[1]
 
 
+_LOOKUPS = (
+    ("orders", "l_orderkey", "true", "o_orderkey"), ("customer", "o_custkey", "o_orderkey IS NOT NULL", "c_custkey"),
+    ("home", "c_nationkey", "c_custkey IS NOT NULL", "dn.n_nationkey"), ("supplier", "l_suppkey", "true", "s_suppkey"),
+    ("origin", "s_nationkey", "s_suppkey IS NOT NULL", "sn.n_nationkey"), ("part", "l_partkey", "true", "p_partkey"),
+)
+
+
+@query(
+    "p09_dangling_keys",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS lookup, count(*) FILTER (WHERE {there} AND {column} IS NULL) AS null_keys,
+       count(*) FILTER (WHERE {there} AND {column} IS NOT NULL AND {found} IS NULL) AS missing_keys,
+       count(*) FILTER (WHERE {found} IS NOT NULL) AS used
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
+LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN part ON p_partkey = l_partkey
+LEFT JOIN nation sn ON sn.n_nationkey = s_nationkey LEFT JOIN nation dn ON dn.n_nationkey = c_nationkey"""
+        for name, column, there, found in _LOOKUPS
+    ),
+)
+def p09_dangling(spark, sf_dir):
+    """Line items whose lookups have no key, or find nothing; the fares keep them, with nulls."""
+    return fixtures.dangling(spark, sf_dir)
+
+
 @query(
     "ud1_valid_names",
     with_checked("""

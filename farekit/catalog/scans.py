@@ -6,39 +6,43 @@ from pyspark.sql import functions as F
 
 from farekit.catalog import inputs
 from farekit.catalog.registry import query
-from farekit.catalog.views import with_fares, with_priced, with_requests
+from farekit.catalog.views import with_fares, with_flights, with_priced, with_requests
 from farekit.operators import profile
 from farekit.session import scratch_path
-from farekit.sources import fixtures, readers, sinks
+from farekit.sources import fixtures, inference, readers, schemas, sinks
 
-_CSV_COLUMNS = ("fare_key", "airline", "class", "stops", "distance_km", "date", "days_before_departure", "price")
-_CSV_SCHEMA = (
-    "fare_key string, airline string, class string, stops string, distance_km double, date date, "
-    "days_before_departure int, price double"
-)
-_CSV_SQL = with_fares(f"SELECT {', '.join(_CSV_COLUMNS)} FROM fares")
+_FLIGHTS_SQL = with_flights("SELECT * FROM flights")
 
 
-def _fares_csv(spark, sf_dir):
-    path = scratch_path(spark, "fares-csv")
-    sinks.write_csv(fixtures.fares(spark, sf_dir, *_CSV_COLUMNS), path)
+def _flights_csv(spark, sf_dir):
+    path = scratch_path(spark, "flights-csv")
+    sinks.write_csv(fixtures.flights(spark, sf_dir), path)
     return path
 
 
-@query("s01_typed_scan", _CSV_SQL)
+@query("s01_typed_scan", _FLIGHTS_SQL)
 def s01(spark, sf_dir):
-    return readers.read_typed_csv(spark, _fares_csv(spark, sf_dir), _CSV_SCHEMA)
+    """The whole flights file with the types that its values have."""
+    return inference.read_inferred_csv(spark, _flights_csv(spark, sf_dir))
+
+
+@query("s01_declared_scan", _FLIGHTS_SQL)
+def s01_declared(spark, sf_dir):
+    return readers.read_typed_csv(spark, _flights_csv(spark, sf_dir), schemas.FLIGHTS)
 
 
-@query("s02_untyped_scan", _CSV_SQL)
+@query("s02_untyped_scan", _FLIGHTS_SQL)
 def s02(spark, sf_dir):
-    return readers.cast_columns(readers.read_untyped_csv(spark, _fares_csv(spark, sf_dir)), _CSV_SCHEMA)
+    return readers.cast_columns(readers.read_untyped_csv(spark, _flights_csv(spark, sf_dir)), schemas.FLIGHTS)
 
 
-@query("s03_table_sink", with_fares("SELECT count(*) AS n, round(sum(price), 2) AS total_price FROM fares"))
+@query(
+    "s03_table_sink",
+    with_flights("SELECT count(*) AS n, CAST(sum(price) AS BIGINT) AS total_price, count(DISTINCT route) AS routes FROM flights"),
+)
 def s03(spark, sf_dir):
-    back = readers.read_typed_csv(spark, _fares_csv(spark, sf_dir), _CSV_SCHEMA)
-    return back.agg(F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("total_price"))
+    back = readers.read_typed_csv(spark, _flights_csv(spark, sf_dir), schemas.FLIGHTS)
+    return back.agg(F.count("*").alias("n"), F.sum("price").alias("total_price"), F.count_distinct("route").alias("routes"))
 
 
 _SUMMARY_SQL = with_fares("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from farekit.catalog.inputs import AS_OF_DATE
 from farekit.sources import dims
-from farekit.sources.fixtures import FIXTURE_AIRLINE_MULTIPLIERS, FIXTURE_AIRLINES
+from farekit.sources.fixtures import FIXTURE_AIRLINE_MULTIPLIERS, FIXTURE_AIRLINES, FLIGHT_BASE
 
 _SLOTS = dims.values_sql(dims.SLOTS, ("slot", "slot_multiplier"), "slots")
 _CLASSES = dims.values_sql(dims.CLASSES, ("cabin", "class_multiplier", "cap_low", "cap_high"), "cabins")
@@ -31,14 +31,15 @@ FARES = f"""fares AS (
          CAST(l_shipdate AS DATE) AS date,
          CAST(((date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) % 91) + 91) % 91 AS INTEGER)
            AS days_before_departure,
-         l_extendedprice AS price, CAST(l_suppkey % {len(dims.route_rows())} + 1 AS INTEGER) AS route_id
+         l_extendedprice AS price, CAST(l_suppkey % {len(dims.route_rows())} + 1 AS INTEGER) AS route_id,
+         {FLIGHT_BASE} + l_orderkey * 10 + l_linenumber AS flight_id
   FROM lineitem
-  JOIN orders ON o_orderkey = l_orderkey
-  JOIN customer ON c_custkey = o_custkey
-  JOIN supplier ON s_suppkey = l_suppkey
-  JOIN part ON p_partkey = l_partkey
-  JOIN nation sn ON sn.n_nationkey = s_nationkey
-  JOIN nation dn ON dn.n_nationkey = c_nationkey
+  LEFT JOIN orders ON o_orderkey = l_orderkey
+  LEFT JOIN customer ON c_custkey = o_custkey
+  LEFT JOIN supplier ON s_suppkey = l_suppkey
+  LEFT JOIN part ON p_partkey = l_partkey
+  LEFT JOIN nation sn ON sn.n_nationkey = s_nationkey
+  LEFT JOIN nation dn ON dn.n_nationkey = c_nationkey
 )"""
 
 QUOTES = """quotes AS (
@@ -81,11 +82,11 @@ FACTORS = f"""factors AS (
          d.code AS destination_code, d.demand AS destination_demand, d.tier AS destination_tier,
          cap_low, cap_high
   FROM fares f
-  JOIN {_AIRLINES} ON carrier = airline
-  JOIN {_SLOTS} ON slot = departure_time
-  JOIN {_CLASSES} ON cabin = class
-  JOIN city_dim s ON s.city = source_city
-  JOIN city_dim d ON d.city = destination_city
+  LEFT JOIN {_AIRLINES} ON carrier = airline
+  LEFT JOIN {_SLOTS} ON slot = departure_time
+  LEFT JOIN {_CLASSES} ON cabin = class
+  LEFT JOIN city_dim s ON s.city = source_city
+  LEFT JOIN city_dim d ON d.city = destination_city
   LEFT JOIN holiday_dim h ON hm = month(date) AND hd = day(date)
 )"""
 
@@ -96,11 +97,29 @@ PRICED = """ruled AS (
          CAST(('0x' || substr(md5(fare_key), 1, 8)) AS BIGINT) AS key_hash
   FROM factors
 ), priced AS (
-  SELECT *, CAST(greatest(least(CAST(trunc(rule_price) AS INTEGER),
-                                cap_high), cap_low) AS INTEGER) AS composed_price
+  SELECT *, CASE WHEN rule_price IS NOT NULL THEN CAST(greatest(least(CAST(trunc(rule_price) AS INTEGER),
+                                coalesce(cap_high, 60000)), coalesce(cap_low, 8000)) AS INTEGER) END AS composed_price
   FROM ruled
 )"""
 
+# The flights table with all its columns.
+FLIGHTS = """flights AS (
+  SELECT flight_id, date, airline, upper(substr(airline, 1, 2)) || CAST(100 + flight_id % 9900 AS VARCHAR) AS flight_number,
+         source_city, source_code, destination_city, destination_code, departure_time,
+         CASE departure_time WHEN 'Early_Morning' THEN 'Morning' WHEN 'Morning' THEN 'Afternoon' WHEN 'Afternoon' THEN 'Evening'
+              WHEN 'Evening' THEN 'Night' WHEN 'Night' THEN 'Early_Morning' END AS arrival_time,
+         round(distance_km / 750.0e0, 2) AS duration, stops, class, distance_km, composed_price AS price,
+         days_before_departure, dayname(date) AS day_of_week,
+         CAST(CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend, is_holiday,
+         CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter,
+         CASE WHEN month(date) IN (12, 1, 2) THEN 'Winter' WHEN month(date) IN (3, 4, 5) THEN 'Summer'
+              WHEN month(date) IN (6, 7, 8, 9) THEN 'Monsoon' ELSE 'Post_Monsoon' END AS season,
+         CASE WHEN days_before_departure <= 7 THEN 'Last_Minute' WHEN days_before_departure >= 30 THEN 'Advance'
+              ELSE 'Normal' END AS booking_class,
+         source_city || ' → ' || destination_city AS route
+  FROM priced
+)"""
+
 REQUESTS = """requests AS (
   SELECT event_id AS request_id,
          CASE WHEN event_id % 41 <> 7 THEN
@@ -206,6 +225,7 @@ def _with(*parts: str):
 with_fares = _with(FARES)
 with_quotes = _with(FARES, QUOTES)
 with_priced = _with(FARES, CITIES, HOLIDAYS, FACTORS, PRICED)
+with_flights = _with(FARES, CITIES, HOLIDAYS, FACTORS, PRICED, FLIGHTS)
 with_requests = _with(REQUESTS)
 with_checked = _with(FARES, REQUESTS, CHECKED)
 with_distances = _with(CITIES, DISTANCES, REQUESTS)

@@ -1,17 +1,20 @@
 """Fares, quotes and requests as views over the star-schema test tables.
 
-A view joins only the tables its requested columns need. The lookups are inner
-joins on unique keys to which every row refers, so leaving one out never
-changes the rows.
+A view joins only the tables its requested columns need. The lookups are left
+joins on unique keys: a row whose key is null or has no partner stays, with
+nulls, so the rows are the same whichever columns are asked for. ``dangling``
+counts such keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farekit.functions import rules
 from farekit.operators import pricing
+from farekit.plans import features
 from farekit.session import stage
 from farekit.sources import dims, schemas
 
@@ -25,6 +28,8 @@ _CABIN_OF_EVENT = {"view": "Economy", "click": "Economy", "signup": "Premium_Eco
 FIXTURE_AIRLINES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 FIXTURE_AIRLINE_MULTIPLIERS = (0.95, 1.05, 0.90, 1.20, 0.88, 0.92)
 UNKNOWN_AIRLINE = "UNKNOWN"
+# Flight ids start beyond 32 bits.
+FLIGHT_BASE = 10_000_000_000
 
 # Which lookup each fares column needs besides lineitem.
 _NEEDS_ORDERS = {"departure_time", "stops", "days_before_departure"}
@@ -45,6 +50,7 @@ FARE_COLUMNS = (
     "days_before_departure",
     "price",
     "route_id",
+    "flight_id",
 )
 
 
@@ -79,22 +85,22 @@ def fares(spark: SparkSession, sf_dir: str, *columns: str, cabin: str | None = N
         orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
         if wanted & _NEEDS_CUSTOMER:
             customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-            orders = orders.join(customers, "o_custkey")
-        rows = rows.join(orders, "l_orderkey")
+            orders = orders.join(customers, "o_custkey", "left")
+        rows = rows.join(orders, "l_orderkey", "left")
     if wanted & _NEEDS_SUPPLIER:
         suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        rows = rows.join(suppliers, "l_suppkey")
+        rows = rows.join(suppliers, "l_suppkey", "left")
     if wanted & _NEEDS_PART:
         parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size")
-        rows = rows.join(parts, "l_partkey")
+        rows = rows.join(parts, "l_partkey", "left")
     # Names come last, so that only short keys and codes go through the shuffles.
     nation = table(spark, sf_dir, "nation")
     if wanted & _NEEDS_CUSTOMER:
         home = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination_city"))
-        rows = rows.join(home, "c_nationkey")
+        rows = rows.join(home, "c_nationkey", "left")
     if wanted & _NEEDS_SUPPLIER:
         origin = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("source_city"))
-        rows = rows.join(origin, "s_nationkey")
+        rows = rows.join(origin, "s_nationkey", "left")
 
     ship, order = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
     made = {
@@ -111,11 +117,51 @@ def fares(spark: SparkSession, sf_dir: str, *columns: str, cabin: str | None = N
         "price": lambda: F.col("l_extendedprice"),
         # One of the known routes, by supplier.
         "route_id": lambda: (F.pmod("l_suppkey", F.lit(len(dims.route_rows()))) + 1).cast("int"),
+        "flight_id": lambda: F.lit(FLIGHT_BASE) + F.col("l_orderkey") * 10 + F.col("l_linenumber"),
     }
     order_of = columns or FARE_COLUMNS
     return rows.select(*[made[name]().alias(name) for name in order_of])
 
 
+def dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lookup, null_keys, missing_keys, used): line items by what their lookups find, one row per lookup.
+
+    A lookup behind another counts only rows that the one before has found.
+    One pass over the line items; the lookups carry a mark each.
+    """
+    key = lambda name: F.col(name)
+    marked = lambda name, column, *extra: table(spark, sf_dir, name).select(
+        F.col(column).alias(f"{name}_key"), *extra, F.lit(True).alias(f"{name}_found")
+    )
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey")
+    rows = rows.join(marked("orders", "o_orderkey", "o_custkey"), key("l_orderkey") == key("orders_key"), "left")
+    rows = rows.join(marked("customer", "c_custkey", "c_nationkey"), key("o_custkey") == key("customer_key"), "left")
+    rows = rows.join(marked("supplier", "s_suppkey", "s_nationkey"), key("l_suppkey") == key("supplier_key"), "left")
+    rows = rows.join(marked("part", "p_partkey"), key("l_partkey") == key("part_key"), "left")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.lit(True).alias("found"))
+    for role, column in (("home", "c_nationkey"), ("origin", "s_nationkey")):
+        names = nation.select(F.col("n_nationkey").alias(f"{role}_key"), F.col("found").alias(f"{role}_found"))
+        rows = rows.join(names, key(column) == key(f"{role}_key"), "left")
+    reached = {
+        "orders": ("l_orderkey", None), "customer": ("o_custkey", "orders"), "home": ("c_nationkey", "customer"),
+        "supplier": ("l_suppkey", None), "origin": ("s_nationkey", "supplier"), "part": ("l_partkey", None),
+    }
+    counts = []
+    for name, (column, before) in reached.items():
+        there = F.lit(True) if before is None else F.col(f"{before}_found").isNotNull()
+        found = F.col(f"{name}_found").isNotNull()
+        counts.append(
+            F.struct(
+                F.lit(name).alias("lookup"),
+                F.count_if(there & F.col(column).isNull()).alias("null_keys"),
+                F.count_if(there & F.col(column).isNotNull() & ~found).alias("missing_keys"),
+                F.count_if(found).alias("used"),
+            ).alias(name)
+        )
+    one = rows.agg(*counts)
+    return one.select(F.inline(F.array(*[F.col(name) for name in reached])))
+
+
 def quotes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Fares as price quotes: flight, days_left, classx, price."""
     base = fares(
@@ -229,3 +275,22 @@ def priced_fares(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     same_region = F.col("source_region") == F.col("destination_region")
     factors = factors.withColumn("route_multiplier", F.when(same_region, 1.0).otherwise(0.95))
     return pricing.add_rule_price(factors)
+
+
+def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fares as a flights table with all its 24 columns."""
+    rows = features.calendar_columns(priced_fares(spark, sf_dir, "stops", "flight_id"))
+    number = F.lit(100) + F.pmod("flight_id", F.lit(9900))
+    # A flight lands in the slot after the one it leaves in.
+    slots = F.array(*[F.lit(name) for name in dims.SLOT_NAMES])
+    landing = F.get(slots, (F.array_position(slots, F.col("departure_time")) % len(dims.SLOT_NAMES)).cast("int"))
+    made = {
+        "flight_number": F.concat(rules.carrier_prefix(F.col("airline")), number.cast("string")),
+        "arrival_time": landing,
+        "duration": F.round(rules.nominal_duration(F.col("distance_km")), 2),
+        "price": F.col("composed_price"),
+        "booking_class": rules.booking_class(F.col("days_before_departure")),
+        "route": rules.route_label(F.col("source_city"), F.col("destination_city")),
+    }
+    names = T.StructType.fromDDL(schemas.FLIGHTS).names
+    return rows.select(*[made[name].alias(name) if name in made else F.col(name) for name in names])
