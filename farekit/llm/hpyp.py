@@ -52,8 +52,10 @@ END = np.uint64(0x5851F42D4C957F2D)
 _REQUEST = "cell int, block long, kind int, heads binary, pairs binary, small binary"
 _MESSAGE = "q int, cell int, side int, keys binary, counts binary, tables binary, seats binary"
 _REPLY = "cell int, q int, side int, a binary, b binary, n double, v double, m double, k double"
-_PARTIAL = "block long, kind int, docs binary, base binary, known binary, score binary"
-_SCORED = "doc_id long, in_training boolean, n_tokens long, n_known long, base_sum double, score double"
+_PARTIAL = "block long, kind int, docs binary, base binary, known binary, score binary, tokens double, types double"
+_SCORED = (
+    "doc_id long, in_training boolean, n_tokens long, n_known long, base_sum double, score double, tokens double, types double"
+)
 _KINDS = {
     "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(),
 }
@@ -344,7 +346,7 @@ class _Cell:
         for q, at in self._by_bucket(self.words):
             parent[at] = _unpack(rows[WORD, q]["a"], "<f4")
         for (side, _), row in rows.items():
-            totals = {k: row[k] for k in "nvmk"}
+            totals = row["totals"]
             if side == OWN:
                 own[self.count > 1] = _unpack(row["a"], "<f4")
         return count, tables, parent, own, totals
@@ -390,6 +392,7 @@ def _sums(side: int):
         score = np.log10(seated / (STRENGTH + known))
         base = np.log10(known + 1)
         rows, done = [], 0
+        sums = {"tokens": totals.get("n"), "types": totals.get("v")}
         for block, documents, document, times in pairs.parts:
             mine = np.repeat(pairs.which[done : done + len(documents)], documents)
             done += len(documents)
@@ -400,13 +403,12 @@ def _sums(side: int):
                     "block": block, "kind": 0, "docs": _pack(np.diff(at, prepend=0)),
                     "base": np.bincount(document, base[mine] * times, size)[at].astype("<f8").tobytes(),
                     "known": _pack(np.bincount(document, (known[mine] > 0) * times, size)[at]),
-                    "score": np.bincount(document, score[mine] * times, size)[at].astype("<f4").tobytes(),
+                    "score": np.bincount(document, score[mine] * times, size)[at].astype("<f4").tobytes(), **sums,
                 }
             )
         for row in pairs.infos:
-            rows.append(
-                {"block": row["block"], "kind": 1, "docs": row["heads"], "base": row["pairs"], "known": row["small"], "score": b""}
-            )
+            info = {"block": row["block"], "kind": 1, "docs": row["heads"], "base": row["pairs"], "known": row["small"]}
+            rows.append({**info, "score": b"", **sums})
         return _table(rows, _PARTIAL)
 
     return run
@@ -419,6 +421,8 @@ def _documents(partials: pa.Table) -> pa.Table:
     ids, sizes = np.frombuffer(info["docs"], "<i8"), np.frombuffer(info["base"], "<i8")
     flags = _unpack(info["known"])
     base, known, score = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids))
+    # A cell that has only the names of documents hears of no sums; every document has a pair in some cell.
+    sums = next((r for r in rows if r["tokens"] is not None), {"tokens": 0.0, "types": 0.0})
     for row in sorted((r for r in rows if r["kind"] == 0), key=lambda r: (len(r["docs"]), r["docs"], r["score"])):
         at = np.cumsum(_unpack(row["docs"]).astype(np.int64))
         base[at] += np.frombuffer(row["base"], "<f8")
@@ -426,7 +430,7 @@ def _documents(partials: pa.Table) -> pa.Table:
         score[at] += np.frombuffer(row["score"], "<f4")
     arrays = [
         pa.array(ids, mask=flags[: len(ids)] == 0), pa.array(flags[len(ids) :] == 1), pa.array(sizes), pa.array(known),
-        pa.array(base), pa.array(score),
+        pa.array(base), pa.array(score), pa.array(np.full(len(ids), sums["tokens"])), pa.array(np.full(len(ids), sums["types"])),
     ]
     return pa.Table.from_arrays(arrays, schema=_schema(_SCORED))
 
@@ -524,16 +528,16 @@ def score_texts(docs: DataFrame, in_training: Column, *, rounds: int = ROUNDS, s
     for turn in range(rounds + 1):
         replies = messages.withColumn("known", known).groupBy("q").applyInArrow(_word_replies(turn, sweeps), _REPLY)
         totals = replies.where(F.col("cell") < 0).agg(sums.alias("totals")).scalar()
-        told = replies.where(F.col("cell") >= 0).withColumns({c: totals.getField(c) for c in "nvmk"})
+        # One subquery a turn: every further mention of the totals would repeat the whole plan so far.
+        told = replies.where(F.col("cell") >= 0).drop(*"nvmk").withColumn("totals", totals)
         if turn < rounds:
             cells = by_cell.cogroup(told.groupBy("cell"))
             messages = cells.applyInArrow(_next_messages(side, turn, sweeps), _MESSAGE).repartition("q")
     partials = by_cell.cogroup(told.groupBy("cell")).applyInArrow(_sums(side), _PARTIAL)
     scored = partials.groupBy("block").applyInArrow(_documents, _SCORED)
-    train_tokens, types = totals.getField("n"), totals.getField("v")
     return scored.select(
-        "doc_id", "in_training", "n_tokens", "n_known", train_tokens.cast("long").alias("train_tokens"),
-        (F.col("base_sum") - F.col("n_tokens") * F.log10(train_tokens + types + 1)).alias("base_score"),
+        "doc_id", "in_training", "n_tokens", "n_known", F.col("tokens").cast("long").alias("train_tokens"),
+        (F.col("base_sum") - F.col("n_tokens") * F.log10(F.col("tokens") + F.col("types") + 1)).alias("base_score"),
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )

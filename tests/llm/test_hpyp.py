@@ -103,3 +103,12 @@ def test_scores_do_not_depend_on_the_number_of_buckets(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert abs(found[1].sum() / found[0].sum() - 1) < 0.003
+
+
+def test_the_plan_stays_small(spark):
+    """Grouped Python steps in the logical plan: one mention of the totals a turn, none of them in the result's columns."""
+    nodes = []
+    for rounds in (1, 2, 3):
+        plan = hpyp.score_texts(docs(spark), F.lit(True), rounds=rounds)._jdf.queryExecution().analyzed().toString()
+        nodes.append(plan.count("FlatMapGroupsInArrow") + plan.count("FlatMapCoGroupsInArrow"))
+    assert nodes[1] < 60 and nodes[2] < 2.5 * nodes[1], nodes
