@@ -65,8 +65,8 @@ class FareFit:
 _fits: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, key: tuple, make):
-    """Fit a model once per application and table folder."""
+def once(spark: SparkSession, key: tuple, make):
+    """Fit a model, or run a stream, once per application and table folder."""
     full = (spark.sparkContext.applicationId, *key)
     if full not in _fits:
         _fits[full] = make()
@@ -74,7 +74,7 @@ def _once(spark: SparkSession, key: tuple, make):
 
 
 def _training_tables(spark: SparkSession, sf_dir: str):
-    return _once(
+    return once(
         spark, (sf_dir, "tables"), lambda: training.training_tables(training_features(spark, sf_dir), "fare_key")
     )
 
@@ -86,7 +86,7 @@ def fare_fit(spark: SparkSession, sf_dir: str, preset: str = "gbt") -> FareFit:
         metrics = encode.regression_metrics(model.transform(tables.held_out), "price", training.PREDICTION)
         return FareFit(model, tables.train, tables.held_out, tables.popularity, metrics.first()["r2"])
 
-    return _once(spark, (sf_dir, preset), make)
+    return once(spark, (sf_dir, preset), make)
 
 
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,7 @@ def notebook_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataF
         train, held_out, _ = multiplier.training_ratios(ratios(spark, sf_dir), "fare_key")
         return multiplier.notebook_pipeline().fit(train), train, held_out
 
-    return _once(spark, (sf_dir, "notebook"), make)
+    return once(spark, (sf_dir, "notebook"), make)
 
 
 def stored_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
@@ -108,7 +108,7 @@ def stored_fit(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFra
         train, held_out = encode.split(rows, F.col("fare_key"))
         return multiplier.stored_pipeline().fit(train), held_out
 
-    return _once(spark, (sf_dir, "stored"), make)
+    return once(spark, (sf_dir, "stored"), make)
 
 
 def quote_context(spark: SparkSession, sf_dir: str, scored: bool = True) -> QuoteContext:

@@ -12,7 +12,7 @@ from farekit.catalog.views import with_checked, with_fares, with_filled, with_qu
 from farekit.operators import validation
 from farekit.plans import quoting
 from farekit.session import scratch_path
-from farekit.sources import fixtures, schemas
+from farekit.sources import fixtures, readers, schemas
 from farekit.streaming import scoring
 
 
@@ -52,6 +52,41 @@ def v08_rejected(spark, sf_dir):
     return rejects.select("request_id", F.array_join("reasons", ",").alias("reasons"))
 
 
+# Every 23rd line each: cut off, no JSON at all, a word where a number belongs.
+_BROKEN = (
+    (3, '{"request_id":', ',"airline":"SMA'), (8, "no request ", ""),
+    (13, '{"request_id":', ',"days_before_departure":"soon"}'),
+)
+_BROKEN_SQL = " ".join(f"WHEN {n} THEN '{a}' || request_id || '{b}'" for n, a, b in _BROKEN)
+
+
+def _request_lines(spark, sf_dir):
+    """The requests as lines of JSON, some of them broken; a path."""
+    rows = inputs.requests(spark, sf_dir)
+    line = F.to_json(F.struct(*rows.columns))
+    for n, before, after in _BROKEN:
+        broken = F.concat(F.lit(before), F.col("request_id").cast("string"), F.lit(after))
+        line = F.when(F.col("request_id") % 23 == n, broken).otherwise(line)
+    path = scratch_path(spark, "request-lines")
+    rows.select(line.alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "v08_unreadable",
+    with_checked(f"""
+SELECT CASE WHEN line IS NULL THEN request_id END AS request_id, line AS unreadable_text,
+       CASE WHEN line IS NULL THEN reasons ELSE 'unreadable' END AS reasons
+FROM (SELECT *, CASE request_id % 23 {_BROKEN_SQL} END AS line FROM checked) lines"""),
+)
+def v08_unreadable(spark, sf_dir):
+    """Every line once: with no reason if it is accepted, with its text if it is no request."""
+    lines = readers.read_json_requests(spark, _request_lines(spark, sf_dir))
+    checked = validation.with_reasons(lines, inputs.vocabularies(spark, sf_dir))
+    readable = F.when(F.col(schemas.UNREADABLE).isNull(), F.col("request_id"))
+    return checked.select(readable.alias("request_id"), schemas.UNREADABLE, F.array_join("reasons", ",").alias("reasons"))
+
+
 @query(
     "v09_option_listing",
     with_fares("""
@@ -181,13 +216,21 @@ def _event_stream(spark, sf_dir):
     return fixtures.requests(files)
 
 
+def _one_run(spark, sf_dir):
+    """One stream over the requests that writes quotes and rejects; all streaming queries read what it wrote."""
+
+    def run():
+        path = scratch_path(spark, "scoring-run")
+        context = inputs.quote_context(spark, sf_dir)
+        scoring.start_scoring(_event_stream(spark, sf_dir), context, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+        return f"{path}/out"
+
+    return inputs.once(spark, (sf_dir, "scoring-run"), run)
+
+
 @query("st1_stream_quotes")
 def st1(spark, sf_dir):
-    path = scratch_path(spark, "stream-quotes")
-    context = inputs.quote_context(spark, sf_dir)
-    run = scoring.start_quotes(_event_stream(spark, sf_dir), context, f"{path}/out", f"{path}/checkpoint")
-    run.awaitTermination()
-    return _flat(spark.read.parquet(f"{path}/out"))
+    return _flat(spark.read.parquet(f"{_one_run(spark, sf_dir)}/quotes"))
 
 
 @query("st1_stream_fields", with_filled(_RESPONSE_SQL.replace("true AS price_in_tens", "true AS price_in_tens, true AS as_in_batch")))
@@ -202,11 +245,41 @@ def st1_fields(spark, sf_dir):
     )
 
 
-@query("st2_stream_rejects", with_checked("SELECT request_id, reasons FROM checked WHERE reasons <> ''"))
+_REJECTS_SQL = with_checked("SELECT request_id, reasons FROM checked WHERE reasons <> ''")
+
+
+@query("st2_one_pass_rejects", _REJECTS_SQL)
+def st2_one_pass(spark, sf_dir):
+    """The rejects of the run that made the quotes."""
+    rejects = spark.read.parquet(f"{_one_run(spark, sf_dir)}/rejects")
+    return rejects.select("request_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("st2_stream_rejects", _REJECTS_SQL)
 def st2(spark, sf_dir):
+    """Rejects alone, for which no model is needed."""
     path = scratch_path(spark, "stream-rejects")
     names = inputs.vocabularies(spark, sf_dir)
     run = scoring.start_rejects(_event_stream(spark, sf_dir), names, f"{path}/out", f"{path}/checkpoint")
     run.awaitTermination()
     rejects = spark.read.parquet(f"{path}/out")
     return rejects.select("request_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(
+    "st_conservation",
+    with_checked("""
+SELECT count(*) AS requests, count(*) FILTER (WHERE reasons = '') AS quotes, count(*) FILTER (WHERE reasons <> '') AS rejects,
+       CAST(0 AS BIGINT) AS repeated FROM checked"""),
+)
+def st_conservation(spark, sf_dir):
+    """Requests, quotes and rejects of the one run, and how many requests came out twice."""
+    out = _one_run(spark, sf_dir)
+    ids = lambda part: spark.read.parquet(f"{out}/{part}").select("request_id", F.lit(part).alias("part"))
+    every = ids("quotes").union(ids("rejects")).groupBy("request_id").agg(
+        F.count("*").alias("n"), F.count_if(F.col("part") == "quotes").alias("quotes")
+    )
+    return every.agg(
+        F.count("*").alias("requests"), F.sum("quotes").alias("quotes"), F.sum(F.col("n") - F.col("quotes")).alias("rejects"),
+        F.sum(F.col("n") - 1).alias("repeated"),
+    )

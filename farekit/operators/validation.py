@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from farekit.functions import rules
 from farekit.operators import lookup
 from farekit.session import stage
-from farekit.sources import dims
+from farekit.sources import dims, schemas
 
 REQUIRED = ("airline", "source_city", "destination_city", "departure_time", "cabin_class", "days_before_departure")
 
+UNREADABLE = "unreadable"
+
 # Allowed ranges and lists.
 RANGES = {
     "days_before_departure": (0, 90),
@@ -87,16 +89,21 @@ def _reasons():
 
 
 def with_reasons(requests: DataFrame, names: Vocabularies) -> DataFrame:
-    """Requests with ``reasons``, the sorted array of all broken rules."""
+    """Requests with ``reasons``, the sorted array of all broken rules.
+
+    A request that was read as text only has one reason, that it is unreadable:
+    what its fields are is not known.
+    """
     marked = mark_names(requests, names)
     found = F.array(*[F.when(broken, F.lit(reason)) for reason, broken in _reasons()])
-    return marked.withColumn("reasons", F.array_sort(F.array_compact(found))).drop(
-        "airline_known", "source_known", "destination_known"
-    )
+    reasons = F.array_sort(F.array_compact(found))
+    if schemas.UNREADABLE in requests.columns:
+        reasons = F.when(F.col(schemas.UNREADABLE).isNotNull(), F.array(F.lit(UNREADABLE))).otherwise(reasons)
+    return marked.withColumn("reasons", reasons).drop("airline_known", "source_known", "destination_known")
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("reasons") == 0).drop("reasons")
+    return checked.where(F.size("reasons") == 0).drop("reasons", schemas.UNREADABLE)
 
 
 def rejected(checked: DataFrame) -> DataFrame:

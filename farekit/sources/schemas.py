@@ -19,6 +19,9 @@ REQUESTS = (
     "distance_km double, stops string, is_weekend int, is_holiday int"
 )
 
+# Beside the requests read from JSON: the text of a record that is no request, null for any other.
+UNREADABLE = "unreadable_text"
+
 METADATA = (
     "valid_airlines array<string>, valid_cities array<string>, rmse double, mae double, r2 double, "
     "training_date string, total_flights_trained bigint"

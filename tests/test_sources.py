@@ -8,6 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from farekit.operators import validation
 from farekit.sources import fixtures, inference, readers, schemas, sinks
 from tests import oracle
 
@@ -120,3 +121,43 @@ def test_dangling_keys_are_counted_in_one_pass(spark, holed):
     assert rows["part"].null_keys + rows["part"].missing_keys + rows["part"].used == n
     assert rows["customer"].null_keys + rows["customer"].missing_keys + rows["customer"].used == rows["orders"].used
     assert rows["home"].missing_keys > 0 and rows["supplier"].missing_keys > 0
+
+
+LINES = [
+    '{"request_id": 1, "airline": "SMALL", "source_city": "Delhi", "destination_city": "Goa", "departure_time": "Morning", '
+    '"cabin_class": "Economy", "days_before_departure": 30}',
+    '{"request_id": 2, "airline": "SMA',
+    "no request",
+    '{"request_id": 4, "days_before_departure": "soon"}',
+    "[5]",
+    "6",
+    '"seven"',
+    "",
+    "   ",
+    "{}",
+    '{"request_id": 9, "airline": "SMALL", "unknown": [1, 2], "source_city": "Delhi", "destination_city": "Delhi"}',
+]
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_every_line_is_accepted_or_rejected_once(spark, tmp_path, streaming):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "lines.json").write_text("\n".join(LINES))
+    names = validation.Vocabularies(
+        spark.createDataFrame([("SMALL",)], "airline string"), spark.createDataFrame([("Delhi",), ("Goa",)], "city string")
+    )
+    if streaming:
+        checked = validation.with_reasons(readers.stream_requests(spark, str(tmp_path / "in")), names)
+        run = checked.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        checked = spark.read.parquet(str(tmp_path / "out"))
+    else:
+        checked = validation.with_reasons(readers.read_json_requests(spark, str(tmp_path / "in")), names)
+    good, bad = validation.accepted(checked), validation.rejected(checked).collect()
+    assert schemas.UNREADABLE not in good.columns and [r.request_id for r in good.collect()] == [1]
+    texts_of = sorted(r[schemas.UNREADABLE].strip() for r in bad if r[schemas.UNREADABLE] is not None)
+    assert texts_of == sorted(LINES[i] for i in (1, 2, 3, 4, 5, 6))
+    assert all((r.reasons == ["unreadable"]) == (r[schemas.UNREADABLE] is not None) for r in bad)
+    readable = {r.request_id: r.reasons for r in bad if r[schemas.UNREADABLE] is None}
+    assert set(readable) == {None, 9} and "same_city" in readable[9] and len(bad) == 8
