@@ -29,7 +29,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _AT_ONCE = 65_536
 
 
-def _shingles(body: bytes, size: int, distinct: bool) -> Iterator[list[bytes]]:
+def _shingles(body: bytes, size: int) -> Iterator[list[bytes]]:
     """The word shingles of a lower-cased text, space-joined, some thousand at a time."""
     tokens = body.translate(LOWER).split()
     if not tokens:
@@ -39,8 +39,6 @@ def _shingles(body: bytes, size: int, distinct: bool) -> Iterator[list[bytes]]:
     starts = np.concatenate([[0], ends[:-1]])
     size = min(size, len(tokens))
     spans = list(zip(starts[: len(starts) - size + 1].tolist(), (ends[size - 1 :] - 1).tolist(), strict=True))
-    if distinct:
-        spans = list({joined[a:b]: (a, b) for a, b in spans}.values())
     for i in range(0, len(spans), _AT_ONCE):
         yield [joined[a:b] for a, b in spans[i : i + _AT_ONCE]]
 
@@ -54,26 +52,26 @@ def _majority(hashes: Iterator[np.ndarray], width: int) -> np.ndarray:
     return np.packbits(counts * 2 > total, bitorder="little").view(np.int64)
 
 
-def simhash(body: bytes | None, size: int = SHINGLE, distinct: bool = False) -> int:
+def simhash(body: bytes | None, size: int = SHINGLE) -> int:
     """The 64-bit fingerprint of a UTF-8 text as a signed long; 0 for a text without a word.
 
     A bit is 1 if it is set in more than half of the XXH64 hashes of the text's
-    word shingles, repeats included unless ``distinct``. A text of fewer words
-    than ``size`` is one shingle.
+    word shingles, repeats included. A text of fewer words than ``size`` is one
+    shingle.
     """
     hashes = (
         np.fromiter((xxhash.xxh64_intdigest(s, HASH_SEED) for s in part), np.uint64, len(part)).view(np.uint8).reshape(-1, 8)
-        for part in _shingles(body or b"", size, distinct)
+        for part in _shingles(body or b"", size)
     )
     return int(_majority(hashes, BITS)[0])
 
 
-def fingerprint(text: Column, size: int = SHINGLE, distinct: bool = False) -> Column:
+def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     """``simhash`` of a text column; null counts as empty."""
 
     @F.pandas_udf(T.LongType())
     def of_texts(bodies: pd.Series) -> pd.Series:
-        return pd.Series([simhash(b, size, distinct) for b in bodies], dtype="int64")
+        return pd.Series([simhash(b, size) for b in bodies], dtype="int64")
 
     return of_texts(text.cast("binary"))
 
@@ -128,7 +126,7 @@ class _Forest:
 _UNSIGNED = (1 << BITS) - 1
 
 
-def _link_shards(radius: int, check_bits: int | None):
+def _link_shards(radius: int):
     """Search the trees of one shard with the fingerprints of another (or its own); give a spanning forest of the links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,15 +135,13 @@ def _link_shards(radius: int, check_bits: int | None):
             for row in batch.to_pylist():
                 nodes, others = row["nodes"], row["others"] or []
                 prints = [n["bits"] & _UNSIGNED for n in nodes + others]
-                checks = [n["check"] for n in nodes + others]
                 forest, tree = _Forest(len(prints)), BKTree()
                 for i, bits in enumerate(prints):
                     inner = i < len(nodes)
                     # A shard against itself: each print asks those before it. Against another: only the others ask.
                     if not others or not inner:
                         for j in tree.near(bits, radius):
-                            if check_bits is None or _differing(checks[i], checks[j]) <= check_bits:
-                                forest.join(i, j)
+                            forest.join(i, j)
                     if inner:
                         tree.add(bits)
                 ids = [n["node"] for n in nodes + others]
@@ -158,10 +154,6 @@ def _link_shards(radius: int, check_bits: int | None):
     return run
 
 
-def _differing(a: list[int], b: list[int]) -> int:
-    return sum(((x ^ y) & _UNSIGNED).bit_count() for x, y in zip(a, b, strict=True))
-
-
 def _block_keys(bits: Column, radius: int, shared: int) -> Column:
     """The values of every choice of ``shared`` out of radius + shared blocks of bits, as (choice, value)."""
     blocks = radius + shared
@@ -175,13 +167,10 @@ def _block_keys(bits: Column, radius: int, shared: int) -> Column:
     return F.array(*keys)
 
 
-def linked(
-    nodes: DataFrame, radius: int = RADIUS, *, shared: int = SHARED_BLOCKS, check_bits: int | None = None
-) -> DataFrame:
-    """(node, root) of all rows (node, bits, check) that link to another; root is the smallest node reachable.
+def linked(nodes: DataFrame, radius: int = RADIUS, *, shared: int = SHARED_BLOCKS) -> DataFrame:
+    """(node, root) of all rows (node, bits) that link to another; root is the smallest node reachable.
 
-    Two rows link if ``bits`` differ in ``radius`` places at most and, given
-    ``check_bits``, the longs in ``check`` in that many at most. ``node`` must
+    Two rows link if ``bits`` differ in ``radius`` places at most. ``node`` must
     tell rows apart.
 
     Prints within the radius agree in ``shared`` of radius + shared blocks of
@@ -192,10 +181,10 @@ def linked(
     one meeting are reduced to a spanning forest before they leave the task, so
     a dense group gives as many links as it has rows, not their square.
     """
-    keyed = nodes.select("node", "bits", "check", F.inline(_block_keys(F.col("bits"), radius, shared)))
+    keyed = nodes.select("node", "bits", F.inline(_block_keys(F.col("bits"), radius, shared)))
     counts = keyed.groupBy("choice", "value").agg(F.count("*").alias("n")).where("n > 1")
     counts = stage(counts, "shard-counts").withColumnsRenamed({"choice": "__choice", "value": "__value"})
-    member = F.struct("node", "bits", "check")
+    member = F.struct("node", "bits")
     shards = (
         keyed.join(counts, (F.col("choice") == F.col("__choice")) & (F.col("value") == F.col("__value")))
         .withColumn("shard", F.pmod(F.xxhash64("bits"), F.ceil(F.col("n") / TREE_NODES)))
@@ -213,10 +202,23 @@ def linked(
         (F.col("choice") == F.col("__choice")) & (F.col("value") == F.col("__value")) & (F.col("shard") < F.col("__shard"))
     )
     pairs = many.join(others, meets).select("nodes", "others")
-    edges = alone.union(pairs).mapInArrow(_link_shards(radius, check_bits), "a long, b long")
+    edges = alone.union(pairs).mapInArrow(_link_shards(radius), "a long, b long")
     return components(stage(edges, "links"))
 
 
+def _members(prints: DataFrame, low: Column, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The different fingerprints with the root of their component, and the smallest ``low`` of each root.
+
+    Copies share one fingerprint, which is searched once.
+    """
+    distinct = prints.groupBy("bits").agg(F.min(low).alias("low"))
+    roots = stage(linked(distinct.select(F.col("bits").alias("node"), "bits"), radius), "roots")
+    with_root = distinct.join(roots, F.col("bits") == F.col("node"), "left").select(
+        "bits", "low", F.coalesce("root", "bits").alias("root")
+    )
+    return with_root, stage(with_root.groupBy("root").agg(F.min("low").alias("low")), "lowest")
+
+
 def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, bits, component_id) of every document.
 
@@ -227,160 +229,28 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     Repeated rows stay. Copies share one fingerprint, which is searched once.
     """
     prints = stage(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("bits")), "prints")
-    distinct = prints.groupBy("bits").agg(F.min("doc_id").alias("low"))
-    nodes = distinct.select(F.col("bits").alias("node"), "bits", F.array().cast("array<long>").alias("check"))
-    roots = stage(linked(nodes, radius), "roots")
-    with_root = distinct.join(roots, F.col("bits") == F.col("node"), "left").select(
-        "bits", "low", F.coalesce("root", "bits").alias("root")
-    )
-    lowest = stage(with_root.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
+    with_root, lowest = _members(prints, F.col("doc_id"), radius)
     members = stage(
-        with_root.join(lowest.withColumnRenamed("root", "__root"), F.col("root") == F.col("__root")).select(
-            F.col("bits").alias("__bits"), "component_id"
-        ),
+        with_root.join(lowest.select(F.col("root").alias("__root"), F.col("low").alias("component_id")), F.col("root") == F.col("__root"))
+        .select(F.col("bits").alias("__bits"), "component_id"),
         "members",
-    )
-    return prints.join(members, F.col("bits") == F.col("__bits")).select("doc_id", "bits", "component_id")
-
-
-# Deduplication: sets of five-word shingles, alike from this Jaccard similarity on.
-SHINGLES = 5
-SIMILARITY = 0.8
-# Candidates share all minima of a band. Two sets of similarity s do so in no band with probability (1 - s^BAND)^BANDS:
-# 3e-6 at 0.8, less above.
-BANDS, BAND = 32, 5
-# Hashes that meet in one task: 2 MB.
-MEETING = 1 << 18
-# Multipliers and masks of the permutations whose minima are taken: fixed, so a retry repeats its result.
-_MIX = np.random.default_rng(HASH_SEED).integers(0, 2**64, (2, BANDS * BAND), dtype=np.uint64)
-_TIMES, _MASKS = _MIX[0] | np.uint64(1), _MIX[1]
-
-
-_SKETCH = T.StructType(
-    [
-        T.StructField("node", T.LongType()), T.StructField("size", T.IntegerType()),
-        T.StructField("keys", T.ArrayType(T.LongType())),
-    ]
-)
-
-
-def shingle_set(body: bytes | None) -> np.ndarray:
-    """Hashes of the distinct five-word shingles of a text, in order; none for a text without a word."""
-    hashes = [xxhash.xxh3_64_intdigest(s) for part in _shingles(body or b"", SHINGLES, True) for s in part]
-    return np.unique(np.array(hashes, dtype=np.uint64))
-
-
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A key for each band: the hash of the band's number and its minima over the set; none for an empty set."""
-    if not len(hashes):
-        return []
-    minima = np.full(BANDS * BAND, 2**64 - 1, dtype=np.uint64)
-    for i in range(0, len(hashes), 1024):
-        mixed = (hashes[i : i + 1024, None] ^ _MASKS) * _TIMES
-        np.minimum(minima, mixed.min(axis=0), out=minima)
-    bands = minima.reshape(BANDS, BAND)
-    return [xxhash.xxh3_64_intdigest(b.tobytes(), n) - (1 << 63) for n, b in enumerate(bands)]
-
-
-@F.pandas_udf(_SKETCH)
-def _sketch(bodies: pd.Series) -> pd.DataFrame:
-    rows = []
-    for body in bodies:
-        hashes = shingle_set(body)
-        rows.append((xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63), len(hashes), band_keys(hashes)))
-    return pd.DataFrame(rows, columns=["node", "size", "keys"])
-
-
-@F.pandas_udf(T.BinaryType())
-def _set(bodies: pd.Series) -> pd.Series:
-    return pd.Series([shingle_set(b).tobytes() for b in bodies], dtype="object")
-
-
-def _alike(similarity: float):
-    """The links inside one meeting of sets, by exact count of what each two have in common, as a spanning forest."""
-
-    def run(group: pa.Table) -> pa.Table:
-        ids = group.column("node").to_pylist()
-        sets = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
-        sizes = np.array([len(h) for h in sets])
-        _, which = np.unique(np.concatenate(sets), return_inverse=True)
-        owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(which, kind="stable")]
-        holders = np.bincount(which)
-        starts = np.cumsum(holders) - holders
-        forest, done = _Forest(len(ids)), 0
-        for i, size in enumerate(sizes.tolist()):
-            mine = which[done : done + size]
-            done += size
-            n = holders[mine]
-            at = np.repeat(starts[mine] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            both = np.bincount(owners[at], minlength=len(ids))[:i]
-            for j in np.flatnonzero(both / (size + sizes[:i] - both) >= similarity).tolist():
-                forest.join(i, j)
-        roots = [forest.root(i) for i in range(len(ids))]
-        edges = [(ids[i], ids[r]) for i, r in enumerate(roots) if i != r]
-        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
-
-    return run
-
-
-def similar(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, root) of all sets that link to another; root is the smallest node reachable.
-
-    ``nodes`` has (node, size, keys, row) of every set, ``texts`` (row, body),
-    where row finds one text of each. Sets that share a band key meet, with all
-    their hashes, and link if their Jaccard similarity is high enough. Keys
-    with the same sets meet once. Sets of more than MEETING hashes in all are
-    dealt into several parts, every two of which meet. What leaves a meeting
-    is a spanning forest, so a dense group gives as many links as it has sets,
-    not their square.
-    """
-    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum("size").alias("hashes"), F.bit_xor(F.xxhash64("node")).alias("all"),
-        F.min("node").alias("low"), F.max("node").alias("high"),
     )
-    once = shared.where("n > 1").groupBy("n", "hashes", "all", "low", "high").agg(F.min("key").alias("__key"))
-    parts = F.ceil(F.col("hashes") / MEETING).cast("int").alias("parts")
-    once = stage(once.select("__key", parts), "shared-keys")
-    members = stage(keyed.join(once, F.col("key") == F.col("__key")).select("key", "node", "parts"), "members")
-    wanted = members.select(F.col("node").alias("__node")).distinct()
-    rows = nodes.join(wanted, F.col("node") == F.col("__node")).select(F.col("node").alias("__set"), F.col("row").alias("__row"))
-    rows = stage(rows, "candidates")
-    # Repeated rows share their hash; one of them is enough.
-    found = texts.join(rows, F.col("row") == F.col("__row")).select("__set", _set("body").alias("hashes"))
-    sets = stage(found.dropDuplicates(["__set"]), "sets")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: x != F.col("part"))
-    )
-    meets = members.withColumn("part", part).select("key", "node", "part", F.explode(others).alias("other"))
-    meets = meets.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "node")
-    links = meets.join(sets, F.col("node") == F.col("__set")).select("key", "low", "high", "node", "hashes")
-    links = links.groupBy("key", "low", "high").applyInArrow(_alike(similarity), "a long, b long")
-    return components(stage(links, "links"))
+    return prints.join(members, F.col("bits") == F.col("__bits")).select("doc_id", "bits", "component_id")
 
 
-def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group of near-duplicates, with the columns it came with.
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each group of ``grouped``, with the columns it came with.
 
-    Documents link if the sets of their five-word shingles (A-Z lowered; a
-    shorter text is one shingle) have the given Jaccard similarity. The smallest
-    doc_id of a group stays, null last; of equal ids the one with the smaller
-    hash, of equal rows one. All texts without a word are copies of each other.
-    An empty table stays empty.
+    The smallest doc_id of a group stays, null last; of equal ids the one with
+    the smaller hash of id and text, of equal rows one. All texts without a word
+    are one group with whatever their fingerprint 0 links to. Texts of any
+    length are read whole. An empty table stays empty.
     """
     row = F.xxhash64("doc_id", "text")
+    prints = stage(docs.select("doc_id", row.alias("row"), fingerprint(F.col("text"), shingle).alias("bits")), "prints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    texts = docs.select("doc_id", row.alias("row"), F.col("text").cast("binary").alias("body"))
-    prints = texts.select("doc_id", "row", _sketch("body").alias("sketch")).select("doc_id", "row", "sketch.*")
-    nodes = prints.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"), F.min(order).alias("low"))
-    nodes = stage(nodes, "nodes")
-    roots = similar(nodes.select("node", "size", "keys", "low.row"), texts, similarity)
-    with_root = nodes.select("node", "low").join(
-        stage(roots.withColumnsRenamed({"node": "__node"}), "roots"), F.col("node") == F.col("__node"), "left"
-    )
-    kept = with_root.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("low"))
-    kept = stage(kept.select(F.col("low.row").alias("__kept")), "kept")
+    _, lowest = _members(prints, order, radius)
+    kept = stage(lowest.select(F.col("low.row").alias("__kept")), "kept")
     # The row hash covers id and text, so copies of a hot text spread; only repeated rows meet in the window.
     again = Window.partitionBy("__row").orderBy("__kept")
     return (
