@@ -19,7 +19,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the base rules and the certified cutoffs keep."""
+    """The documents that the base rules and the certified cutoffs keep.
+
+    Null and empty texts have no word and go. Repeated rows fare alike; texts of
+    any length are counted whole. Without labels the base rules alone decide.
+    An empty table stays empty, and columns of any name pass through.
+    """
     numbers = stage(quality.with_counts(docs).select("doc_id", "lang", *quality.COUNTS), "pipeline-counts")
     cutoffs = quality.certified_cutoffs(numbers, _table(spark, sf_dir, "labels"))
     # Counting twice moves less than keeping a second copy of all texts.
@@ -27,22 +32,42 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, a similarity of about 0.8 or more."""
-    return simhash.deduplicated(docs)
+    """One document of each group whose SimHash fingerprints of four-word shingles are linked by 4 differing bits or fewer.
+
+    The smallest doc_id of a group stays, null last, and one of repeated rows.
+    Null, empty and blank texts are copies of each other. An empty table stays
+    empty, and columns of any name pass through.
+    """
+    return simhash.deduplicated(docs, simhash.SHINGLE, simhash.RADIUS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in which no benchmark item is found."""
+    """The documents in which no benchmark item is found.
+
+    Null and empty texts hold none and stay, repeated rows fare alike, texts of
+    any length are searched whole. An empty table stays empty, an empty
+    benchmark leaves all rows. Columns of any name pass through.
+    """
     return decontaminate.decontaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's share of the mix asks for."""
+    """Each document as often as its source's share of the mix asks for.
+
+    A null source is one of the sources. Null and empty texts have size 0 and
+    no target of their own; equal rows share their draw. An empty table stays
+    empty, and columns of any name pass through.
+    """
     return mixing.mix(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in a random order, with shard and slot."""
+    """The documents in a random order, with shard and slot.
+
+    Every row is placed once, whatever its columns hold; equal rows are told
+    apart by their number. Counts of the shards differ by one at most. An empty
+    table stays empty; columns named shard or slot are replaced.
+    """
     return sharding.shard(docs)
 
 
