@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farekit.catalog import inputs
@@ -9,6 +12,7 @@ from farekit.catalog.joins import _BASELINE_SQL, _ROUTES_SQL
 from farekit.catalog.registry import query
 from farekit.catalog.views import with_fares, with_priced, with_quotes
 from farekit.operators import baseline, encode, lookup, popularity, profile
+from farekit.session import stage
 from farekit.sources import fixtures
 
 
@@ -48,6 +52,53 @@ def a03(spark, sf_dir):
     return table.withColumn("avg_price", F.round("avg_price", 6))
 
 
+_PRICE_SETS = {"lead_time": ["days_left"], "class": ["classx"], "flight": ["flight", "days_left"]}
+_SET_SQL = " UNION ALL ".join(
+    f"""SELECT '{part}' AS part, {", ".join(f"{k if k in keys else 'NULL'} AS {k}" for k in ("days_left", "classx", "flight"))},
+       round(avg(price), 6) AS avg_price, min(price) AS min_price, max(price) AS max_price, count(price) AS count
+FROM quotes GROUP BY {", ".join(keys)}"""
+    for part, keys in _PRICE_SETS.items()
+)
+
+
+@query("a03_stats_in_one_pass", with_quotes(_SET_SQL))
+def a03_sets(spark, sf_dir):
+    """The three groupings of the price statistics from one aggregation."""
+    table = profile.stats_by_sets(fixtures.quotes(spark, sf_dir), "price", _PRICE_SETS)
+    return table.withColumn("avg_price", F.round("avg_price", 6))
+
+
+@query(
+    "a17_report_in_one_pass",
+    with_fares("""
+SELECT 'summary' AS part, NULL AS name, count(*) AS n, round(avg(price), 6) AS number FROM fares
+UNION ALL SELECT 'routes', NULL, count(DISTINCT source_city || '-' || destination_city), NULL FROM fares
+UNION ALL SELECT 'median', NULL, NULL, round(median(price), 6) FROM fares
+UNION ALL SELECT 'airline', airline, count(*), round(count(*) * 1.0e0 / (SELECT count(*) FROM fares), 6) FROM fares GROUP BY airline
+UNION ALL SELECT 'class', class, count(*), round(count(*) * 1.0e0 / (SELECT count(*) FROM fares), 6) FROM fares GROUP BY class
+UNION ALL SELECT 'top_route', route, n, NULL FROM (
+  SELECT source_city || '-' || destination_city AS route, count(*) AS n FROM fares GROUP BY 1 ORDER BY n DESC, route LIMIT 10)"""),
+)
+def a17_report(spark, sf_dir):
+    """The parts of the report, all from one aggregation over the flights."""
+    rows = inputs.routed_fares(spark, sf_dir, "airline", "class", "date", "price")
+    found = profile.Report.of(rows, 365)
+    part = lambda df, part, name, n, number: df.select(
+        F.lit(part).alias("part"), F.lit(name).cast("string").alias("name") if name is None else F.col(name).alias("name"),
+        (F.col(n) if n else F.lit(None)).cast("long").alias("n"),
+        (F.round(number, 6) if number else F.lit(None)).cast("double").alias("number"),
+    )
+    parts = [
+        part(found.part("all"), "summary", None, "n", "mean_price"),
+        part(found.summary(), "routes", None, "total_routes", None),
+        part(found.median_price(), "median", None, None, "median"),
+        part(found.shares("airline"), "airline", "airline", "n", "share"),
+        part(found.shares("class"), "class", "class", "n", "share"),
+        part(found.top_routes(10), "top_route", "route", "n", None),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 _RATIO_SQL = f"""(SELECT q.*, price / baseline_price AS price_ratio FROM quotes q JOIN {_BASELINE_SQL} b USING (flight))"""
 _RATIO_STATS_SQL = f"""
 SELECT days_left, classx, round(avg(price_ratio), 6) AS avg_price_ratio, round(min(price_ratio), 6) AS min_price_ratio,
@@ -142,6 +193,29 @@ def a11(spark, sf_dir):
     return table.select(F.round("median", 6).alias("median_price"))
 
 
+_RANK_ERROR = 0.001
+
+
+@query(
+    "a11_approximate_median",
+    with_fares("SELECT class, count(price) AS n, true AS is_a_price, true AS rank_within_error FROM fares GROUP BY class"),
+)
+def a11_approximate(spark, sf_dir):
+    """By class: whether the approximate median is one of the prices and near the middle of their order."""
+    rows = fixtures.fares(spark, sf_dir, "class", "price")
+    middle = stage(profile.approximate_median(rows, "price", ["class"], _RANK_ERROR), "middles")
+    ranked = rows.join(middle.withColumnRenamed("class", "of_class"), F.col("class").eqNullSafe(F.col("of_class")))
+    counted = ranked.groupBy("class").agg(
+        F.count("price").alias("n"), F.count_if(F.col("price") < F.col("median")).alias("below"),
+        F.count_if(F.col("price") <= F.col("median")).alias("upto"),
+    )
+    off = F.greatest(F.col("below") - F.col("n") / 2, F.col("n") / 2 - F.col("upto"))
+    return counted.select(
+        "class", "n", (F.col("upto") > F.col("below")).alias("is_a_price"),
+        (off <= F.col("n") * _RANK_ERROR + 1).alias("rank_within_error"),
+    )
+
+
 def _shares_sql(column: str) -> str:
     return with_fares(f"""
 SELECT {column}, count(*) AS n, round(count(*) * 1.0e0 / (SELECT count(*) FROM fares), 6) AS share

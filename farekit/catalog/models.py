@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farekit.catalog import inputs
 from farekit.catalog.joins import _BASELINE_SQL
 from farekit.catalog.projections import _SEASON_SQL, _URGENCY_SQL
 from farekit.catalog.registry import query
-from farekit.catalog.views import FARES, with_fares, with_priced, with_quotes
+from farekit.catalog.views import CITIES, FARES, with_fares, with_priced, with_quotes
 from farekit.functions import rules
 from farekit.operators import baseline, encode, popularity
-from farekit.plans import features, multiplier, training
+from farekit.plans import features, multiplier, quoting, training
 from farekit.session import stage
-from farekit.sources import fixtures
+from farekit.sources import dims, fixtures, schemas
 
 _LABELS_SQL = f"""labelled AS (
   SELECT fare_key, airline, source_city, destination_city, departure_time, class,
@@ -268,15 +270,32 @@ def m12_slots(spark, sf_dir):
     return m12(spark, sf_dir).select("slot", "feature", "source")
 
 
-@query("o07_importance_total", f"SELECT 1.0e0 AS total, {len((*features.CATEGORICAL, *features.NUMERIC))} AS sources, 10 AS top")
+# Any numbers do, if they depend on the slot alone; eighths add up without rounding.
+_WEIGHT_SQL = "(slot * 37 % 101) / 8.0e0"
+
+
+@query(
+    "o07_importance_total",
+    f"""WITH {FARES}, {_TRAIN_SLOTS_SQL},
+named AS (
+  SELECT position, source, coalesce(index, 0) AS index
+  FROM (VALUES {_SOURCES_SQL}) AS s(position, source) LEFT JOIN ranked ON ranked.feature = s.source),
+slots AS (SELECT row_number() OVER (ORDER BY position, index) - 1 AS slot, source FROM named)
+SELECT source, sum({_WEIGHT_SQL}) AS importance, count(*) AS slots,
+       CAST(row_number() OVER (ORDER BY sum({_WEIGHT_SQL}) DESC, source) AS INTEGER) AS rank
+FROM slots GROUP BY source ORDER BY rank LIMIT 10""",
+)
 def o07_total(spark, sf_dir):
+    """Sources of the fitted model's slots, ranked by weights that are known: what a fit's own weights go through."""
     fit = inputs.fare_fit(spark, sf_dir)
-    slots = training.importances(fit.model, fit.train)
-    top = training.top_importances(slots).select(F.count("*").cast("int")).scalar()
-    total = training.importance_by_source(slots).agg(
-        F.round(F.sum("importance"), 6).alias("total"), F.count("*").cast("int").alias("sources")
-    )
-    return total.withColumn("top", top)
+    slots = training.slot_names(fit.model.transform(fit.train))
+    weights = slots.select("slot", (F.col("slot") * 37 % 101 / 8).alias("importance"))
+    weighed = training.importances_of(slots, weights)
+    counts = weighed.groupBy("source").agg(F.count("*").alias("slots"))
+    # Ten rows at most.
+    rank = F.row_number().over(Window.orderBy(F.desc("importance"), "source"))
+    top = training.top_importances(weighed).join(counts, "source")
+    return top.select("source", "importance", "slots", rank.alias("rank"))
 
 
 @query("m13_scored_rows", with_priced("SELECT fare_key, composed_price AS price, true AS predicted FROM priced"))
@@ -305,6 +324,61 @@ def m15_grid(spark, sf_dir):
     )
 
 
+# The three fares that are quoted as examples, with the names of the original's airlines and cities.
+EXAMPLE_FARES = (
+    (1, "IndiGo", "Delhi", "Mumbai", "Morning", "Economy", 30, 1150.0, 0),
+    (2, "Vistara", "Bangalore", "Goa", "Evening", "Business", 7, 520.0, 0),
+    (3, "Air_India", "Chennai", "Delhi", "Night", "Economy", 2, 1760.0, 1),
+)
+_EXAMPLE_COLUMNS = (
+    "request_id", "airline_name", "source_name", "destination_name", "departure_time", "cabin_class",
+    "days_before_departure", "distance_km", "is_weekend",
+)
+_CARRIERS = tuple(zip((name for name, _ in dims.AIRLINES), fixtures.FIXTURE_AIRLINES, strict=True))
+
+
+def _example_requests(spark, sf_dir):
+    """The examples as requests, under the names that stand for theirs in the tables."""
+    asked = dims.values_table(spark, EXAMPLE_FARES, _EXAMPLE_COLUMNS)
+    carriers = dims.values_table(spark, _CARRIERS, ("airline_name", "airline"))
+    stands = fixtures.fixture_cities(spark, sf_dir).groupBy("city_name").agg(F.min("city").alias("city"))
+    named = asked.join(carriers, "airline_name")
+    for role in ("source", "destination"):
+        named = named.join(stands.toDF(f"{role}_name", f"{role}_city"), f"{role}_name")
+    request = T.StructType.fromDDL(schemas.REQUESTS)
+    given = {f.name: F.col(f.name) if f.name in named.columns else F.lit(None) for f in request}
+    return named.select(*[given[f.name].cast(f.dataType).alias(f.name) for f in request])
+
+
+@query("m15_fare_examples")
+def m15_examples(spark, sf_dir):
+    """The three example fares, quoted by the fitted model."""
+    responses, _ = quoting.quote(_example_requests(spark, sf_dir), inputs.quote_context(spark, sf_dir))
+    return responses.select("request_id", "predicted_price", "currency", "flight_details.*", "savings_tip")
+
+
+_EXAMPLES_SQL = dims.values_sql(EXAMPLE_FARES, _EXAMPLE_COLUMNS, "asked")
+_CARRIERS_SQL = dims.values_sql(_CARRIERS, ("carrier_name", "carrier"), "carriers")
+
+
+@query(
+    "m15_example_fields",
+    f"""WITH {CITIES}, stands AS (SELECT city_name, min(city) AS city FROM city_dim GROUP BY city_name)
+SELECT CAST(request_id AS BIGINT) AS request_id, s.city || ' → ' || d.city AS route, carrier AS airline,
+       cabin_class AS class, departure_time, distance_km, 'zero' AS stops,
+       CAST(days_before_departure AS INTEGER) AS days_before_departure, is_weekend = 1 AS is_weekend, true AS price_in_tens
+FROM {_EXAMPLES_SQL} JOIN {_CARRIERS_SQL} ON carrier_name = airline_name
+JOIN stands s ON s.city_name = source_name JOIN stands d ON d.city_name = destination_name""",
+)
+def m15_example_fields(spark, sf_dir):
+    """What SQL can state of the example quotes: their inputs, and that a price came out."""
+    price = F.col("predicted_price")
+    return m15_examples(spark, sf_dir).select(
+        "request_id", "route", "airline", "class", "departure_time", "distance_km", "stops", "days_before_departure",
+        "is_weekend", ((price > 0) & (price % 10 == 0)).alias("price_in_tens"),
+    )
+
+
 @query(
     "m10_split_fallback",
     with_priced("""

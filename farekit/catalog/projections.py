@@ -9,7 +9,8 @@ from farekit.catalog.registry import query
 from farekit.catalog.views import with_checked, with_fares, with_quotes, with_requests
 from farekit.operators import lookup, profile, validation
 from farekit.plans import features
-from farekit.sources import fixtures
+from farekit.session import scratch_path, stage
+from farekit.sources import fixtures, readers, sinks
 
 # Season months and urgency bands of the oracle.
 _SEASON_SQL = """CASE WHEN month(date) IN (12, 1, 2) THEN 'Winter' WHEN month(date) IN (3, 4, 5) THEN 'Summer'
@@ -114,6 +115,20 @@ def p08(spark, sf_dir):
     return rows.where(F.col("date") >= F.lit("2000-01-01").cast("date"))
 
 
+_P8_COLUMNS = ("fare_key", "class", "date", "price")
+
+
+@query(
+    "p08_partitioned_copy",
+    with_fares(f"SELECT {', '.join(_P8_COLUMNS)} FROM fares WHERE date BETWEEN DATE '1997-02-10' AND DATE '1998-06-20'"),
+)
+def p08_partitioned(spark, sf_dir):
+    """A range of dates out of a copy that has a folder per month."""
+    path = scratch_path(spark, "fares-by-month")
+    sinks.write_by_month(fixtures.fares(spark, sf_dir, *_P8_COLUMNS), path)
+    return readers.read_by_month(spark, path, "1997-02-10", "1998-06-20")
+
+
 _P9_COLUMNS = ["departure_time", "distance_km", "days_before_departure"]
 _P9_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in _P9_COLUMNS)
 
@@ -134,7 +149,10 @@ SELECT count(*) FILTER (WHERE {_P9_COMPLETE}) AS kept_rows,
        count(*) FILTER (WHERE NOT ({_P9_COMPLETE})) AS dropped_rows FROM requests"""),
 )
 def p09_report(spark, sf_dir):
-    return profile.without_incomplete(inputs.requests(spark, sf_dir), _P9_COLUMNS)[1]
+    """Counted while the kept rows are written."""
+    kept, dropped = profile.without_incomplete(inputs.requests(spark, sf_dir), _P9_COLUMNS)
+    stage(kept, "complete")
+    return dropped.report()
 
 
 _LOOKUPS = (

@@ -33,6 +33,18 @@ def with_ratio(quotes: DataFrame, by_class: bool = False) -> DataFrame:
     )
 
 
+def baselines_of_stats(stats: DataFrame) -> DataFrame:
+    """The baselines out of price statistics by flight and lead time, without another pass over the quotes."""
+    last_day = stats.where(F.col("days_left") == BASELINE_DAYS_LEFT)
+    return last_day.select("flight", F.col("avg_price").alias("baseline_price"))
+
+
+def with_ratio_to(quotes: DataFrame, bases: DataFrame) -> DataFrame:
+    """Quotes with the ratio of their price to a known baseline of the flight; flights without one drop out."""
+    ratio = rules.price_ratio(F.col("price"), F.col("baseline_price"))
+    return quotes.join(bases, "flight").withColumn("price_ratio", ratio)
+
+
 def ratio_stats(ratios: DataFrame) -> DataFrame:
     return stats_by(ratios, "price_ratio", ["days_left", "classx"])
 

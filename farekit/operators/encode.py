@@ -7,18 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from farekit.functions import rules
+from farekit.session import stage
 
 
 def index_table(df: DataFrame, features: list[str]) -> DataFrame:
-    """Feature, label, rows and index of each label, most frequent first.
+    """Feature, label, rows and index of each label, most frequent first, equal ones by label.
 
-    All features are counted in one pass. The window ranks the counted labels
-    of a feature, never the rows.
+    All features are counted in one pass. The counted labels are dealt into
+    ranges of their order, and each range ranks its own: a label's index is its
+    place in the range plus the labels of its feature in earlier ranges. A
+    vocabulary may be as large as the table; no task ranks a whole feature.
     """
     long = df.select(*features).unpivot([], features, "feature", "label")
     counts = long.where(F.col("label").isNotNull()).groupBy("feature", "label").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("feature").orderBy(F.desc("n"), F.asc("label"))
-    return counts.withColumn("index", F.row_number().over(order) - 1)
+    order = (F.desc("n"), F.asc("label"))
+    dealt = counts.repartitionByRange("feature", *order).withColumn("part", F.spark_partition_id())
+    ranged = stage(dealt, "label-ranges")
+    # One row for each feature and range.
+    earlier = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("feature", "part").agg(F.count("*").alias("size"))
+    offsets = sizes.select("feature", "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("feature", "part").orderBy(*order)) - 1
+    ranked = ranged.withColumn("place", place).join(offsets, ["feature", "part"])
+    return ranked.select("feature", "label", "n", (F.col("before") + F.col("place")).cast("int").alias("index"))
 
 
 def scaled(df: DataFrame, columns: list[str]) -> DataFrame:

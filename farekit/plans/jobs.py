@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farekit.operators import baseline, encode, popularity, pricing, profile, validation
+from farekit.operators import baseline, encode, popularity, profile, validation
 from farekit.operators.validation import Vocabularies
 from farekit.plans import features, multiplier, quoting, training
 from farekit.session import scratch_scope, stage
@@ -32,24 +32,15 @@ def _job(function):
 def report(flights: DataFrame, out: str, days: int = YEAR_DAYS) -> None:
     """Describe a flights table: one headed CSV per part of the report."""
     spark = flights.sparkSession
-    # Parsed once; each part then reads one or two columns.
-    flights = stage(flights.select("date", "airline", "class", "route", "price"), "report")
-    mean_of = lambda name: F.avg(F.when(F.col("class") == name, F.col("price")))
-    prices = flights.agg(
-        F.avg("price").alias("mean_price"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        mean_of("Economy").alias("economy_mean"),
-        mean_of("Business").alias("business_mean"),
-    )
+    found = profile.Report.of(flights, days)
     parts = {
-        "summary": profile.summary(flights, days),
-        "airlines": profile.value_shares(flights, "airline").orderBy(F.desc("n"), "airline"),
-        "classes": profile.value_shares(flights, "class").orderBy(F.desc("n"), "class"),
-        "top_routes": profile.top_values(flights, "route", 10),
-        "prices": prices,
-        "median_price": profile.median(flights, "price"),
-        "peak_days": profile.busiest_days(pricing.add_holiday(flights.select("date"), dims.calendar(spark)), 5),
+        "summary": found.summary(),
+        "airlines": found.shares("airline").orderBy(F.desc("n"), "airline"),
+        "classes": found.shares("class").orderBy(F.desc("n"), "class"),
+        "top_routes": found.top_routes(10),
+        "prices": found.prices(),
+        "median_price": found.median_price(),
+        "peak_days": found.busiest_days(dims.calendar(spark), 5),
     }
     for name, table in parts.items():
         sinks.write_csv(table, f"{out}/{name}")
@@ -65,8 +56,9 @@ def train_fares(flights: DataFrame, out: str, training_date: str, preset: str =
     columns = dict.fromkeys(("flight_id", *features.CATEGORICAL, *features.NUMERIC, "route", training.LABEL))
     columns.pop("route_popularity_score")
     rows = features.engineered_columns(flights).select(*columns)
-    rows, report_of_dropped = profile.without_incomplete(stage(rows, "features"), [c for c in columns if c != "flight_id"])
-    sinks.write_csv(report_of_dropped, f"{out}/dropped")
+    complete, dropped = profile.without_incomplete(rows, [c for c in columns if c != "flight_id"])
+    rows = stage(complete, "features")  # counts what it drops as it writes
+    sinks.write_csv(dropped.report(), f"{out}/dropped")
     tables = training.training_tables(rows, "flight_id")
     model = training.fit_fare_model(tables.train, preset, **overrides)
     sinks.save_model(model, f"{out}/model")
@@ -91,11 +83,13 @@ def fit_multiplier(
     metrics name the training percentage, 100 meaning that they are of training rows.
     """
     quotes = stage(quotes, "quotes")
-    for name, keys in {"by_days_left": ["days_left"], "by_class": ["classx"]}.items():
-        sinks.write_csv(profile.stats_by(quotes, "price", keys).orderBy(*keys), f"{out}/{name}")
-    by_flight = profile.stats_by(quotes, "price", ["flight", "days_left"], spread=False)
-    sinks.write_csv(by_flight.orderBy("flight", "days_left"), f"{out}/by_flight")
-    ratios = stage(baseline.with_ratio(quotes), "quote-ratios")
+    sets = {"by_days_left": ["days_left"], "by_class": ["classx"], "by_flight": ["flight", "days_left"]}
+    stats = stage(profile.stats_by_sets(quotes, "price", sets), "price-stats")
+    for name, keys in sets.items():
+        measures = ["avg_price", "count"] if name == "by_flight" else ["avg_price", "min_price", "max_price", "count"]
+        sinks.write_csv(stats.where(F.col("part") == name).select(*keys, *measures).orderBy(*keys), f"{out}/{name}")
+    bases = stage(baseline.baselines_of_stats(stats.where(F.col("part") == "by_flight")), "baseline")
+    ratios = stage(baseline.with_ratio_to(quotes, bases), "quote-ratios")
     sinks.write_csv(baseline.ratio_stats(ratios).orderBy("days_left", "classx"), f"{out}/ratios")
 
     key = F.concat_ws("|", "flight", "days_left", "classx", "price").alias("quote_key")
@@ -112,9 +106,7 @@ def fit_multiplier(
     metrics = encode.regression_metrics(model.transform(held_out), label, prediction)
     sinks.write_csv(metrics.withColumn("training_percent", F.lit(percent)), f"{out}/metrics")
 
-    grid = baseline.scenario_grid(
-        baseline.baseline_prices(quotes), multiplier.SCENARIO_DAYS, multiplier.SCENARIO_CLASSES
-    )
+    grid = baseline.scenario_grid(bases, multiplier.SCENARIO_DAYS, multiplier.SCENARIO_CLASSES)
     scored = multiplier.price_scenarios(multiplier.score_multiplier(model, grid, prediction), F.col("baseline_price"))
     shown = ("flight", "days_left", "classx", "baseline_price", "multiplier", "final_price")
     sinks.write_csv(scored.select(*shown), f"{out}/scenarios")

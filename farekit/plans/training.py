@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import json
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -84,18 +88,25 @@ def fit_fare_model(train: DataFrame, preset: str = "gbt", **overrides) -> Pipeli
     return fare_pipeline(preset, **overrides).fit(train)
 
 
-def slot_names(assembled: DataFrame, column: str = "raw_features") -> list[tuple[int, str]]:
-    """Slot and name of every vector entry, as the assembled column describes itself."""
-    groups = assembled.schema[column].metadata["ml_attr"]["attrs"]
-    return sorted((attr["idx"], attr["name"]) for group in groups.values() for attr in group)
+_ATTRIBUTES = "ml_attr struct<attrs: map<string, array<struct<idx: int, name: string>>>>"
+
+
+def slot_names(assembled: DataFrame, column: str = "raw_features") -> DataFrame:
+    """(slot, feature, source) of every vector entry, as the assembled column describes itself.
+
+    The source of a one-hot slot is the column that was encoded, of any other slot its own name.
+    """
+    described = json.dumps(assembled.schema[column].metadata)
+    attributes = F.from_json(F.lit(described), _ATTRIBUTES).getField("ml_attr").getField("attrs")
+    slots = assembled.sparkSession.range(1).select(F.inline(F.flatten(F.map_values(attributes))))
+    encoded = F.regexp_extract("name", f"^({'|'.join(CATEGORICAL)})_encoded_", 1)
+    source = F.coalesce(F.nullif(encoded, F.lit("")), F.col("name"))
+    return slots.select(F.col("idx").alias("slot"), F.col("name").alias("feature"), source.alias("source"))
 
 
-def source_of_slot(slot: str) -> str:
-    """The input column a slot was made from."""
-    for name in CATEGORICAL:
-        if slot.startswith(f"{name}_encoded_"):
-            return name
-    return slot
+def importances_of(slots: DataFrame, weights: DataFrame) -> DataFrame:
+    """(slot, feature, source, importance): the slots with the weights (slot, importance) of a model."""
+    return slots.join(weights, "slot").select("slot", "feature", "source", "importance")
 
 
 def importances(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -103,11 +114,9 @@ def importances(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
     One row per slot: as many as the model has labels and numbers.
     """
-    weights = model.stages[-1].featureImportances.toArray()
-    table = [
-        (slot, name, source_of_slot(name), float(weights[slot])) for slot, name in slot_names(model.transform(rows))
-    ]
-    return rows.sparkSession.createDataFrame(table, "slot int, feature string, source string, importance double")
+    values = model.stages[-1].featureImportances.toArray()
+    weights = pd.DataFrame({"slot": np.arange(len(values), dtype="int32"), "importance": values})
+    return importances_of(slot_names(model.transform(rows)), rows.sparkSession.createDataFrame(weights))
 
 
 def importance_by_source(slots: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from farekit.functions import rules
 from farekit.operators import baseline, profile
 from farekit.plans import features, jobs, quoting
 from farekit.sources import dims, fixtures, readers, schemas, sinks
+from farekit.streaming import scoring
 
 
 @pytest.fixture(scope="module")
@@ -102,8 +103,8 @@ def test_training_writes_what_quoting_needs(spark, flights, trained):
 
 def test_batch_and_stream_quotes_agree(spark, trained, tmp_path):
     rows = [
-        (1, "SMALL", "Delhi", "Mumbai", "Morning", "Economy", 30, None, 1150.0, None, None, None),
-        (2, "PROMO", "Bangalore", "Goa", "Evening", "Business", 7, "2025-11-15", None, "one", 0, 1),
+        (1, "SMALL", "Kolkata", "Jaipur", "Afternoon", "Economy", 21, None, 1345.0, None, None, None),
+        (2, "PROMO", "Goa", "Mumbai", "Night", "Premium_Economy", 12, "2025-11-15", None, "one", 0, 1),
         (3, "PROMO", "Delhi", "Delhi", "Evening", "First", 97, "someday", 50.0, None, None, None),
     ]
     spark.createDataFrame(rows, schemas.REQUESTS).write.json(str(tmp_path / "asked"))
@@ -115,8 +116,8 @@ def test_batch_and_stream_quotes_agree(spark, trained, tmp_path):
         assert sorted(map(str, batch.collect())) == sorted(map(str, stream.select(batch.columns).collect()))
     quotes = {r.request_id: r for r in spark.read.parquet(str(tmp_path / "batch" / "quotes")).collect()}
     assert set(quotes) == {1, 2}
-    assert quotes[2].flight_details.route == "Bangalore → Goa"
-    assert quotes[2].flight_details.distance_km == 520.0
+    assert quotes[2].flight_details.route == "Goa → Mumbai"
+    assert quotes[2].flight_details.distance_km == 440.0
     assert quotes[2].flight_details.is_weekend and quotes[2].flight_details.is_holiday
     reject = spark.read.parquet(str(tmp_path / "batch" / "rejects")).first()
     assert reject.reasons == [
@@ -149,3 +150,37 @@ def test_real_calendar_is_keyed_by_date(spark):
 def test_training_features_cover_the_model(spark, data_dir):
     missing = {*features.CATEGORICAL, *features.NUMERIC} - set(inputs.training_features(spark, data_dir).columns)
     assert missing == {"route_popularity_score"}
+
+
+def test_a_failed_second_sink_loses_and_repeats_nothing(spark, trained, tmp_path, monkeypatch):
+    rows = [
+        (i, "SMALL" if i % 3 else "NOBODY", "Kolkata", "Jaipur", "Afternoon", "Economy", i % 100, None, 1345.0, None, None, None)
+        for i in range(200)
+    ]
+    asked = spark.createDataFrame(rows, schemas.REQUESTS)
+    for part in range(2):
+        asked.where(F.col("request_id") % 2 == part).coalesce(1).write.mode("append").json(str(tmp_path / "asked"))
+    context = jobs.load_context(spark, trained, "2025-06-15")
+    stream = lambda: readers.stream_requests(spark, str(tmp_path / "asked"))
+    out = str(tmp_path / "out")
+
+    write = scoring._replace
+
+    def broken(rows, path):
+        if "/rejects/" in path:
+            raise OSError("the disk of the rejects is full")
+        write(rows, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(scoring, "_replace", broken)
+        with pytest.raises(Exception, match="rejects is full"):
+            jobs.quote_requests(stream(), context, out)
+    # The quotes of the failed attempt are there, its rejects are not.
+    assert spark.read.parquet(f"{out}/quotes").count() > 0 and not (tmp_path / "out" / "rejects").exists()
+    jobs.quote_requests(stream(), context, out)
+    jobs.quote_requests(stream(), context, out)
+    jobs.quote_requests(readers.read_json_requests(spark, str(tmp_path / "asked")), context, str(tmp_path / "batch"))
+    for part in ("quotes", "rejects"):
+        once = spark.read.parquet(str(tmp_path / "batch" / part))
+        streamed = spark.read.parquet(f"{out}/{part}").select(once.columns)
+        assert sorted(map(str, streamed.collect())) == sorted(map(str, once.collect())) and once.count()

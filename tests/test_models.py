@@ -43,7 +43,7 @@ def test_importances_name_every_slot_and_sum_to_one(fit):
 def test_scaled_vector_matches_the_table_form(fit):
     column = "distance_km"
     raw = fit.model.transform(fit.train)
-    slot = dict((name, i) for i, name in training.slot_names(raw))[column]
+    slot = {r.feature: r.slot for r in training.slot_names(raw).collect()}[column]
     by_table = encode.scaled(raw, [column]).select(
         F.max(F.abs(F.col(f"{column}_scaled") - vector_to_array("features")[slot]))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import random
 import statistics
 from datetime import date
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from farekit.operators import baseline, encode, lookup, popularity, pricing, profile
 from farekit.session import scratch_path, scratch_scope, shared_dir, stage
-from farekit.sources import dims, fixtures
+from farekit.sources import dims, fixtures, readers, sinks
 
 
 def median_of(spark, values, kind="double"):
@@ -61,9 +62,103 @@ def test_median_ignores_null_and_nan(spark):
 
 def test_dropped_rows_are_counted(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, "b"), (float("nan"), "c"), (2.0, None)], "v double, s string")
-    kept, report = profile.without_incomplete(df, ["v", "s"])
+    kept, dropped = profile.without_incomplete(df, ["v", "s"])
     assert kept.collect() == [(1.0, "a")]
-    assert report.first().asDict() == {"kept_rows": 1, "dropped_rows": 3}
+    assert dropped.report().first().asDict() == {"kept_rows": 1, "dropped_rows": 3}
+    kept, dropped = profile.without_incomplete(df.where("v < 0"), ["v", "s"])
+    assert kept.collect() == [] and dropped.report().first().asDict() == {"kept_rows": 0, "dropped_rows": 0}
+
+
+def test_counting_dropped_rows_reads_the_files_once(spark, data_dir):
+    rows = fixtures.table(spark, data_dir, "events").select("event_id", "value")
+    kept, dropped = profile.without_incomplete(rows, ["value"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+    kept.write.format("noop").mode("overwrite").save()
+    counts = dropped.report().first()
+    assert counts.kept_rows + counts.dropped_rows == rows.count() and counts.kept_rows == rows.where("value IS NOT NULL").count()
+
+
+def test_sets_of_keys_equal_one_grouping_each(spark):
+    rows = [("f", 1, "E", 10.0), ("f", 1, "B", 30.0), ("g", 2, None, 8.0), (None, 2, "E", None), (None, None, None, 4.0)]
+    df = spark.createDataFrame(rows, "flight string, days_left int, classx string, price double")
+    sets = {"all": [], "class": ["classx"], "both": ["flight", "days_left"], "days": ["days_left"]}
+    table = profile.stats_by_sets(df, "price", sets)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Exchange") == 1
+    for name, keys in sets.items():
+        got = table.where(F.col("part") == name).select(*keys, "avg_price", "min_price", "max_price", "count").collect()
+        assert sorted(map(str, got)) == sorted(map(str, profile.stats_by(df, "price", keys).collect())), name
+    assert profile.stats_by_sets(df.limit(0), "price", {"class": ["classx"]}).count() == 0
+    assert profile.stats_by_sets(df, "price", {"all": []}).first()["count"] == 4
+    with pytest.raises(ValueError, match="same keys"):
+        profile.stats_by_sets(df, "price", {"a": ["classx"], "b": ["classx"]})
+
+
+def test_report_equals_its_parts_taken_one_by_one(spark):
+    rows = [("a", "Economy", "r1", "2025-01-04", 10.0), ("a", "Business", "r1", "2025-01-05", 30.0), ("b", "Economy", None, "2025-01-04", None),
+            (None, None, "r2", None, 7.0), ("b", "Economy", "r2", "2025-01-06", 30.0)]
+    df = spark.createDataFrame(rows, "airline string, class string, route string, date string, price double").withColumn("date", F.to_date("date"))
+    holidays = spark.createDataFrame([("2025-01-06", "H")], "date string, holiday string").withColumn("date", F.to_date("date"))
+    for table in (df, df.limit(0)):
+        found = profile.Report.of(table, 365)
+        assert found.summary().collect() == profile.summary(table, 365).collect()
+        assert found.median_price().collect() == profile.median(table, "price").collect()
+        for column in ("airline", "class"):
+            assert sorted(map(str, found.shares(column).collect())) == sorted(map(str, profile.value_shares(table, column).collect()))
+        assert found.top_routes(2).collect() == profile.top_values(table, "route", 2).collect()
+        dated = table.where("date IS NOT NULL").join(holidays, "date", "left")
+        assert found.busiest_days(holidays, 2).collect() == profile.busiest_days(dated, 2).collect()
+    economy = profile.Report.of(df, 365).prices().first()
+    assert (economy.economy_mean, economy.business_mean, economy.max_price) == (20.0, 30.0, 30.0)
+
+
+@pytest.mark.parametrize("shape", ["uniform", "skewed", "tied", "odd"])
+def test_approximate_median_is_near_the_middle_rank(spark, shape):
+    x = {"uniform": F.rand(3), "skewed": F.exp(F.randn(4) * 5), "tied": F.floor(F.rand(5) * 4).cast("double"),
+         "odd": F.when(F.col("id") % 7 == 0, float("inf")).when(F.col("id") % 7 == 1, float("-inf"))
+                .when(F.col("id") % 7 == 2, float("nan")).when(F.col("id") % 7 == 3, None).otherwise(F.col("id").cast("double"))}[shape]
+    df = spark.range(0, 60_000, 1, 6).select((F.col("id") % 3).alias("g"), x.alias("v")).cache()
+    error = 0.005
+    for keys in ([], ["g"]):
+        for row in profile.approximate_median(df, "v", keys, error).collect():
+            mine = df.where(F.col("g") == row.g) if keys else df
+            values = sorted(r.v for r in mine.where("v IS NOT NULL AND NOT isnan(v)").collect())
+            low, high = bisect.bisect_left(values, row["median"]), bisect.bisect_right(values, row["median"])
+            assert low < high and low - error * len(values) <= len(values) / 2 <= high + error * len(values)
+    df.unpersist()
+    assert profile.approximate_median(df.where("v IS NULL"), "v").first()[0] is None
+    with pytest.raises(ValueError, match="share"):
+        profile.approximate_median(df, "v", rank_error=0)
+
+
+def test_a_million_labels_are_ranked_in_ranges(spark):
+    labels = spark.range(0, 1_000_000, 1, 8).select(F.concat(F.lit("l"), "id").alias("label"), (F.col("id") % 2).cast("string").alias("bit"))
+    table = encode.index_table(labels.union(labels.where("label IN ('l7', 'l900000')")), ["label", "bit"])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "[feature" in plan and all("part" in line for line in plan.splitlines() if "row_number" in line and "Window" in line)
+    found = table.where("feature = 'label'").agg(
+        F.count("*").alias("n"), F.count_distinct("index").alias("different"), F.max("index").alias("last")
+    ).first()
+    assert tuple(found) == (1_000_000, 1_000_000, 999_999)
+    first = {r.label: r["index"] for r in table.where("feature = 'label' AND index < 4").collect()}
+    assert first == {"l7": 0, "l900000": 1, "l0": 2, "l1": 3}
+    # l7 is odd and l900000 even, so both bits are as frequent: the smaller label comes first.
+    assert {r.label: r["index"] for r in table.where("feature = 'bit'").collect()} == {"0": 0, "1": 1}
+
+
+def test_other_months_are_not_opened(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(i, f"2025-{1 + i % 12:02d}-{1 + i % 28:02d}") for i in range(500)] + [(-1, None)], "id long, date string"
+    ).withColumn("date", F.to_date("date"))
+    sinks.write_by_month(rows, str(tmp_path / "copy"))
+    found = readers.read_by_month(spark, str(tmp_path / "copy"), "2025-03-10", "2025-05-02")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    line = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "2025-03-01" in line.split("PartitionFilters")[1].split("PushedFilters")[0] and "GreaterThanOrEqual(date,2025-03-10)" in line
+    wanted = rows.where("date BETWEEN DATE '2025-03-10' AND DATE '2025-05-02'")
+    assert found.columns == rows.columns and sorted(found.collect()) == sorted(wanted.collect()) and found.count()
+    assert spark.read.parquet(str(tmp_path / "copy")).count() == 501
 
 
 def test_baseline_join_loses_exactly_the_flights_without_a_one_day_quote(spark, data_dir):
