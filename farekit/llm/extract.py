@@ -24,16 +24,32 @@ CLOSES_PARAGRAPH = frozenset(
     "h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 ITEMS = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",)}
-# What is no part of an article, by element, by role, and by the words of class and id.
-FOREIGN = frozenset("nav footer aside form button select menu dialog fieldset head".split())
-FOREIGN_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
-FOREIGN_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar aside nav navbar "
-    "navigation menu breadcrumb breadcrumbs footer header masthead topbar comment comments disqus respond reply replies cookie "
-    "cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription share sharing social related "
-    "recommended recommendations widget login signup pagination pager toolbar skip hidden".split()
+# What is no part of an article. By element or role, whatever it holds:
+NEVER = frozenset("nav footer button select menu head".split())
+NEVER_ROLES = frozenset("navigation banner contentinfo search alertdialog alert menu menubar".split())
+# By element or role, unless the article itself is in it:
+FOREIGN = frozenset("aside form fieldset dialog".split())
+FOREIGN_ROLES = frozenset("complementary dialog".split())
+# By a whole class or id, or the first word of one whose last word is a part of a page:
+COMMENT_WORDS = frozenset("comment comments disqus respond reply replies".split())
+CLEAR_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sidebar nav navbar navigation menu breadcrumb "
+    "breadcrumbs footer masthead topbar cookie cookies consent gdpr newsletter pagination pager toolbar related recommended".split()
 )
+DOUBTFUL_WORDS = frozenset(
+    "promo promotion banner aside header notice notices popup modal overlay subscribe subscription share sharing social "
+    "recommendations widget login signup skip hidden".split()
+)
+PAGE_PARTS = frozenset(
+    "area articles bar block box button buttons column container content feed form icons inner items label links list message "
+    "outer overlay panel posts region section slot stories thread tools unit widget wrap wrapper".split()
+)
+# A word after one of these tells how the page is laid out, not what the element is; a header after one of those is the article's.
+LAYOUT_WORDS = frozenset("has is no not with without hide show".split())
+OWN_HEADERS = frozenset("article content entry post story title".split())
 KEPT = frozenset("html body article main".split())
+# Share of the page's points that releases an element that is foreign by a doubtful name or by kind.
+MOST = 0.75
 # Elements that hold one whole article; roles, classes and ids that say so of others.
 ARTICLES = frozenset("article main".split())
 ARTICLE_NAMES = frozenset(
@@ -52,11 +68,17 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _WORD = re.compile(r"[a-z]+")
 
 
+# Why an element is foreign: not at all, by a doubtful name, by a clear one, by its kind, or in any case.
+OWN, DOUBTFUL, CLEAR, KIND, ANYHOW = range(5)
+
+
 @dataclass
 class _Node:
     tag: str
     parent: int
-    foreign: bool
+    why: int = OWN
+    never: bool = False
+    foreign: bool = False
     named: bool = False
     score: float = 0.0
     chars: int = 0
@@ -70,18 +92,47 @@ class _Block:
     linked: int = 0
 
 
-def _foreign(tag: str, raw: str, inside: bool) -> bool:
-    if tag in FOREIGN or (tag == "header" and not inside):
-        return True
-    if not raw or tag in KEPT:
-        return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)}
-    if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
-    if found.get("role", "").lower() in FOREIGN_ROLES:
-        return True
-    words = set(_WORD.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    return bool(words & FOREIGN_WORDS)
+def _why_named(name: str) -> int:
+    """What one class or id says."""
+    words = _WORD.findall(name)
+    if not words or words[0] in LAYOUT_WORDS:
+        return OWN
+    first, last = words[0], words[-1]
+    if last == "header" and len(words) > 1:
+        return OWN if first in OWN_HEADERS else DOUBTFUL if first in ("site", "page", "main", "top", "global") else OWN
+    # Of several words the first counts if the last is a part of a page; the last alone counts if it is clear: a text
+    # widget or a policy on sharing may be anything.
+    leading = {first} if len(words) == 1 or last in PAGE_PARTS | DOUBTFUL_WORDS else set()
+    if (leading | {last}) & COMMENT_WORDS:
+        return ANYHOW
+    if (leading | {last}) & CLEAR_WORDS:
+        return CLEAR
+    return DOUBTFUL if leading & DOUBTFUL_WORDS else OWN
+
+
+def _why(tag: str, raw: str, inside: bool) -> int:
+    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if raw else {}
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    if tag in NEVER:
+        return ANYHOW
+    if tag not in KEPT:
+        style = found.get("style", "").replace(" ", "").lower()
+        if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style:
+            return ANYHOW
+        if found.get("role", "").lower() in NEVER_ROLES:
+            return ANYHOW
+    why = OWN
+    if tag in FOREIGN or (tag == "header" and not inside) or found.get("role", "").lower() in FOREIGN_ROLES:
+        why = KIND
+        if tag == "header" and any(_WORD.findall(n)[:1] and _WORD.findall(n)[0] in OWN_HEADERS for n in names):
+            why = OWN
+    if tag in ("html", "body", "main"):
+        return why
+    by_name = [_why_named(n) for n in names]
+    if ANYHOW in by_name:
+        return ANYHOW
+    # An article may be called anything.
+    return max([why, *by_name]) if tag not in KEPT else why
 
 
 def _named(raw: str) -> bool:
@@ -95,7 +146,7 @@ class _Page:
     """The tree of a page's block elements, and its blocks of text in page order."""
 
     def __init__(self, source: str) -> None:
-        self.nodes = [_Node("", -1, False)]
+        self.nodes = [_Node("", -1)]
         self.blocks: list[_Block] = []
         self.stack, self.links, self.inside = [0], 0, 0
         self.open: Counter[str] = Counter()
@@ -128,7 +179,8 @@ class _Page:
             self._close(("td", "th") if tag in ("td", "th") else ("dd", "dt") if tag in ("dd", "dt") else (tag,), ITEMS[tag])
         parent = self.stack[-1]
         named = bool(raw) and tag not in PARAGRAPHS and tag not in ("html", "body") and _named(raw)
-        self.nodes.append(_Node(tag, parent, self.nodes[parent].foreign or _foreign(tag, raw, self.inside > 0), named))
+        why = _why(tag, raw, self.inside > 0)
+        self.nodes.append(_Node(tag, parent, why, self.nodes[parent].never or why == ANYHOW, named=named))
         self.stack.append(len(self.nodes) - 1)
         self.open[tag] += 1
         self.inside += tag in ("article", "main")
@@ -136,7 +188,7 @@ class _Page:
 
     def _text(self, text: str) -> None:
         node = self.stack[-1]
-        if self.nodes[node].foreign:
+        if self.nodes[node].never:
             return
         if self.block is None:
             if text.isspace():
@@ -180,14 +232,50 @@ class _Page:
                 self._open(tag, raw)
 
 
+def _points(block: _Block, text: str) -> float:
+    """Points of a paragraph, for itself, its commas and its length, less what is linked."""
+    share = min(1.0, block.linked / max(len(text), 1))
+    return (1 + text.count(",") + text.count("、") + min(len(text) / 100, 3)) * (1 - share)
+
+
+def _mark_foreign(page: _Page, texts: list[str], allowed: frozenset[int]) -> None:
+    """Decide which elements are no part of the article.
+
+    An element that is foreign by name or kind is released if it holds an
+    article or main element, or, unless its name is clear, most of the page's
+    points while no article is outside of it. ``allowed`` reasons don't count.
+    """
+    nodes = page.nodes
+    points, articles = [0.0] * len(nodes), [0] * len(nodes)
+    for block, text in zip(page.blocks, texts, strict=True):
+        points[block.node] += _points(block, text) if text else 0.0
+    for i in range(len(nodes) - 1, 0, -1):
+        articles[i] += nodes[i].tag in ARTICLES and points[i] > 0 and not nodes[i].never
+        points[nodes[i].parent] += points[i]
+        articles[nodes[i].parent] += articles[i]
+    for node in nodes[1:]:
+        node.foreign = False
+    for i, node in enumerate(nodes):
+        if i == 0:
+            continue
+        own = node.why != OWN and node.why not in allowed
+        if own and node.why != ANYHOW:
+            most = node.why != CLEAR and points[i] >= MOST * points[0] > 0 and not articles[0]
+            own = not (articles[i] and node.tag not in ARTICLES) and not most
+        node.foreign = nodes[node.parent].foreign or node.never or own
+
+
 def _score(page: _Page, texts: list[str]) -> None:
     """Points of every paragraph to its container, half of them to the next one up, a third to the one above, and so on."""
+    for node in page.nodes:
+        node.score, node.chars, node.link_chars = 0.0, 0, 0
     for block, text in zip(page.blocks, texts, strict=True):
         own = page.nodes[block.node]
+        if own.foreign:
+            continue
         own.chars += len(text)
         own.link_chars += min(block.linked, len(text))
-        share = min(1.0, block.linked / max(len(text), 1))
-        points = (1 + text.count(",") + text.count("、") + min(len(text) / 100, 3)) * (1 - share)
+        points = _points(block, text)
         node = own.parent if own.tag in PARAGRAPHS else block.node
         for level in range(1, LEVELS + 1):
             if node <= 0:
@@ -224,7 +312,7 @@ def _whole(page: _Page, best: int) -> int | None:
     ancestors = set(above)
     holding = {
         nodes[b.node].parent for b in page.blocks
-        if (nodes[b.node].tag in HEADINGS or nodes[b.node].tag == "p") and b.linked < 0.9 * len("".join(b.parts).strip())
+        if not nodes[b.node].foreign and (nodes[b.node].tag in HEADINGS or nodes[b.node].tag == "p") and b.linked < 0.9 * len("".join(b.parts).strip())
     }
     return next((i for i in reversed(above) if i in holding & ancestors), None)
 
@@ -239,11 +327,22 @@ def main_text(source: str | None) -> str:
 
     A block's white space is one space each; character references are decoded.
     Menus, page headers, footers, asides, forms, scripts, adverts, notices and
-    comments are left out by element, role or name before scoring. Of equal containers the first wins. Null, empty
-    and textless pages give an empty text; broken markup gives what can be read.
+    comments are left out by element, role or name before scoring, unless the
+    article is in them. A page of which nothing is left that way is scored again
+    with doubtful names allowed, then with asides and forms. Of equal containers
+    the first wins. Null, empty and textless pages give an empty text; broken
+    markup gives what can be read.
     """
     page = _Page(source or "")
     texts = [" ".join(html.unescape("".join(b.parts)).split()) for b in page.blocks]
+    for allowed in (frozenset(), frozenset({DOUBTFUL}), frozenset({DOUBTFUL, KIND})):
+        _mark_foreign(page, texts, allowed)
+        if found := _best_text(page, texts):
+            return found
+    return ""
+
+
+def _best_text(page: _Page, texts: list[str]) -> str:
     _score(page, texts)
     nodes = page.nodes
     best = max(range(len(nodes)), key=lambda i: (nodes[i].score, -i))
@@ -264,7 +363,7 @@ def main_text(source: str | None) -> str:
     kept = []
     for block, text in zip(page.blocks, texts, strict=True):
         listed = nodes[block.node].tag in ("li", "div", "td", "dd") and block.linked >= 0.9 * len(text)
-        if part[block.node] and text and (whole is not None or not listed):
+        if part[block.node] and text and not nodes[block.node].foreign and (whole is not None or not listed):
             kept.append(text)
     return "\n".join(kept)
 

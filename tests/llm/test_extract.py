@@ -90,3 +90,45 @@ LINE = "A paragraph, with commas, of some length, so that it has points, and the
 )
 def test_the_whole_article_is_kept(source, lines):
     assert main_text(f"<html><body><nav><a href=z>Home</a></nav>{source}<footer><p>Foot</p></footer></body></html>").split("\n") == lines
+
+
+BODY = f"<h1>Head</h1>{f'<p>{LINE}</p>' * 4}"
+ALL = ["Head", *[LINE] * 4]
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        f'<div class="content has-sidebar">{BODY}</div>',
+        f'<div class="elementor-widget elementor-widget-text"><div class="elementor-widget-container">{BODY}</div></div>',
+        f'<div class="social-policy">{BODY}</div>',
+        f'<form id="aspnetForm"><div>{BODY}</div></form>',
+        f'<form><nav><a href=a>Menu</a></nav><main>{BODY}</main></form>',
+        f'<article><header class="entry-header"><h1>Head</h1></header>{BODY[13:]}</article>',
+        f'<div class="post"><header class="post-header"><h1>Head</h1></header><div>{BODY[13:]}</div></div>',
+        f'<div class="widget"><div>{BODY}</div></div>',
+        f'<div class="page no-sidebar with-comments"><div class="ad-slot"><p>{LINE}</p></div>{BODY}</div>',
+        f'<article class="related">{BODY}</article>',
+        f'<div class="modal">{BODY}</div><div class="cookie-notice"><p>We use cookies, many of them, for you.</p></div>',
+        f'<div id="sidebar"><article>{BODY}</article></div>',
+        f'<article>{BODY}<section class="comments"><article><p>{LINE}</p></article></section></article>',
+        f'<main>{BODY}<div class="share-buttons"><p>Share, please, this.</p></div><div class="related-posts"><p>{LINE}</p></div></main>',
+        f'<div class="site-header"><p>Welcome, all of you, to us.</p></div><div>{BODY}</div><div class="site-footer"><p>{LINE}</p></div>',
+        f'<div>{BODY}</div><div class="comment-list"><div class="comment"><p>{LINE}</p></div></div><div id="disqus_thread"><p>{LINE}</p></div>',
+        f'<div class="main-content">{BODY}<aside><p>{LINE}</p></aside><form class="newsletter-form"><p>Your mail, please.</p></form></div>',
+    ],
+)
+def test_no_article_is_lost_by_a_name_or_a_form(source):
+    page = f"<html><body class='has-menu'><nav><a href=z>Home</a></nav>{source}<footer><p>Foot, foot, foot.</p></footer></body></html>"
+    assert main_text(page).split("\n") == ALL
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        f'<div class="ad"><p>{LINE}</p></div>', f'<div class="cookie-banner"><p>{LINE}</p></div>', f"<div hidden><p>{LINE}</p></div>",
+        f'<section id="comments"><p>{LINE}</p></section>', f'<div role="navigation">{LINE}</div>', f"<footer>{LINE}</footer>",
+    ],
+)
+def test_a_page_without_an_article_has_no_text(source):
+    assert main_text(f"<html><body>{source}</body></html>") == ""
