@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 
 import numpy as np
@@ -18,8 +19,8 @@ SAMPLE_CHARS = 240_000
 LANGUAGE_CHARS = 60_000
 LANGUAGE_ROWS = 256
 PARTS = 16
-# Characters of one language with a column in its table; rarer ones are phrases of their own.
-ALPHABET = 63
+# Characters of one language with a column in its table; the ways by rarer ones are found by search.
+COLUMNS = 63
 # A phrase ends at every so many characters, so that texts of any length are parsed in equal pieces side by side.
 PIECE = 512
 PIECES_AT_ONCE = 4096
@@ -29,12 +30,12 @@ _SPACE = 32
 
 
 def _letters() -> np.ndarray:
-    """Code point to lower-case letter, all else a space."""
-    table = np.full(0x30000, _SPACE, dtype=np.uint32)
-    for c in range(len(table)):
-        if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
-            lower = chr(c).lower()
-            table[c] = ord(lower) if len(lower) == 1 else c
+    """Code point to lower-case letter, all else a space; as far as there are letters, and one more."""
+    letters = [c for c in range(sys.maxunicode + 1) if chr(c).isalpha()]
+    table = np.full(letters[-1] + 2, _SPACE, dtype=np.uint32)
+    for c in letters:
+        lower = chr(c).lower()
+        table[c] = ord(lower) if len(lower) == 1 else c
     return table
 
 
@@ -80,42 +81,68 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 
 def phrase_table(texts: list[np.ndarray]) -> dict:
-    """A language's automaton as one array.
+    """A language's automaton as one array, and as sorted keys for the letters that have no column in it.
 
     Entry (state, character) is twice the start of the next state's row, plus 1
     if a phrase begins with the character: from the start state, and wherever
-    the automaton has no way on, the character begins the next phrase.
+    the automaton has no way on, the character begins the next phrase. Most
+    states have a way on by one or two characters, so a script of thousands of
+    letters gets columns for the commonest ones only; a way by another letter
+    has a key, state times letters plus letter. A character that the sample
+    lacks is a phrase of its own.
     """
     joined = np.concatenate([part for t in texts for part in (t, [_SPACE])]) if texts else np.array([_SPACE])
-    common = [c for c, _ in sorted(Counter(joined.tolist()).items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]]
-    known = {c: i for i, c in enumerate(common)}
-    other, pad = len(common), len(common) + 1
-    width = len(common) + 2
-    # A rare character breaks the text, so that no phrase runs across it.
-    symbols = [known.get(c, other) for c in joined.tolist()]
-    moves = suffix_automaton(symbols)
+    letters = [c for c, _ in sorted(Counter(joined.tolist()).items(), key=lambda x: (-x[1], x[0]))]
+    columns = min(COLUMNS, len(letters))
+    other, pad, width = columns, columns + 1, columns + 2
+    number = {c: i for i, c in enumerate(letters)}
+    moves = suffix_automaton([number[c] for c in joined.tolist()])
     table = np.zeros((len(moves), width), dtype=np.int32)
-    begin = np.array([2 * width * moves[0].get(c, 0) + 1 for c in range(width)], dtype=np.int32)
-    table[:] = begin
-    for state, ways in enumerate(moves[1:], start=1):
-        for symbol, target in ways.items():
-            table[state, symbol] = 2 * width * target
+    table[:, :columns] = [2 * width * moves[0][c] + 1 for c in range(columns)]
+    keys, ways = [], []
+    for state, edges in enumerate(moves):
+        for letter, to in edges.items():
+            if letter >= columns:
+                keys.append(state * len(letters) + letter)
+                ways.append(2 * width * to + (state == 0))
+            elif state:
+                table[state, letter] = 2 * width * to
     table[:, other] = 1
-    table[:, pad] = 0
-    codes = np.full(0x30000, other, dtype=np.int16)
-    codes[common] = np.arange(len(common))
+    order = np.argsort(np.array(keys, dtype=np.int64))
+    # Columns first, then absent and missing, then the letters without a column.
+    codes = np.full(max(letters) + 2, other, dtype=np.int32)
+    codes[letters[:columns]] = np.arange(columns)
+    codes[letters[columns:]] = np.arange(columns, len(letters)) + 2
     codes[0] = pad
-    return {"table": table.ravel(), "codes": codes}
+    return {
+        "table": table.ravel(), "codes": codes, "width": width, "letters": len(letters),
+        "keys": np.array(keys, dtype=np.int64)[order], "ways": np.array(ways, dtype=np.int32)[order],
+    }
+
+
+def _searched(state: np.ndarray, letter: np.ndarray, language: dict) -> np.ndarray:
+    """Entries of letters without a column: the way on from the state, else from the start state."""
+    keys, ways = language["keys"], language["ways"]
+    wanted = state // language["width"] * np.int64(language["letters"]) + letter
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    # From the start state there is a way by every letter, and it begins a phrase.
+    return np.where(keys[at] == wanted, ways[at], ways[np.searchsorted(keys, letter)])
 
 
 def phrases(pieces: np.ndarray, language: dict) -> np.ndarray:
     """How many phrases each row of characters needs; rows end in zeros where a piece is shorter."""
-    codes = np.ascontiguousarray(language["codes"][pieces].T).astype(np.int32)
-    table = language["table"]
+    table, width = language["table"], language["width"]
+    codes = np.ascontiguousarray(language["codes"][np.minimum(pieces, len(language["codes"]) - 1)].T)
+    searched = (codes >= width).any(axis=1) if len(language["keys"]) else np.zeros(len(codes), dtype=bool)
     state = np.zeros(len(pieces), dtype=np.int32)
     count = np.zeros(len(pieces), dtype=np.int32)
-    for column in codes:
-        found = table.take(state + column)
+    for column, some in zip(codes, searched.tolist(), strict=True):
+        if some:
+            rare = np.flatnonzero(column >= width)
+            found = table.take(state + np.minimum(column, width - 1))
+            found[rare] = _searched(state[rare], column[rare] - 2, language)
+        else:
+            found = table.take(state + column)
         count += found & 1
         state = found >> 1
     return count
@@ -153,7 +180,9 @@ def learn(labelled: DataFrame) -> dict:
 
     From each language come up to LANGUAGE_ROWS rows by a hash of the text,
     texts of over 10,000 characters last, and of them so many characters that
-    the budgets hold. That bounds the model whatever the size of the table.
+    the budgets hold: SAMPLE_CHARS shared evenly, so 1,200 characters each for
+    200 languages; raise it for many. That bounds the model whatever the size
+    of the table: about 2 states a character, and 65 numbers a state.
     Null languages and rows without text teach nothing.
     """
     rows = labelled.where("lang is not null and text is not null").select(
@@ -205,7 +234,8 @@ def with_language(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
     Each text's letters are parsed into the longest stretches that occur in a
     language's sample, for each language; the one with the fewest phrases wins,
-    of equal ones the first by name. Whole texts are parsed. Null texts and
+    of equal ones the first by name. Whole texts are parsed, of any length and
+    in scripts of any number of letters; repeated rows fare alike. Null texts and
     texts without a letter are ``und`` with score 0, as is every text if nothing
     was learnt. The broadcast model is bounded by the sample's parameters.
     """
