@@ -27,13 +27,22 @@ LEAST_DEVIATIONS = 4.0
 LEXICON = 4000
 REMEMBERED = 300_000
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
-
-# Function words of the grammar.
-TARGETS = "you your yours he she they them him her his their du ihr sie dich euch ihn ihnen tu toi vous il elle ils elles eux lui tú usted ustedes él ella ellos ellas"
+OTHER, INSULT, THREAT, TARGET, SELF, MODAL, BEING, NEGATION, REPORT, END = range(10)
+
+# Function words of the grammar, and verbs of threats that count before any is learnt.
+TARGETS = (
+    "you your yours yourself yourselves u ya he she they them him her his their himself herself themselves du dir dich dein deine ihr "
+    "euch sie ihn ihm ihnen tu toi te vous il elle ils elles eux lui leur tú ti usted ustedes él ella ellos ellas les"
+)
+SELVES = "i we me us my our ich wir mich uns je nous moi yo nosotros"
+MODALS = "will shall gonna going want would can could must should werde werden wird will soll muss kann vais va veux dois voy va quiero debo"
+BEINGS = "am is are was were be been being re bin bist ist sind seid war suis es est sont êtes soy eres somos son"
 NEGATIONS = "not no never none neither nor hardly without nicht nie niemals kein keine keinen keiner ohne ne pas jamais aucun sans nunca jamás ningún sin tampoco"
 REPORTS = "said says say told wrote writes called claimed reported quoted according sagte sagt schrieb nannte laut dit disait écrit appelé selon dijo dice escribió llamó según"
 THREATS = "kill murder hurt destroy shoot stab hang beat burn töten umbringen ermorden verletzen schlagen tuer assassiner frapper détruire matar asesinar golpear destruir"
+FIRST_WEIGHT = 1.5
+# A learnt word is a threat if this share of its places in toxic texts has somebody right behind it, as a verb has its object.
+OBJECT_SHARE = 0.5
 
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
 _ENDS = frozenset(".!?;\n")
@@ -41,7 +50,9 @@ _ENDS = frozenset(".!?;\n")
 
 # --- transducers -------------------------------------------------------------------------------------------------
 
-# A transducer is a table: for each state and class of word, the next state and the factor put on the word's weight.
+# A transducer is a table: for each state and class of word, the next state and the factor put on the word's weight. Some
+# read a clause from its begin, some from its end; a word's weight gets the factors of both directions, so what stands
+# before a word and what stands behind it count alike.
 Transducer = list[list[tuple[int, float]]]
 
 
@@ -62,23 +73,70 @@ def negation(window: int = 3, factor: float = 0.25) -> Transducer:
     return _transducer(window + 1, arcs)
 
 
-def target(insult: float = 1.25, threat: float = 2.0, idle: float = 0.25) -> Transducer:
-    """Remembers that the clause names somebody: insults weigh more then, and threats without anybody little."""
+def target(factor: float = 1.25) -> Transducer:
+    """Remembers that the clause names somebody: insults weigh more then. From either end."""
 
     def arcs(state: int, kind: int) -> tuple[int, float]:
         if kind == END:
             return 0, 1.0
+        return 1 if kind == TARGET else state, factor if state and kind == INSULT else 1.0
+
+    return _transducer(2, arcs)
+
+
+def insult(called: float = 1.25, again: float = 1.2) -> Transducer:
+    """An insult that somebody is said to be, or that follows another one closely, weighs more. From the begin."""
+    # 0 nothing, 1 a form of "to be" before, 2 and 3 an insult two words and one word before.
+
+    def arcs(state: int, kind: int) -> tuple[int, float]:
         if kind == INSULT:
-            return state, insult if state else 1.0
+            return 3, {0: 1.0, 1: called, 2: again, 3: again}[state]
+        if kind == END:
+            return 0, 1.0
+        if kind == BEING:
+            return 1, 1.0
+        return {0: 0, 1: 1, 2: 0, 3: 2}[state], 1.0
+
+    return _transducer(4, arcs)
+
+
+def threat_subject(meant: float = 1.5, told: float = 0.5) -> Transducer:
+    """Who acts: a threat after "I will" weighs more, after somebody else little; an order has no subject. From the begin."""
+    # 0 nobody, 1 the writer, 2 the writer with a modal verb, 3 somebody else.
+
+    def arcs(state: int, kind: int) -> tuple[int, float]:
+        if kind == END:
+            return 0, 1.0
         if kind == THREAT:
-            return state, threat if state else idle
-        return 1 if kind == TARGET else state, 1.0
+            # Its object is not the subject of what follows.
+            return 0, {0: 1.0, 1: 1.0, 2: meant, 3: told}[state]
+        if kind == SELF:
+            return 1, 1.0
+        if kind == TARGET:
+            return state or 3, 1.0
+        return 2 if kind == MODAL and state in (1, 2) else state, 1.0
 
-    return _transducer(2, arcs)
+    return _transducer(4, arcs)
+
+
+def threat_object(aimed: float = 2.0, near: float = 1.0, idle: float = 0.25) -> Transducer:
+    """Whom it hits: a threat right before somebody weighs most, before nobody little. From the end."""
+    # 0 nobody behind, 1 somebody further behind, 2 and 3 two words and one word behind.
+
+    def arcs(state: int, kind: int) -> tuple[int, float]:
+        if kind == THREAT:
+            return 0, {0: idle, 1: near, 2: aimed, 3: aimed}[state]
+        if kind == END:
+            return 0, 1.0
+        if kind == TARGET:
+            return 3, 1.0
+        return {0: 0, 1: 1, 2: 1, 3: 2}[state], 1.0
+
+    return _transducer(4, arcs)
 
 
 def reported(factor: float = 0.5) -> Transducer:
-    """Remembers that the clause reports what somebody said; what follows weighs less."""
+    """Remembers that the clause reports what somebody said; what it reports weighs less. From either end."""
 
     def arcs(state: int, kind: int) -> tuple[int, float]:
         if kind == END:
@@ -88,40 +146,65 @@ def reported(factor: float = 0.5) -> Transducer:
     return _transducer(2, arcs)
 
 
-def compose(a: Transducer, b: Transducer) -> Transducer:
-    """Both at once: pairs of states, products of factors."""
-    width = len(b)
+def compose(*machines: Transducer) -> Transducer:
+    """All at once: tuples of states, products of factors."""
+    first, *rest = machines
+    if not rest:
+        return first
+    other = compose(*rest)
+    width = len(other)
 
     def arcs(state: int, kind: int) -> tuple[int, float]:
-        (next_a, factor_a), (next_b, factor_b) = a[state // width][kind], b[state % width][kind]
+        (next_a, factor_a), (next_b, factor_b) = first[state // width][kind], other[state % width][kind]
         return next_a * width + next_b, factor_a * factor_b
 
-    return _transducer(len(a) * width, arcs)
+    return _transducer(len(first) * width, arcs)
+
 
+FORWARD = compose(negation(), target(), insult(), threat_subject(), reported())
+BACKWARD = compose(target(), threat_object(), reported())
 
-GRAMMAR = compose(compose(negation(), target()), reported())
+
+def factors(machine: Transducer, kinds: list[int]) -> list[float]:
+    state, found = 0, []
+    for kind in kinds:
+        state, factor = machine[state][kind]
+        found.append(factor)
+    return found
 
 
 # --- lexicon -----------------------------------------------------------------------------------------------------
 
 
 class Lexicon(dict):
-    """(class, weight) of a word; words are looked up by their stems once and then remembered."""
+    """(class, weight) of a word; words are looked up by their stems once and then remembered.
+
+    ``stems`` has the weight of each learnt stem, and ``verbs`` those of them that are threats.
+    """
 
-    def __init__(self, stems: dict[str, float]) -> None:
-        self.stems = stems
-        self.fixed = {w: (THREAT, 1.5) for w in THREATS.split()}
-        for words, kind in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+    def __init__(self, stems: dict[str, float], verbs: Iterable[str] = ()) -> None:
+        self.stems, self.verbs = stems, frozenset(verbs)
+        self.fixed = {w: (THREAT, FIRST_WEIGHT) for w in THREATS.split()}
+        for words, kind in (
+            (BEINGS, BEING), (MODALS, MODAL), (SELVES, SELF), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT),
+        ):
             self.fixed |= {w: (kind, 0.0) for w in words.split()}
         self.fixed |= {e: (END, 0.0) for e in _ENDS}
-        self.update(self.fixed)
+        self.functions = {w for w, (kind, _) in self.fixed.items() if kind != THREAT}
+        self.update({w: self.fixed[w] for w in self.functions})
 
     def __missing__(self, word: str) -> tuple[int, float]:
         if len(self) > REMEMBERED:
             self.clear()
-            self.update(self.fixed)
-        weight = max((self.stems[s] for s in stems_of(word) if s in self.stems), default=0.0)
-        found = self[word] = (INSULT, weight) if weight else self.fixed.get(word, (OTHER, 0.0))
+            self.update({w: self.fixed[w] for w in self.functions})
+        known = [s for s in stems_of(word) if s in self.stems]
+        if known:
+            surest = max(known, key=lambda s: (self.stems[s], s))
+            # A verb that is known as a threat stays one, with the weight that was learnt.
+            kind = THREAT if surest in self.verbs or word in self.fixed else INSULT
+            found = self[word] = (kind, self.stems[surest])
+        else:
+            found = self[word] = self.fixed.get(word, (OTHER, 0.0))
         return found
 
 
@@ -134,22 +217,30 @@ def stems_of(word: str) -> Iterable[str]:
         yield word[:n]
 
 
+def clause_score(words: list[tuple[int, float]]) -> float:
+    """The weights of a clause's insults and threats, each by what stands before and behind it."""
+    kinds = [kind for kind, _ in words]
+    before, behind = factors(FORWARD, kinds), factors(BACKWARD, kinds[::-1])[::-1]
+    return sum(w * f * b for (_, w), f, b in zip(words, before, behind, strict=True) if w)
+
+
 def clause_scores(text: str, lexicon: Lexicon) -> tuple[list[float], int]:
     """Scores above zero of the clauses of a text, and its number of words and clause ends."""
     tokens = _TOKEN.findall(text.lower())
-    kinds = [lexicon[t] for t in tokens]
-    if not any(weight for _, weight in kinds):
+    words = [lexicon[t] for t in tokens]
+    scores, begin = [], 0
+    # Most clauses have no word with a weight; only the others are read.
+    weighty = [i for i, (_, weight) in enumerate(words) if weight]
+    if not weighty:
         return [], len(tokens)
-    scores, state, score = [], 0, 0.0
-    for kind, weight in kinds:
-        state, factor = GRAMMAR[state][kind]
-        score += weight * factor
-        if kind == END:
-            if score:
-                scores.append(score)
-            score = 0.0
-    if score:
-        scores.append(score)
+    ends = [i for i, (kind, _) in enumerate(words) if kind == END] + [len(words)]
+    at = 0
+    for end in ends:
+        if at < len(weighty) and weighty[at] < end:
+            scores.append(clause_score(words[begin:end]))
+            while at < len(weighty) and weighty[at] < end:
+                at += 1
+        begin = end + 1
     return scores, len(tokens)
 
 
@@ -181,11 +272,23 @@ def _unlike(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return kept
 
 
-def learn_stems(rows: list[tuple[str, int]]) -> dict[str, float]:
-    """Stems that occur in far more toxic texts than others, with their log odds; a stem stands for its longer ones."""
+def learn_stems(rows: list[tuple[str, int]]) -> tuple[dict[str, float], list[str]]:
+    """Stems that occur in far more toxic texts than others, with their log odds, and which of them are threats.
+
+    A stem stands for its longer ones. It is a threat if it mostly has somebody
+    right behind it in toxic texts: then it is what is done to them.
+    """
+    objects, functions = frozenset(TARGETS.split()), Lexicon({}).functions
     counts = (Counter(), Counter())
+    places, aimed = Counter(), Counter()
     for text, toxic in rows:
-        counts[toxic].update({s for w in set(_TOKEN.findall(text.lower())) for s in stems_of(w)})
+        tokens = _TOKEN.findall(text.lower())
+        counts[toxic].update({s for w in set(tokens) - functions for s in stems_of(w)})
+        if toxic:
+            for word, after in zip(tokens, [*tokens[1:], ""], strict=True):
+                for stem in stems_of(word):
+                    places[stem] += 1
+                    aimed[stem] += after in objects
     n_toxic = sum(toxic for _, toxic in rows)
     n_other = len(rows) - n_toxic
     found = {}
@@ -199,7 +302,8 @@ def learn_stems(rows: list[tuple[str, int]]) -> dict[str, float]:
         if odds >= LEAST_ODDS and sure >= LEAST_DEVIATIONS:
             found[stem] = (sure, odds)
     surest = sorted(found, key=lambda s: (-found[s][0], s))[:LEXICON]
-    return {s: float(min(found[s][1], 6.0)) for s in surest}
+    weights = {s: float(min(found[s][1], 6.0)) for s in surest}
+    return weights, sorted(s for s in weights if aimed[s] >= OBJECT_SHARE * places[s])
 
 
 def fit(x: np.ndarray, y: np.ndarray, importance: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -251,23 +355,24 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     for i, row in enumerate(sample):
         parts[i % 2].append(row)
     if len(sizes) < 2 or not parts[1]:
-        return {"stems": {}, "weights": weights}
+        return {"stems": {}, "verbs": [], "weights": weights}
     x, y = [], []
     for mine, other in (parts, parts[::-1]):
-        lexicon = Lexicon(learn_stems(mine))
+        lexicon = Lexicon(*learn_stems(mine))
         x += [features(text, lexicon) for text, _ in other]
         y += [toxic for _, toxic in other]
     y = np.array(y, dtype=float)
     ones = max(y.sum(), 1.0)
     importance = np.where(y == 1, share / ones, (1 - share) / max(len(y) - ones, 1.0)) * len(y)
-    return {"stems": learn_stems(sample), "weights": fit(np.array(x), y, importance)}
+    stems, verbs = learn_stems(sample)
+    return {"stems": stems, "verbs": verbs, "weights": fit(np.array(x), y, importance)}
 
 
 def _score_all(shared: Broadcast[dict]):
     @F.pandas_udf("double")
     def of_texts(texts: pd.Series) -> pd.Series:
         model = shared.value
-        lexicon = Lexicon(model["stems"])
+        lexicon = Lexicon(model["stems"], model["verbs"])
         return pd.Series([probability(t, lexicon, model["weights"]) for t in texts], dtype="float64")
 
     return of_texts
@@ -277,10 +382,12 @@ def with_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``score`` (0 to 1, higher for toxic) and ``predicted`` (score of 0.5 or more), replacing such columns.
 
     Clauses end at . ! ? ; and line ends. In a clause, insults and threats add
-    their weights, more if somebody is named before, less after a negation or in
-    reported speech; four features of the clause scores give the probability.
-    Whole texts are read; null and empty ones score like texts without a match.
-    The broadcast model has LEXICON entries at most.
+    their weights: insults more if somebody is named in the clause or said to be
+    one, threats more after "I will" and before whom they hit, both less after a
+    negation or in reported speech. Four features of the clause scores give the
+    probability. Whole texts of any length are read; null and empty ones score
+    like texts without a match, repeated rows alike. An empty table gives no
+    row. The broadcast model has LEXICON entries at most.
     """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
     scored = docs.drop("score", "predicted").withColumn("score", _score_all(model)("text"))
