@@ -32,9 +32,14 @@ def build_session(app_name: str = "farekit", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, else a folder of the warehouse."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``; on one machine also a folder of the warehouse.
+
+    A cluster without the setting is refused: its warehouse may be the driver's own folder.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_farekit"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)

@@ -7,6 +7,7 @@ import random
 import statistics
 from datetime import date
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -275,3 +276,27 @@ def test_what_a_job_stages_is_removed(spark):
     with pytest.raises(Exception, match="(?i)not exist|no such|not.found"):
         spark.read.parquet(path).count()
     assert kept.count() == 3 and scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+@pytest.mark.parametrize(("master", "refused"), [("local", False), ("local[4]", False), ("local-cluster[2,1,1024]", True), ("spark://host:7077", True)])
+def test_a_cluster_must_name_its_shared_folder(master, refused):
+    class Context:
+        def __init__(self):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    def session(**settings):
+        return SimpleNamespace(sparkContext=Context(), conf=SimpleNamespace(get=lambda name, *other: settings.get(name, *other)))
+
+    alone = session(**{"spark.sql.warehouse.dir": "file:/work/warehouse"})
+    if refused:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(alone)
+    else:
+        assert shared_dir(alone) == "file:/work/warehouse/_farekit"
+    assert shared_dir(session(**{"spark.checkpoint.dir": "hdfs:/shared/"})) == "hdfs:/shared"
