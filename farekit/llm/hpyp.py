@@ -37,8 +37,11 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 # Rounds of messages between cells and words; sweeps of each round, of which the first half is not averaged.
 ROUNDS = 2
 SWEEPS = 4
-# Customers of a dish that a sweep takes up: all, or so many at random.
-VISITS = 8
+# Customers of a dish up to which the law of its tables is tabled; below, terms of such laws that are held at a time.
+TABLED = 1024
+# Tables, by customers to the power of the discount, up to which the law of more customers comes from an expansion.
+EXPANDED = 2.5
+TERMS = 4_000_000
 # Text that is reduced to pairs at a time, and text hashed at a time.
 BLOCK_BYTES = 15_000_000
 HASHED_BYTES = 1_000_000
@@ -195,6 +198,74 @@ def _requests(side: int):
 # --- seating -----------------------------------------------------------------------------------------------------
 
 
+def _log_partitions(most: int, discount: float) -> np.ndarray:
+    """Entry (c, t): the log of the summed weights of all seatings of c customers at t tables.
+
+    A table with k customers weighs (1 - discount)(2 - discount)...(k - 1 - discount). One more customer sits
+    down at a new table, or at one of t old ones, which weigh c - discount x t in all.
+    """
+    table = np.full((most + 1, most + 1), -np.inf)
+    table[1, 1] = 0.0
+    for c in range(1, most):
+        table[c + 1, 1 : c + 1] = table[c, 1 : c + 1] + np.log(c - discount * np.arange(1, c + 1))
+        table[c + 1, 2 : c + 2] = np.logaddexp(table[c + 1, 2 : c + 2], table[c, 1 : c + 1])
+    return table
+
+
+def _log_many(customers: int, t: np.ndarray, discount: float) -> np.ndarray:
+    """The same for many customers, but for a term of c alone: log of 1 / t! [x^c] (1 - (1 - x)^discount)^t / discount^t.
+
+    For few tables the coefficient is the sum over the binomial expansion, whose terms fall like c^-discount; for more
+    it is that of the saddle point of its generating function, whose error falls with t and hardly differs between
+    neighbours.
+    """
+    c = np.full(len(t), float(customers))
+    ratio = c / t
+    # The saddle point solves x g'(x) / g(x) = c / t for g = 1 - (1 - x)^discount; v = 1 - x is found on a log scale.
+    low, high = np.full(len(c), -700.0), np.full(len(c), -1e-12)
+    for _ in range(60):
+        middle = (low + high) / 2
+        v = np.exp(middle)
+        above = discount * (1 - v) * np.exp(middle * (discount - 1)) > -ratio * np.expm1(middle * discount)
+        low, high = np.where(above, middle, low), np.where(above, high, middle)
+    v = np.exp(low)
+    g = -np.expm1(low * discount)
+    spread = c * np.maximum(1 + (1 - discount) * (1 - v) / v - ratio, 1e-12)
+    log_x = np.log1p(-v)
+    gamma = np.array([math.lgamma(x + 1) for x in range(int(t.max()) + 1)]) if len(t) else np.zeros(1)
+    coefficient = t * np.log(g) - c * log_x - 0.5 * np.log(2 * np.pi * spread)
+    few = np.flatnonzero(t <= EXPANDED * c**discount)
+    if len(few):
+        n = float(customers)
+        binomial, total = np.zeros(len(few)), np.zeros(len(few))
+        for j in range(1, min(int(t[few].max()), 120) + 1):
+            with np.errstate(divide="ignore"):
+                binomial += np.log(np.maximum(t[few] - j + 1, 0)) - math.log(j)
+            if abs(discount * j - round(discount * j)) > 1e-9:
+                scale = math.lgamma(n - discount * j) - math.lgamma(n - discount)
+                total += (-1) ** j * np.exp(binomial + scale) / math.gamma(-discount * j)
+        coefficient[few] = np.log(np.maximum(total, 1e-300)) + math.lgamma(n - discount) - math.lgamma(n + 1)
+    return coefficient - t * math.log(discount) - gamma[t]
+
+
+def _middle(c: np.ndarray, fresh: np.ndarray, discount: float) -> np.ndarray:
+    """About the mean number of tables: that of the tilted law whose mean number of customers is c."""
+    low, high = np.full(len(c), -700.0), np.full(len(c), -1e-12)
+    for _ in range(60):
+        middle = (low + high) / 2
+        above = fresh * (-np.expm1(middle)) * np.exp(middle * (discount - 1)) > c
+        low, high = np.where(above, middle, low), np.where(above, high, middle)
+    return np.clip(fresh / discount * -np.expm1(low * discount), 1, c)
+
+
+def _draw(logs: np.ndarray, first: np.ndarray, rng: np.random.Generator, sweeps: int) -> np.ndarray:
+    """Independent draws of first + place by rows of log weights; one column a sweep."""
+    weights = np.exp(logs - logs.max(axis=1, keepdims=True))
+    upto = np.cumsum(weights, axis=1)
+    chance = rng.random((len(logs), sweeps)) * upto[:, -1:]
+    return first[:, None] + (upto[:, None, :] <= chance[:, :, None]).sum(axis=2)
+
+
 def seat(
     customers: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator, sweeps: int = SWEEPS
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -204,68 +275,41 @@ def seat(
     restaurant) x probability of the dish in the parent. A table with k
     customers weighs k - discount. No customer means no table, one customer one.
 
-    Customers come in first, each doubling of their number at once, joining the
-    table of an earlier one or a new one. Then Gibbs sweeps: a customer leaves,
-    and sits down again by the weights given all others.
+    A sweep reseats all customers of a dish at once, given everything else: a
+    Gibbs step that draws the number of its tables from its law, fresh^t times
+    the weight of all seatings at t tables. Up to TABLED customers the law is
+    tabled; beyond, its terms come from an expansion or the saddle point, and
+    only those within ten standard deviations of the middle are looked at. The cost of a draw
+    does not grow with the number of customers.
     """
     tables = (customers > 0).astype(np.float64)
     last = (customers > 0).astype(np.int64)
     many = np.flatnonzero(customers > 1)
     if not len(many):
         return tables, last
+    many = many[np.argsort(customers[many], kind="stable")]
     c, w = customers[many].astype(np.int64), np.maximum(fresh[many], 1e-300)
-    begin = np.cumsum(c) - c
-    label = np.zeros(int(c.sum()), dtype=np.int64)
-    t = np.ones(len(c), dtype=np.int64)
-    done = 1
-    while len(more := np.flatnonzero(c > done)):
-        n = np.minimum(c[more], 2 * done) - done
-        who = np.repeat(more, n)
-        seat_no = done + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
-        new = rng.random(len(who)) * (w[who] + seat_no - discount * t[who]) < w[who]
-        friend = label[begin[who] + (rng.random(len(who)) * done).astype(np.int64)]
-        label[begin[who] + seat_no] = np.where(new, seat_no, friend)
-        t += np.bincount(who, new, len(c)).astype(np.int64)
-        done *= 2
-    size = np.bincount(np.repeat(begin, c) + label, minlength=len(label))
-    total, kept = np.zeros(len(c)), 0
-    for sweep in range(sweeps):
-        for visit in range(VISITS):
-            i = np.flatnonzero(c > visit)
-            if not len(i):
-                break
-            here = begin[i]
-            j = here + np.where(c[i] <= VISITS, visit, (rng.random(len(i)) * c[i]).astype(np.int64))
-            left = here + label[j]
-            size[left] -= 1
-            emptied = size[left] == 0
-            t[i] -= emptied
-            new = rng.random(len(i)) * (w[i] + c[i] - 1 - discount * t[i]) < w[i]
-            chosen = left - here
-            # A new table takes the empty place just left, or else any empty one; there is one for each customer.
-            open_ = np.flatnonzero(new & ~emptied)
-            while len(open_):
-                at = (rng.random(len(open_)) * c[i[open_]]).astype(np.int64)
-                free = size[here[open_] + at] == 0
-                chosen[open_[free]] = at[free]
-                open_ = open_[~free]
-            # An old table is that of another customer, taken with probability (size - discount) / size.
-            open_ = np.flatnonzero(~new)
-            while len(open_):
-                other = here[open_] + (rng.random(len(open_)) * c[i[open_]]).astype(np.int64)
-                at = label[other]
-                seats = size[here[open_] + at]
-                taken = (other != j[open_]) & (rng.random(len(open_)) * seats < seats - discount)
-                chosen[open_[taken]] = at[taken]
-                open_ = open_[~taken]
-            label[j] = chosen
-            size[here + chosen] += 1
-            t[i] += new
-        if sweep >= sweeps // 2:
-            total += t
-            kept += 1
-    tables[many] = total / max(kept, 1) if kept else t
-    last[many] = t
+    drawn = np.empty((len(many), sweeps), dtype=np.int64)
+    small = int(np.searchsorted(c, TABLED, side="right"))
+    partitions = _log_partitions(int(c[small - 1]), discount) if small else np.zeros((1, 1))
+    begin = 0
+    while begin < small:
+        # Dishes with equal numbers of customers side by side, a bounded number of terms at a time.
+        n = int(c[begin])
+        end = min(int(np.searchsorted(c, n, side="right")), begin + max(1, TERMS // (n * sweeps)))
+        logs = partitions[n, 1 : n + 1] + np.arange(1, n + 1) * np.log(w[begin:end, None])
+        drawn[begin:end] = _draw(logs, np.ones(end - begin, dtype=np.int64), rng, sweeps)
+        begin = end
+    middle = _middle(c[small:].astype(np.float64), w[small:], discount)
+    reach = (10 * np.sqrt(middle) + 10).astype(np.int64)
+    least = np.maximum(middle.astype(np.int64) - reach, 1)
+    most = np.minimum(middle.astype(np.int64) + reach, c[small:] - 1)
+    for i, (a, b) in enumerate(zip(least, most, strict=True)):
+        t = np.arange(a, b + 1)
+        logs = _log_many(int(c[small + i]), t, discount) + t * np.log(w[small + i])
+        drawn[small + i] = _draw(logs[None], np.array([a]), rng, sweeps)[0]
+    tables[many] = drawn[:, sweeps // 2 :].mean(axis=1)
+    last[many] = drawn[:, -1]
     return tables, last
 
 

@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -44,6 +45,48 @@ def test_tables_follow_the_restaurant():
     assert tables[:2].tolist() == last[:2].tolist() == [0, 1] and 1 <= tables[2] <= 5000
 
 
+def exact_mean(customers, fresh, discount):
+    """The mean number of tables by whole numbers of seatings: weights of t tables, one customer after the other."""
+    weights = [Fraction(0), Fraction(1)]
+    d, w = Fraction(discount).limit_denominator(1000), Fraction(fresh).limit_denominator(1000)
+    for c in range(1, customers):
+        old = [*weights, Fraction(0)]
+        weights = [Fraction(0)] + [old[t - 1] + (c - d * t) * old[t] for t in range(1, c + 2)]
+    terms = [w**t * x for t, x in enumerate(weights)]
+    return float(sum(t * x for t, x in enumerate(terms)) / sum(terms))
+
+
+@pytest.mark.parametrize(("customers", "tabled"), [(4, 1024), (20, 1024), (100, 1024), (400, 1024), (400, 10)])
+def test_the_number_of_tables_follows_its_exact_law(monkeypatch, customers, tabled):
+    """Also by the way for more than a thousand customers, on fewer."""
+    monkeypatch.setattr(hpyp, "TABLED", tabled)
+    rng = np.random.default_rng(2)
+    for fresh in (0.05, 1.0, 5.0, 50.0):
+        for discount in (0.8, 0.6):
+            tables, last = hpyp.seat(np.full(4000, customers), np.full(4000, fresh), discount, rng, 8)
+            exact = exact_mean(customers, fresh, discount)
+            assert tables.mean() == pytest.approx(exact, rel=0.03), (fresh, discount)
+            assert 1 <= last.min() and last.max() <= customers
+
+
+def test_the_law_for_many_customers_continues_the_tabled_one():
+    for discount in (0.8, 0.6, 0.5):
+        table = hpyp._log_partitions(1500, discount)[1500]
+        t = np.concatenate([np.arange(1, 40), np.arange(40, 1400, 17)])
+        off = hpyp._log_many(1500, t, discount) - table[t]
+        # Up to a term of the number of customers alone.
+        assert np.abs(off - off[-1]).max() < 0.015
+
+
+def test_many_customers_cost_no_more_and_stay_in_the_law():
+    """Large numbers: the mean of the saddle point's law near that of the tilted one, also where most tables are single."""
+    rng = np.random.default_rng(3)
+    for customers, fresh in ((10**5, 5.0), (10**7, 300.0), (10**7, 1e-6), (5000, 1e6), (10**9, 1e4)):
+        tables, last = hpyp.seat(np.full(20, customers), np.full(20, fresh), 0.8, rng, 8)
+        middle = hpyp._middle(np.array([float(customers)]), np.array([fresh]), 0.8)[0]
+        assert abs(tables.mean() - middle) < 2 + 0.1 * middle and 1 <= last.min() <= last.max() <= customers
+
+
 def test_base_and_counts_equal_brute_force(spark, data_dir):
     found = {r.doc_id: r for r in queries.QUERIES["op1_hpyp_score"](spark, data_dir).collect()}
     rows = spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "text").collect()
