@@ -18,8 +18,12 @@ from farekit.session import stage
 END_ID = 2
 # Ids of one shard in the mean: what one task compresses and one reader opens.
 SHARD_IDS = 1_000_000
-# A pair that occurs less often in a shard is no rule: it would cost as much as it saves.
-FEWEST = 16
+# Ranges of documents at most; a range of more ids is cut into shards where it is sorted, so that the exchange between
+# tasks and ranges does not grow with the square of the table.
+RANGES = 4096
+# A pair that occurs less often in a shard is no rule. A rule costs two symbols and, mostly, a byte for its length; each
+# occurrence saves one symbol.
+FEWEST = 3
 _TABLE_BITS = 18
 # Runs of letters a task remembers; the store starts anew when it is full.
 REMEMBERED = 1_000_000
@@ -58,8 +62,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.nda
     documents. Frequent pairs are replaced in rounds: all pairs of at least a
     given count at once, overlapping ones from the left, the count falling from
     a thousandth of the shard to FEWEST. Rule k stands for symbol first_rule + k
-    and uses earlier symbols only. The rules end where symbols do, or when a
-    last round shortens the sequence by less than a two-hundredth.
+    and uses earlier symbols only. The rules end where symbols do, or when no
+    pair is left that pays.
     """
     bits = symbol_bits(first_rule)
     kind = np.uint32 if bits == 16 else np.uint64
@@ -100,8 +104,6 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.nda
         keep[at + 1] = False
         body, last = body[keep], last[keep]
         made += len(used)
-        if least == FEWEST and len(at) < len(body) // 200:
-            break  # what is left would be found a few pairs at a time
         least = max(FEWEST, least // 8)
     narrow = f"<u{bits // 8}"
     empty = np.empty(0, dtype=narrow)
@@ -116,6 +118,17 @@ def _slots(codes: np.ndarray) -> np.ndarray:
     return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
+def _narrow(lengths: np.ndarray) -> bytes:
+    """Lengths in the fewest bytes that hold the largest; the number of rules tells how many that are."""
+    largest = int(lengths.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if largest < 1 << 8 * w)
+    return lengths.astype(f"<u{width}").tobytes()
+
+
+def _wide(raw: bytes, rules: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{len(raw) // rules}").astype(np.int64) if rules else np.empty(0, dtype=np.int64)
+
+
 def rule_lengths(left: np.ndarray, right: np.ndarray, first_rule: int) -> np.ndarray:
     """How many ids each rule stands for."""
     lengths: list[int] = []
@@ -150,7 +163,7 @@ def decode(shard: dict, start: int = 0, stop: int | None = None) -> np.ndarray:
     first = shard["first_rule"]
     narrow = f"<u{symbol_bits(first) // 8}"
     left, right, body = (np.frombuffer(shard[n], dtype=narrow) for n in ("rule_left", "rule_right", "body"))
-    lengths = np.frombuffer(shard["rule_length"], dtype="<i8")
+    lengths = _wide(shard["rule_length"], len(left))
     stop = shard["n_ids"] if stop is None else min(stop, shard["n_ids"])
     if stop <= start:
         return np.empty(0, dtype=np.int32)
@@ -340,7 +353,7 @@ def _shard_of(doc_ids: list, pieces: list[bytes], part: int, piece: int, first_r
         "first_rule": first_rule,
         "rule_left": left.tobytes(),
         "rule_right": right.tobytes(),
-        "rule_length": rule_lengths(left, right, first_rule).astype("<i8").tobytes(),
+        "rule_length": _narrow(rule_lengths(left, right, first_rule)),
         "body": body.tobytes(),
     }
     return pa.RecordBatch.from_pylist([shard], schema=_ARROW)
@@ -374,7 +387,9 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
     Null texts are empty, null ids come first, equal ids are ordered by a hash
     of their ids; an empty table gives no shard. Encoding happens where the
     texts lie. Only ids move: they are ranged by doc_id into parts of about
-    SHARD_IDS ids, and each part is sorted and compressed by its own task. The
+    SHARD_IDS ids, or into RANGES larger ones that are cut into shards of twice
+    as many at most; each part is sorted and compressed by its own task. Texts
+    of any length are encoded whole, and extra columns are ignored. The
     tokenizer file is read here and sent along, so executors need no copy.
     """
     from tokenizers import Tokenizer
@@ -388,7 +403,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
     total = encoded.agg(F.sum("n_ids")).first()[0] or 0
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids").asc()]
     parts = (
-        encoded.repartitionByRange(max(1, -(-total // SHARD_IDS)), *order)
+        encoded.repartitionByRange(min(max(1, -(-total // SHARD_IDS)), RANGES), *order)
         .sortWithinPartitions(*order)
         .select("doc_id", F.spark_partition_id().alias("part"), "ids")
     )

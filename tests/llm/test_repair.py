@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +45,33 @@ def test_any_stretch_can_be_read_back(first_rule):
     assert len(repair.decode(shard, 5, 5)) == 0
 
 
+def test_every_pair_that_pays_becomes_a_rule():
+    """No pair is left that occurs often enough, unless symbols have run out; lengths take as few bytes as they can."""
+    dice = random.Random(4)
+    ids = np.array([i for _ in range(4000) for i in dice.choice([[1, 2, 3], [4, 5], [1, 5, 2, 2], [9] * 7])], dtype=np.int32)
+    left, right, body = repair.compress(ids, np.array([len(ids)]), 300)
+    pairs = Counter(zip(body[::1].tolist(), body[1:].tolist(), strict=False))
+    # Pairs of one symbol overlap themselves; the others cannot.
+    assert max(n for (a, b), n in pairs.items() if a != b) < repair.FEWEST
+    lengths = repair.rule_lengths(left, right, 300)
+    for largest in (255, 256, 70_000, 2**33):
+        some = np.append(lengths, largest)
+        raw = repair._narrow(some)
+        assert (repair._wide(raw, len(some)) == some).all() and len(raw) == len(some) * {255: 1, 256: 2, 70_000: 4, 2**33: 8}[largest]
+    assert len(repair._wide(b"", 0)) == 0
+
+
+def test_few_large_ranges_are_cut_into_shards(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(repair, "SHARD_IDS", 300)
+    monkeypatch.setattr(repair, "RANGES", 2)
+    rows = [(i, f"some words of text number {i} " * 5, "en", "a", 1) for i in range(200)]
+    path = scratch_path(spark, "few-ranges")
+    repair.write_tokens(docs(spark, rows), FILE, path)
+    shards = spark.read.parquet(path)
+    assert shards.select("part").distinct().count() <= 2 and shards.count() > 8
+    check({tuple(r) for r in repair.token_index(spark, path).collect()}, [r[:2] for r in rows], tokenizer)
+
+
 def test_encoder_equals_the_library(tokenizer):
     texts = [t or "" for _, t, *_ in ODD] + [
         "it's don't 'S we'll", "a1b2 33", "x́é é", "Straße ΣΑΣ σας", "tab\tnb sp em", "\x00\x1c\x7f a​b",
