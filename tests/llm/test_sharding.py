@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,5 +61,24 @@ def test_odd_rows_copies_and_clashing_names(spark):
     many = docs(spark, [(1, "x", "en", "a", 1)] * 900)
     placed = sharding.shard(many, 3)
     check(placed, 900, 3)
-    digest = queries.QUERIES["op6_shard"]
-    assert callable(digest)
+
+
+def test_query_equals_python_on_the_whole_table(spark, data_dir):
+    path = data_dir.replace("sf0.001", "sf0.01")
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    found = queries.QUERIES["op6_shard"](spark, path)
+    assert dict(found.dtypes) == {
+        "doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint",
+        "grown_shard": "int",
+    }
+    rows = found.collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert (r.size, r.text_crc32) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id]))
+        assert (r.law, r.grown_shard) == ("rows", None) and 0 <= r.shard < 8
+    for shard in range(8):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    check(found, len(texts), 8)
+    # The digests are placed as the documents themselves would be with the same key.
+    again = queries.QUERIES["op6_shard"](spark, path)
+    assert {(r.doc_id, r.shard, r.slot) for r in again.collect()} == {(r.doc_id, r.shard, r.slot) for r in rows}
