@@ -10,11 +10,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farekit.session import stage
+
 # Characters of a q-gram, and edits allowed per character of an item.
 Q = 8
 EDITS = 0.08
-# Items shorter than this after normalisation say too little to be looked for.
+# Items shorter than this after normalisation are looked for as they are, as whole words.
 SHORTEST = 24
+# Indexes of the benchmark that are with the executors at the same time.
+TOGETHER = 4
 # Normalised characters of the benchmark that one broadcast index holds, and of documents searched at a time.
 INDEX_CHARS = 1_000_000
 STREAM_CHARS = 1_000_000
@@ -52,6 +56,21 @@ def _stripped(codes: np.ndarray) -> np.ndarray:
     return codes[:-1] if len(codes) and codes[-1] == _SPACE else codes
 
 
+def _short_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of so many characters from each position, for sizes below Q."""
+    n = max(len(codes) - size + 1, 0)
+    h = np.zeros(n, dtype=np.uint64)
+    for i in range(size):
+        h = h * np.uint64(_BASE) + codes[i : i + n]
+    return h
+
+
+def _whole_words(stream: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether stretches of a stream begin and end where words do, or texts."""
+    edge = lambda at: (at < 0) | (at >= len(stream)) | np.isin(stream[np.clip(at, 0, len(stream) - 1)], (_SPACE, _GAP))
+    return edge(begin - 1) & edge(end)
+
+
 def _gram_hashes(codes: np.ndarray) -> np.ndarray:
     """A hash of the Q characters from each position; Q is a power of two, so log Q passes do."""
     h, width, base = codes.astype(np.uint64), 1, _BASE
@@ -66,13 +85,16 @@ def _gram_hashes(codes: np.ndarray) -> np.ndarray:
 def build_index(items: list[tuple[int, str]], letters: np.ndarray, edits: float) -> dict:
     """Q-grams of the items with their places, as plain arrays."""
     ids, codes = [], []
+    short: dict[int, list[tuple[int, int, np.ndarray]]] = {}
     for item_id, text in items:
         body = _stripped(normalised(text, letters))
-        if len(body) >= SHORTEST:
+        if len(body) >= Q:
             ids.append(item_id)
             codes.append(body)
+        elif len(body):
+            short.setdefault(len(body), []).append((int(_short_hashes(body, len(body))[0]), item_id, body))
     lengths = np.array([len(c) for c in codes], dtype=np.int64)
-    budget = np.minimum((lengths * edits).astype(np.int64), (lengths - Q) // Q)
+    budget = np.where(lengths < SHORTEST, 0, np.minimum((lengths * edits).astype(np.int64), (lengths - Q) // Q))
     grams = [_gram_hashes(c) for c in codes]
     hashes = np.concatenate(grams) if grams else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(codes)), [len(g) for g in grams])
@@ -82,7 +104,7 @@ def build_index(items: list[tuple[int, str]], letters: np.ndarray, edits: float)
     seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
     seen[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
     return {
-        "letters": letters, "ids": ids, "codes": codes, "lengths": lengths, "budget": budget,
+        "letters": letters, "short": short, "ids": ids, "codes": codes, "lengths": lengths, "budget": budget,
         # Each edit destroys Q q-grams at most, so a region within the budget shares at least this many.
         "shared": lengths - Q + 1 - Q * budget,
         "keys": keys, "first": np.append(first, len(order)), "owner": owner[order], "place": place[order], "seen": seen,
@@ -158,7 +180,7 @@ def _candidates(stream: np.ndarray, bounds: np.ndarray, index: dict) -> tuple[np
 
 def _pieces(texts: pd.Series, index: dict) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Texts for one stream at a time; a long text comes in overlapping pieces."""
-    overlap = int(index["lengths"].max() + 2 * index["budget"].max()) + Q
+    overlap = int(index["lengths"].max(initial=0) + 2 * index["budget"].max(initial=0)) + Q + 1
     rows, codes, size = [], [], 0
     for row, text in enumerate(texts):
         body = normalised(text, index["letters"])
@@ -173,16 +195,34 @@ def _pieces(texts: pd.Series, index: dict) -> Iterator[tuple[list[int], list[np.
         yield rows, codes
 
 
-def matches(texts: pd.Series, index: dict) -> list[dict[int, int]]:
+def _short_matches(stream: np.ndarray, bounds: np.ndarray, index: dict) -> Iterator[tuple[int, int | None]]:
+    """(document, item id) of every item of fewer than Q characters that stands in a document as whole words."""
+    for size, items in index["short"].items():
+        hashes = _short_hashes(stream, size)
+        wanted = np.unique(np.array([h for h, _, _ in items], dtype=np.uint64))
+        at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes)
+        at = at[_whole_words(stream, at, at + size)]
+        for h, item_id, body in items:
+            mine = at[hashes[at] == np.uint64(h)]
+            mine = mine[(stream[mine[:, None] + np.arange(size)] == body).all(axis=1)]
+            for document in np.unique(np.searchsorted(bounds, mine, side="right") - 1).tolist():
+                yield document, item_id
+
+
+def matches(texts: pd.Series, index: dict) -> list[dict[int | None, int]]:
     """For each text, the items it holds and the fewest edits of each."""
-    out: list[dict[int, int]] = [{} for _ in range(len(texts))]
-    if not index["ids"]:
+    out: list[dict[int | None, int]] = [{} for _ in range(len(texts))]
+    if not index["ids"] and not index["short"]:
         return out
-    longest = int(index["lengths"].max())
+    longest = int(index["lengths"].max(initial=0))
     gap = np.full(Q, _GAP)
     for rows, codes in _pieces(texts, index):
         stream = np.concatenate([part for c in codes for part in (c, gap)])
         bounds = np.concatenate([[0], np.cumsum([len(c) + Q for c in codes])])
+        for document, item_id in _short_matches(stream, bounds, index):
+            out[rows[document]][item_id] = 0
+        if not index["ids"]:
+            continue
         for document, item, band in zip(*_candidates(stream, bounds, index), strict=True):
             item_id, budget = index["ids"][item], int(index["budget"][item])
             known = out[rows[document]].get(item_id)
@@ -191,8 +231,13 @@ def matches(texts: pd.Series, index: dict) -> list[dict[int, int]]:
             step, wanted = max(budget, 1), index["codes"][item]
             start = int(band) * step - longest
             begin, end = int(bounds[document]), int(bounds[document + 1]) - Q
-            region = stream[max(begin, start - budget) : min(end, start + 2 * step + len(wanted) + budget)]
-            edits = align(wanted, region, budget)
+            low = max(begin, start - budget)
+            region = stream[low : min(end, start + 2 * step + len(wanted) + budget)]
+            if len(wanted) < SHORTEST:
+                at = low + np.flatnonzero([(region[i : i + len(wanted)] == wanted).all() for i in range(len(region) - len(wanted) + 1)])
+                edits = 0 if _whole_words(stream, at, at + len(wanted)).any() else None
+            else:
+                edits = align(wanted, region, budget)
             if edits is not None:
                 out[rows[document]][item_id] = edits if known is None else min(known, edits)
     return out
@@ -200,12 +245,13 @@ def matches(texts: pd.Series, index: dict) -> list[dict[int, int]]:
 
 def _indexes(benchmark: DataFrame, edits: float) -> Iterator[dict]:
     """Indexes of INDEX_CHARS characters in the mean, each built from one block of the benchmark."""
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // INDEX_CHARS)
     letters = _letters()
     for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
+        # By id and text, so that many items of one id or none make no block larger than others.
+        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         yield build_index([tuple(row) for row in mine.collect()], letters, edits)
 
 
@@ -213,18 +259,32 @@ _KIND = "array<struct<item_id: bigint, edits: int>>"
 
 
 def _search(shared: Broadcast[dict]):
+    """What was found so far with what one block adds; of an item that several blocks have, the fewest edits."""
+
     @F.pandas_udf(_KIND)
-    def search(texts: pd.Series) -> pd.Series:
-        found = matches(texts, shared.value)
-        return pd.Series([[{"item_id": i, "edits": e} for i, e in sorted(m.items())] for m in found], dtype="object")
+    def search(before: pd.Series, texts: pd.Series) -> pd.Series:
+        out = []
+        for known, found in zip(before, matches(texts, shared.value), strict=True):
+            for m in known:
+                found[m["item_id"]] = min(m["edits"], found.get(m["item_id"], m["edits"]))
+            order = sorted(found.items(), key=lambda x: (x[0] is not None, x))
+            out.append([{"item_id": i, "edits": e} for i, e in order])
+        return pd.Series(out, dtype="object")
 
     return search
 
 
 def _searched(docs: DataFrame, benchmark: DataFrame, edits: float, name: str) -> DataFrame:
-    out = docs.withColumn(name, F.array().cast(_KIND))
+    """Documents with the items found by all blocks; TOGETHER blocks a pass, the rows written in between."""
+    out, sent = docs.withColumn(name, F.array().cast(_KIND)), []
     for index in _indexes(benchmark, edits):
-        out = out.withColumn(name, F.concat(name, _search(docs.sparkSession.sparkContext.broadcast(index))("text")))
+        if len(sent) == TOGETHER:
+            out = stage(out, "matches")
+            for block in sent:
+                block.destroy()
+            sent = []
+        sent.append(docs.sparkSession.sparkContext.broadcast(index))
+        out = out.withColumn(name, _search(sent[-1])(name, "text"))
     return out
 
 
@@ -234,12 +294,17 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) ->
     Texts are compared by their letters and digits in lower case, every run of
     other characters being one space. An item is contained if some part of the
     text is within ``edits`` x its length of edits (at most one in Q characters)
-    of the whole item. Whole texts are searched; null and empty texts contain
-    nothing; items that are null or shorter than SHORTEST are not looked for;
-    equal items are all reported. An existing column ``matches`` is replaced.
+    of the whole item. Items of fewer than SHORTEST characters must stand there
+    as they are, as whole words. Whole texts of any length are searched; null
+    and empty texts contain nothing, and repeated rows the same. Null items and
+    items without a letter or digit are not looked for; items without an id are
+    reported under null; equal items are all reported, and of several items with
+    one id the fewest edits. An empty benchmark finds nothing. An existing column
+    ``matches`` is replaced.
 
     The benchmark is the query set: it goes to the executors in blocks of
-    bounded size, and every block is searched in all documents where they lie.
+    bounded size, TOGETHER of them at a time, and every block is searched in all
+    documents where they lie.
     """
     return _searched(docs, benchmark, edits, "matches")
 
