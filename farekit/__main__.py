@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame, SparkSession
+
 from farekit.plans import jobs, quoting
 from farekit.session import build_session
-from farekit.sources import readers, schemas
+from farekit.sources import inference, readers, schemas
 
 
 def _arguments() -> argparse.Namespace:
@@ -17,12 +19,14 @@ def _arguments() -> argparse.Namespace:
     report.add_argument("flights")
     report.add_argument("out")
     report.add_argument("--days", type=int, default=jobs.YEAR_DAYS, help="days the table covers")
+    report.add_argument("--infer", action="store_true", help="columns in any order, with the types their values have")
 
     train = commands.add_parser("train", help="fit the fare model on a flights CSV")
     train.add_argument("flights")
     train.add_argument("out")
     train.add_argument("--date", required=True, help="training date to record")
     train.add_argument("--preset", choices=("gbt", "rf"), default="gbt")
+    train.add_argument("--infer", action="store_true", help="columns in any order, with the types their values have")
 
     multiplier = commands.add_parser("multiplier", help="fit the price multiplier on a quotes CSV")
     multiplier.add_argument("quotes")
@@ -39,14 +43,19 @@ def _arguments() -> argparse.Namespace:
     return parser.parse_args()
 
 
+def _flights(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.infer:
+        return inference.read_inferred_csv(spark, args.flights)
+    return readers.read_typed_csv(spark, args.flights, schemas.FLIGHTS)
+
+
 def main() -> None:
     args = _arguments()
     spark = build_session()
     if args.command == "report":
-        jobs.report(readers.read_typed_csv(spark, args.flights, schemas.FLIGHTS), args.out, args.days)
+        jobs.report(_flights(spark, args), args.out, args.days)
     elif args.command == "train":
-        flights = readers.read_typed_csv(spark, args.flights, schemas.FLIGHTS)
-        jobs.train_fares(flights, args.out, args.date, args.preset)
+        jobs.train_fares(_flights(spark, args), args.out, args.date, args.preset)
     elif args.command == "multiplier":
         quotes = readers.read_typed_csv(spark, args.quotes, schemas.QUOTES)
         jobs.fit_multiplier(quotes, args.out, args.preset)

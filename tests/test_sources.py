@@ -161,3 +161,17 @@ def test_every_line_is_accepted_or_rejected_once(spark, tmp_path, streaming):
     assert all((r.reasons == ["unreadable"]) == (r[schemas.UNREADABLE] is not None) for r in bad)
     readable = {r.request_id: r.reasons for r in bad if r[schemas.UNREADABLE] is None}
     assert set(readable) == {None, 9} and "same_city" in readable[9] and len(bad) == 8
+
+
+def test_report_of_a_file_with_its_columns_in_any_order(spark, data_dir, tmp_path, monkeypatch):
+    from farekit import __main__ as command
+
+    rows = fixtures.flights(spark, data_dir)
+    names = sorted(rows.columns)
+    sinks.write_csv(rows.select(*names, F.lit("more").alias("a column more")), str(tmp_path / "csv"))
+    monkeypatch.setattr("sys.argv", ["farekit", "report", str(tmp_path / "csv"), str(tmp_path / "out"), "--infer"])
+    command.main()
+    summary = readers.read_untyped_csv(spark, str(tmp_path / "out" / "summary")).first()
+    assert int(summary.total_flights) == rows.count() and summary.avg_price.startswith("₹")
+    median = readers.read_untyped_csv(spark, str(tmp_path / "out" / "median_price")).first()
+    assert float(median["median"]) == rows.agg(F.median("price")).first()[0]
