@@ -55,10 +55,11 @@ _BLOCK = "block long, ids binary, nulls binary, sizes binary, texts binary, runs
 _ASKED = "bucket int, block long, hashes binary, counts binary"
 _TOLD = "block long, kind int, bucket int, sizes binary, values binary"
 _UNITS = "bucket int, block long, keys binary, sizes binary, texts binary, lows binary"
+_MEMBERS = "group long, length int, doc_id long, begin long"
 _OUT = "doc_id long, n_bytes long, begins array<long>, ends array<long>, kept binary"
 _KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
-ANCHORS, FIRSTS = 0, 1
+ANCHORS, FIRSTS, GROUPS = 0, 1, 2
 ALONE, SHARED, SPLIT = 0, 1, 2
 
 
@@ -106,6 +107,7 @@ def runs(data: np.ndarray, sizes: np.ndarray, length: int, anchor: int, hasher:
     np.add.at(inside, (ends - length + 1)[whole], -1)
     inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
     lengths, offsets = [], []
+    reached, anchored = -1, -1
     for begin in range(0, max(len(data) - length + 1, 0), AT_ONCE):
         valid = inside[begin : min(begin + AT_ONCE, len(data) - length + 1)]
         if not valid.any():
@@ -127,8 +129,16 @@ def runs(data: np.ndarray, sizes: np.ndarray, length: int, anchor: int, hasher:
         # Windows outside a text end a run.
         edge = np.flatnonzero(np.concatenate([new | ~valid, [True]]))
         following = edge[np.searchsorted(edge, at, side="right")]
-        lengths.append(following - at)
-        offsets.append(offset)
+        length_of = following - at
+        # The run that reached the end of the windows before goes on, if its anchor does.
+        if reached == begin and at[0] == 0 and anchored == begin + offset[0]:
+            lengths[-1][-1] += length_of[0]
+            at, offset, length_of = at[1:], offset[1:], length_of[1:]
+        if len(at):
+            anchored = begin + int(at[-1] + offset[-1])
+            lengths.append(length_of)
+            offsets.append(offset)
+        reached = begin + n if valid[-1] and inside[min(begin + n, len(inside) - 1)] else -1
     none = np.empty(0, dtype=np.int64)
     return (np.concatenate(lengths), np.concatenate(offsets)) if lengths else (none, none)
 
@@ -438,36 +448,49 @@ def first_documents(
     return result
 
 
-def _judged(shape: _Shape, at_once: int):
-    """The first documents of the windows of all units of a bucket."""
+class _Bucket:
+    """The different units of a bucket, whatever block they came from."""
 
-    def run(sent: pa.Table) -> pa.Table:
-        rows = sorted(sent.to_pylist(), key=lambda r: r["block"])
-        keys = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in rows])
-        sizes = [_unpack(r["sizes"], "<u2").astype(np.int64) for r in rows]
-        size = np.concatenate(sizes)
-        low = np.concatenate([_unpack(r["lows"], "<i8") for r in rows])
-        body = b"".join(zstandard.ZstdDecompressor().decompress(r["texts"]) for r in rows)
+    def __init__(self, sent: pa.Table, length: int) -> None:
+        self.rows = sorted(sent.to_pylist(), key=lambda r: r["block"])
+        keys = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in self.rows])
+        self.sent = [_unpack(r["sizes"], "<u2").astype(np.int64) for r in self.rows]
+        size = np.concatenate(self.sent)
+        low = np.concatenate([_unpack(r["lows"], "<i8") for r in self.rows])
+        body = b"".join(zstandard.ZstdDecompressor().decompress(r["texts"]) for r in self.rows)
         bounds = np.concatenate([[0], np.cumsum(size)])
-        # Equal units once, whatever block they came from.
         texts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(bounds.astype("<i8")), pa.py_buffer(body)])
-        which = texts.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        _, unit = np.unique(which, return_index=True)
-        lows = np.full(len(unit), LAST)
-        np.minimum.at(lows, which, low)
-        data, begins, sizes_of, group = np.frombuffer(body, np.uint8), bounds[unit], size[unit], keys[unit]
-        n = sizes_of - shape.length + 1
-        base = np.cumsum(n) - n
-        result = np.repeat(lows, n)
-        # Anchors of one unit need no array: the unit is the repeat, and its rows are the occurrences.
-        order = np.argsort(group, kind="stable")
-        edge = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
+        self.which = texts.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        _, unit = np.unique(self.which, return_index=True)
+        self.lows = np.full(len(unit), LAST)
+        np.minimum.at(self.lows, self.which, low)
+        self.data, self.begins, self.sizes, self.group = np.frombuffer(body, np.uint8), bounds[unit], size[unit], keys[unit]
+        self.windows = self.sizes - length + 1
+
+    def shards(self, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Units of some anchors with several units each, their bytes in a row, and where each begins in those.
+
+        Anchors of one unit need no array: the unit is the repeat, and its rows are the occurrences.
+        """
+        order = np.argsort(self.group, kind="stable")
+        edge = np.flatnonzero(np.concatenate([[True], self.group[order][1:] != self.group[order][:-1]]))
         members = np.diff(np.append(edge, len(order)))
-        for some in _slices(edge, members, n[order], at_once):
+        for some in _slices(edge, members, self.windows[order], at_once):
             mine = order[some]
-            take = _ranges(begins[mine], sizes_of[mine])
-            ends = np.cumsum(sizes_of[mine])
-            found = first_documents(data[take], ends - sizes_of[mine], sizes_of[mine], group[mine], lows[mine], shape.length)
+            ends = np.cumsum(self.sizes[mine])
+            yield mine, self.data[_ranges(self.begins[mine], self.sizes[mine])], ends - self.sizes[mine]
+
+
+def _judged(shape: _Shape, at_once: int):
+    """The first documents of the windows of all units of a bucket."""
+
+    def run(sent: pa.Table) -> pa.Table:
+        bucket = _Bucket(sent, shape.length)
+        rows, sizes, which, n = bucket.rows, bucket.sent, bucket.which, bucket.windows
+        base = np.cumsum(n) - n
+        result = np.repeat(bucket.lows, n)
+        for mine, data, begins in bucket.shards(at_once):
+            found = first_documents(data, begins, bucket.sizes[mine], bucket.group[mine], bucket.lows[mine], shape.length)
             result[_ranges(base[mine], n[mine])] = found
         # As stretches of windows with the same first document, unit by unit as they were sent.
         new = np.ones(len(result), dtype=bool)
@@ -493,6 +516,44 @@ def _judged(shape: _Shape, at_once: int):
     return run
 
 
+def _grouped(shape: _Shape, at_once: int):
+    """The maximal repeats of all units of a bucket: to each block, which of its units hold which of them, and where."""
+
+    def run(sent: pa.Table) -> pa.Table:
+        bucket, hasher = _Bucket(sent, shape.length), SpanHasher()
+        # A unit is a repeat of its own copies; the arrays give those that it shares with other units.
+        unit, offset, depth = [np.arange(len(bucket.sizes))], [np.zeros(len(bucket.sizes), dtype=np.int64)], [bucket.sizes]
+        for mine, data, begins in bucket.shards(at_once):
+            suffixes = SuffixArray.of(data, begins, bucket.sizes[mine], bucket.group[mine], shape.length)
+            length, first, last = suffixes.maximal(data, begins)
+            member = _ranges(first, last - first + 1)
+            unit.append(mine[suffixes.unit[member]])
+            offset.append(suffixes.offset[member])
+            depth.append(np.repeat(length, last - first + 1))
+        unit, offset, depth = (np.concatenate(x) for x in (unit, offset, depth))
+        # A unit that is a prefix of another one is found by itself and in the array.
+        unit, offset, depth = np.unique(np.stack([unit, offset, depth]), axis=1)
+        at = bucket.begins[unit] + offset
+        name = hasher.hashes(bucket.data, at, at + depth)
+        begin = np.searchsorted(unit, np.arange(len(bucket.sizes) + 1))
+        done, out = 0, []
+        for row, s in zip(bucket.rows, bucket.sent, strict=True):
+            mine = bucket.which[done : done + len(s)]
+            done += len(s)
+            count = begin[mine + 1] - begin[mine]
+            of = _ranges(begin[mine], count)
+            request = np.repeat(np.arange(len(s)), count)
+            out.append(
+                {
+                    "block": row["block"], "kind": GROUPS, "bucket": row["bucket"],
+                    "sizes": _pack(np.concatenate([request, offset[of], depth[of]]), "<u4"), "values": _pack(name[of], "<u8"),
+                }
+            )
+        return _rows(out, _TOLD)
+
+    return run
+
+
 def _slices(edge: np.ndarray, members: np.ndarray, n: np.ndarray, at_once: int) -> Iterator[np.ndarray]:
     """Places of the units whose anchor has several, some anchors at a time and each anchor whole."""
     several = np.flatnonzero(members > 1)
@@ -560,6 +621,79 @@ def _cut(shape: _Shape):
     return run
 
 
+def _placed(shape: _Shape):
+    """Where the occurrences of every group stand in the documents of a block."""
+
+    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+        tables, told_rows = [], told.to_pylist()
+        for row in blocks.to_pylist():
+            block = _Block(row, shape)
+            members = {r["bucket"]: r for r in told_rows if r["kind"] == GROUPS}
+            # All runs of a unit, one after the other.
+            order = np.argsort(block.which, kind="stable")
+            begin = np.searchsorted(block.which[order], np.arange(len(block.unit) + 1))
+            lengths = block.lengths[block.unit]
+            base = np.cumsum(lengths) - lengths
+            text_begin = np.cumsum(block.sizes) - block.sizes
+            for b, _, _, _, _, answer in block.requests(block.codes(told_rows)):
+                request, offset, depth = np.split(_unpack(members[b]["sizes"], "<u4").astype(np.int64), 3)
+                name = _unpack(members[b]["values"], "<u8").view("<i8")
+                # A request is a unit, or one window of it.
+                unit = np.searchsorted(base, answer[request], side="right") - 1
+                inner = answer[request] - base[unit] + offset
+                count = begin[unit + 1] - begin[unit]
+                run_of = order[_ranges(begin[unit], count)]
+                document = block.document[run_of]
+                place = block.starts[run_of] + np.repeat(inner, count) - text_begin[document]
+                arrays = [
+                    pa.array(np.repeat(name, count), pa.int64()), pa.array(np.repeat(depth, count).astype(np.int32)),
+                    pa.array(block.ids[document], mask=block.nulls[document]), pa.array(place, pa.int64()),
+                ]
+                tables.append(pa.Table.from_arrays(arrays, schema=_schema(_MEMBERS)))
+        return pa.concat_tables(tables) if tables else _rows([], _MEMBERS)
+
+    return run
+
+
+def _prepared(
+    docs: DataFrame, length: int, anchor: int | None, hot: int, block_bytes: int
+) -> tuple[_Shape, DataFrame, DataFrame, DataFrame]:
+    """Blocks of texts, which of their anchors are shared, and the units of those by bucket."""
+    spark = docs.sparkSession
+    anchor = anchor or max(1, round(length * ANCHOR / LENGTH))
+    shape = _Shape(length, anchor, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), hot)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("body"))
+    blocks = stage(narrow.mapInArrow(_packed(length, anchor, block_bytes), _BLOCK), "blocks")
+    asked = blocks.mapInArrow(_asked(shape), _ASKED)
+    told = stage(asked.groupBy("bucket").applyInArrow(_answered(shape), _TOLD), "anchors")
+    units = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_sent(shape), _UNITS)
+    return shape, blocks, told, units
+
+
+def repeat_groups(
+    docs: DataFrame, length: int = LENGTH, *, anchor: int | None = None, hot: int = HOT, block_bytes: int = BLOCK_BYTES,
+    sorted_at_once: int = SORTED,
+) -> DataFrame:
+    """(group, length, doc_id, begin): every maximal repeat of ``length`` bytes or more with all of its occurrences.
+
+    ``group`` is a hash of the repeated bytes, ``begin`` counts bytes. Repeats
+    are maximal within the stretch around one anchor, so a longer passage comes
+    as several overlapping groups whose occurrences run side by side, and under
+    an anchor that is split each window is a group. Only groups that stand in
+    several documents are given. Odd rows fare as in ``without_repeats``; null
+    ids count as one document.
+    """
+    shape, blocks, told, units = _prepared(docs, length, anchor, hot, block_bytes)
+    groups = stage(units.groupBy("bucket").applyInArrow(_grouped(shape, sorted_at_once), _TOLD), "groups")
+    answers = told.union(groups)
+    members = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_placed(shape), _MEMBERS), "members")
+    # Null counts as the last id, as everywhere here.
+    document = F.coalesce("doc_id", F.lit(LAST))
+    several = members.groupBy(F.col("group").alias("__group")).agg(F.min(document).alias("low"), F.max(document).alias("high"))
+    several = stage(several.where("low < high").select("__group"), "several")
+    return members.join(several, F.col("group") == F.col("__group")).drop("__group")
+
+
 def without_repeats(
     docs: DataFrame, length: int = LENGTH, *, anchor: int | None = None, hot: int = HOT, block_bytes: int = BLOCK_BYTES,
     sorted_at_once: int = SORTED,
@@ -580,14 +714,7 @@ def without_repeats(
     The number of buckets is ``spark.sql.shuffle.partitions``; a bucket holds
     its share of 9 bytes for every 12 bytes of text.
     """
-    spark = docs.sparkSession
-    anchor = anchor or max(1, round(length * ANCHOR / LENGTH))
-    shape = _Shape(length, anchor, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), hot)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("body"))
-    blocks = stage(narrow.mapInArrow(_packed(length, anchor, block_bytes), _BLOCK), "blocks")
-    asked = blocks.mapInArrow(_asked(shape), _ASKED)
-    told = stage(asked.groupBy("bucket").applyInArrow(_answered(shape), _TOLD), "anchors")
-    units = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_sent(shape), _UNITS)
+    shape, blocks, told, units = _prepared(docs, length, anchor, hot, block_bytes)
     firsts = stage(units.groupBy("bucket").applyInArrow(_judged(shape, sorted_at_once), _TOLD), "firsts")
     answers = told.union(firsts)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(shape), _OUT)

@@ -71,6 +71,41 @@ def test_split_anchors_give_the_same(spark, hot):
     assert rows_of(repeats.without_repeats(docs(spark, rows).repartition(3), 20, hot=hot, block_bytes=1500)) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_groups_have_all_their_occurrences(spark, seed):
+    """Every place where a group's bytes stand, no other; together they cover what is removed."""
+    rows = [(i, *r[1:]) for i, r in enumerate(passages(seed, n=40))]
+    texts = {r[0]: r[1].encode() for r in rows}
+    found = repeats.repeat_groups(docs(spark, rows).repartition(3), 20, block_bytes=2000, sorted_at_once=50).collect()
+    by_group = {}
+    for r in found:
+        by_group.setdefault((r.group, r.length), []).append((r.doc_id, r.begin))
+    assert len({g for g, _ in by_group}) == len(by_group) > 20
+    covered = {i: bytearray(len(t)) for i, t in texts.items()}
+    for (_, length), members in by_group.items():
+        doc, begin = members[0]
+        text = texts[doc][begin : begin + length]
+        wanted = {(i, p) for i, t in texts.items() for p in range(len(t) - length + 1) if t[p : p + length] == text}
+        assert len(text) == length >= 20 and len(members) == len(set(members)) and set(members) == wanted
+        first = min(d for d, _ in members)
+        for doc, begin in members:
+            if doc > first:
+                covered[doc][begin : begin + length] = b"\1" * length
+    for doc_id, _, begins, ends, _ in brute(rows, 20):
+        gone = bytearray(len(texts[doc_id]))
+        for a, b in zip(begins, ends, strict=True):
+            gone[a:b] = b"\1" * (b - a)
+        assert gone == covered[doc_id]
+
+
+def test_groups_of_odd_rows(spark):
+    assert repeats.repeat_groups(docs(spark, [])).count() == 0
+    found = repeats.repeat_groups(crowded(docs(spark), "group", "length")).collect()
+    assert {r.doc_id for r in found} == {6, 7} and len({r.group for r in found}) * 3 == len(found)
+    split = repeats.repeat_groups(docs(spark), hot=1).collect()
+    assert {r.length for r in split} == {50} and {r.doc_id for r in split} == {6, 7}
+
+
 def test_odd_rows(spark):
     rows = [*ODD, (3, "x" * 49, "en", "a", 1), (8, "x" * 50, "en", "a", 1), (9, "x" * 51, "en", "a", 1), (-5, "y\0" * 40, "en", "a", 1),
             (10, "y\0" * 40 + "x" * 49, "en", "a", 1), (11, "y\0" * 25 + "x" * 50 + "z", "en", "a", 1)]
@@ -95,6 +130,8 @@ def test_runs_cover_every_window_and_equal_windows_share_their_anchor(monkeypatc
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts), np.uint8)
     lengths, offsets = repeats.runs(data, sizes, 20, 9, SpanHasher())
+    monkeypatch.setattr(repeats, "AT_ONCE", 10**9)
+    assert all((a == b).all() for a, b in zip((lengths, offsets), repeats.runs(data, sizes, 20, 9, SpanHasher()), strict=True))
     windows = [t[p : p + 20] for t in texts for p in range(len(t) - 19)]
     assert lengths.sum() == len(windows) and lengths.max() <= 12
     run = np.repeat(np.arange(len(lengths)), lengths)
