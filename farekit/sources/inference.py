@@ -5,9 +5,9 @@ other text. A column's type is the smallest that holds all the sorts it has:
 
     null < int < long < double < string,   null < date < string
 
-The sorts of a column are bits, so one ``bit_or`` per column folds them in the
-map tasks, and one row of small numbers reaches the driver however many rows or
-files there are.
+The sorts of a column are bits, so ``bit_or`` by column folds them in the map
+tasks, and a number a column reaches the driver however many rows or files
+there are.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from farekit.sources import readers
 
 INT, LONG, DOUBLE, DATE, TEXT = 1, 2, 4, 8, 16
 
+_SHORT = r"^[+-]?[0-9]{1,9}$"
+_WHOLE = r"^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _NOT_FINITE = ("NaN", "Inf", "+Inf", "-Inf", "Infinity", "-Infinity")
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
@@ -28,14 +30,15 @@ _CODE = r"^[+-]?0[0-9]+$"
 
 def sort_of(text: Column, *, codes_as_text: bool = False) -> Column:
     """The bit of a value's sort; 0 for null and empty text."""
-    # Casts to whole numbers are cheap and trim blanks; the patterns fail at the first letter of a text.
-    plain = F.trim(text) == text
+    # Patterns first: a cast that fails costs an exception, so only what looks right is cast.
+    long = text.try_cast("bigint")
+    whole = F.when(long.between(-(2**31), 2**31 - 1), INT).when(long.isNotNull(), LONG).otherwise(DOUBLE)
     sort = F.when(text.isNull() | (text == ""), 0)
     if codes_as_text:
         sort = sort.when(text.rlike(_CODE), TEXT)
     return (
-        sort.when(text.try_cast("int").isNotNull() & plain, INT)
-        .when(text.try_cast("bigint").isNotNull() & plain, LONG)
+        sort.when(text.rlike(_SHORT), INT)
+        .when(text.rlike(_WHOLE), whole)
         .when(text.rlike(_NUMBER) | text.isin(*_NOT_FINITE), DOUBLE)
         .when((F.length(text) == 10) & text.rlike(_DATE) & text.try_cast("date").isNotNull(), DATE)
         .otherwise(TEXT)
@@ -64,12 +67,11 @@ def inferred_schema(texts: DataFrame, *, codes_as_text: bool = False) -> T.Struc
     """
     if not texts.columns:
         return T.StructType([])
-    folded = [
-        F.coalesce(F.bit_or(sort_of(F.col(_quoted(name)), codes_as_text=codes_as_text)), F.lit(0)).alias(f"c{i}")
-        for i, name in enumerate(texts.columns)
-    ]
-    sorts = texts.agg(*folded).first()
-    return T.StructType([T.StructField(name, type_of(sorts[i])) for i, name in enumerate(texts.columns)])
+    # A row per value keeps the expression as small for a thousand columns as for one.
+    values = texts.select(F.posexplode(F.array(*[F.col(_quoted(name)) for name in texts.columns])).alias("column", "text"))
+    folded = values.groupBy("column").agg(F.bit_or(sort_of(F.col("text"), codes_as_text=codes_as_text)).alias("sorts"))
+    sorts = {row["column"]: row["sorts"] for row in folded.collect()}
+    return T.StructType([T.StructField(name, type_of(sorts.get(i, 0))) for i, name in enumerate(texts.columns)])
 
 
 def typed(texts: DataFrame, schema: T.StructType) -> DataFrame:
