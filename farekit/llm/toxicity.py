@@ -18,6 +18,9 @@ from farekit.session import stage
 # Labelled rows of each class that the lexicon and the weights are learnt from, chosen by a hash of the text.
 SAMPLE_ROWS = 3000
 PARTS = 16
+# Characters of the examples of each class in all; longer texts than the second number are no examples.
+SAMPLE_CHARS = 12_000_000
+EXAMPLE_CHARS = 200_000
 # Prefixes of words that may become insults, and what one needs: texts it occurs in, log odds, standard deviations.
 STEM_LETTERS = (4, 5, 6, 7, 8)
 LEAST_TEXTS = 3
@@ -327,7 +330,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
 
     SAMPLE_ROWS labels of each class are taken by a hash of the id, before any
     text is touched; that bounds the broadcast, and as many texts of each class
-    at most reach the driver. Of two halves each gives the lexicon by which the
+    at most reach the driver, whole ones of EXAMPLE_CHARS characters each and
+    SAMPLE_CHARS in all. Of two halves each gives the lexicon by which the
     other is scored, so that the weights see words as new texts have them; in
     the end the lexicon is learnt from all. The classes weigh as in the whole
     table. Rows without text or with another label are no examples. Without
@@ -346,7 +350,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     chosen = stage(chosen, "toxicity-sample")
     texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     again = Window.partitionBy("toxic").orderBy("n", "text")
-    sampled = texts.select("toxic", "n", "text").withColumn("k", F.row_number().over(again)).where(F.col("k") <= SAMPLE_ROWS)
+    sampled = (
+        texts.select("toxic", "n", "text").where(F.length("text") <= EXAMPLE_CHARS)
+        .withColumn("k", F.row_number().over(again))
+        .withColumn("chars", F.sum(F.length("text")).over(again.rowsBetween(Window.unboundedPreceding, 0)))
+        .where((F.col("k") <= SAMPLE_ROWS) & (F.col("chars") <= SAMPLE_CHARS))
+    )
     sample = _unlike([(r["text"], r["toxic"]) for r in sampled.orderBy("toxic", "k").collect()])
     share = sizes.get(1, 0) / max(sum(sizes.values()), 1)
     weights = np.zeros(FEATURES)

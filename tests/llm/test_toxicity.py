@@ -119,6 +119,18 @@ def test_held_out_accuracy(spark, data_dir):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_examples_are_bounded_in_characters(spark, monkeypatch):
+    """Long texts are no examples, and examples end where their characters do; what is left decides."""
+    rows = [(i, ("scum you " if i % 2 else "house tree ") * 20 + f"n{i}", "en", "a", 1) for i in range(80)]
+    rows += [(100, "wretch " * 40_000, "en", "a", 1), (101, "wretch " * 40_000, "en", "a", 1)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(100, 1), (101, 1)], "doc_id long, toxic int")
+    given = docs(spark, rows)
+    every = toxicity.learn(given, labels)
+    assert "scum$" in every["stems"] and "wretch$" not in every["stems"]
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 100)
+    assert toxicity.learn(given, labels)["stems"] == {}
+
+
 def test_odd_rows(spark):
     labels = spark.createDataFrame([(5, 1), (6, 0), (7, None), (None, 1), (4, 3)], "doc_id long, toxic int")
     found = toxicity.with_toxicity(crowded(docs(spark), "score", "predicted", "toxic"), labels).collect()
