@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -314,12 +316,25 @@ def _with_ends(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
     return np.insert(ids, np.cumsum(counts), end_id)
 
 
+def _encoder(tokenizer_json: str) -> Encoder:
+    """The encoder of this worker process: one, whatever the number of its tasks, with the runs it remembers.
+
+    Functions reach the workers by value, so a task has no module of this package to keep things in.
+    """
+    kept = sys.modules.setdefault("_farekit_kept", types.ModuleType("_farekit_kept"))
+    name = f"encoder_{zlib.crc32(tokenizer_json.encode())}_{len(tokenizer_json)}"
+    if not hasattr(kept, name):
+        kept.__dict__.clear()
+        setattr(kept, name, Encoder(tokenizer_json))
+    return getattr(kept, name)
+
+
 def _encode(tokenizer_json: str, end_id: int, kind: str):
     """Batches of (doc_id, body) to (doc_id, n_ids, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer_json)
+        encoder = _encoder(tokenizer_json)
         for batch in batches:
             start = 0
             while start < batch.num_rows:

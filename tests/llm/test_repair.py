@@ -84,6 +84,15 @@ def test_encoder_equals_the_library(tokenizer):
             assert piece.tolist() == brute(tokenizer, t)[:-1], t[:40]
 
 
+def test_a_worker_has_one_encoder_at_a_time(tokenizer, monkeypatch):
+    monkeypatch.setattr(repair, "Encoder", lambda text: [text])
+    first = repair._encoder("one tokenizer")
+    assert repair._encoder("one tokenizer") is first
+    other = repair._encoder("another one")
+    assert other == ["another one"] and repair._encoder("another one") is other
+    assert repair._encoder("one tokenizer") is not first
+
+
 def check(found, rows, tokenizer):
     start = 0
     for doc_id, text in rows:
