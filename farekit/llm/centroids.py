@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farekit.session import scratch_path, stage
+from farekit.session import stage, stage_bucketed
 
 CLUSTERS = 8
 ROUNDS = 10
@@ -284,14 +283,7 @@ class _Bucketed:
         self.spark, self.parts = spark, int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
-        name = f"farekit_{label}_{uuid.uuid4().hex}"
-        writer = df.write.format("parquet").bucketBy(self.parts, "block").option("path", scratch_path(self.spark, label))
-        writer.saveAsTable(name)
-        try:
-            return self.spark.table(name)
-        finally:
-            # The catalogue's entry only: the files stay, and what was read from it keeps its layout.
-            self.spark.sql(f"DROP TABLE {name}")
+        return stage_bucketed(df, label, "block", self.parts)
 
 
 # --- the fit -----------------------------------------------------------------------------------------------------

@@ -8,7 +8,8 @@ suffixes that begin with equal windows are found under one anchor. Windows in a
 row with the same anchor are a run; a run with the bytes its windows cover is a
 unit of about 60 bytes, and a shard sorts the suffixes of its units.
 
-1. Texts are packed into blocks, cut into runs, and written.
+1. Texts are packed into blocks, cut into runs, and written, bucketed by block:
+   what buckets answer goes to the blocks, which stay where they are.
 2. Blocks tell each bucket of anchors which it has; buckets answer which of them
    stand in several documents. Nothing else is looked at again.
 3. Blocks send the units of those anchors, equal units once. An anchor with very
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farekit.llm.spans import SpanHasher, distinct
-from farekit.session import stage
+from farekit.session import stage, stage_bucketed
 
 LENGTH = 50
 # Bytes of an anchor. Shorter ones are fewer but stand in more places by chance.
@@ -79,6 +80,20 @@ def _unpack(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=kind)
 
 
+def _pack_leading(hashes: np.ndarray) -> bytes:
+    """The leading 40 bits of ascending hashes, as differences byte by byte: about half of the 8 bytes of each."""
+    leading = hashes >> np.uint64(24)
+    steps = np.diff(leading, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return _pack(np.ascontiguousarray(steps[:, :5].T), "u1")
+
+
+def _unpack_leading(raw: bytes) -> np.ndarray:
+    planes = _unpack(raw, "u1").reshape(5, -1)
+    steps = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    steps[:, :5] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of every stretch, one after the other."""
     sizes = sizes.astype(np.int64)
@@ -285,7 +300,7 @@ def _asked(shape: _Shape):
                 keys, counts, several = block.anchors()
                 rows = [
                     {
-                        "bucket": b, "block": block.name, "hashes": keys[at].tobytes(),
+                        "bucket": b, "block": block.name, "hashes": _pack_leading(keys[at]),
                         "counts": _pack(np.minimum(counts[at], 1 << 30) * 2 + several[at], "<u4"),
                     }
                     for b, at in shape.by_bucket(keys)
@@ -296,11 +311,16 @@ def _asked(shape: _Shape):
 
 
 def _answered(shape: _Shape):
-    """Which anchors of each block stand in several documents, and which have too many units for one shard."""
+    """Which anchors of each block stand in several documents, and which have too many units for one shard.
+
+    Anchors are told apart by 40 bits and the bucket. Two that agree in those
+    share an answer in all blocks, at worst that units are sent or split for nothing;
+    the units themselves go by all 64 bits.
+    """
 
     def run(asked: pa.Table) -> pa.Table:
         rows = asked.to_pylist()
-        hashes = [np.frombuffer(r["hashes"], "<u8") for r in rows]
+        hashes = [_unpack_leading(r["hashes"]) for r in rows]
         packed = np.concatenate([_unpack(r["counts"], "<u4") for r in rows]).astype(np.int64)
         _, first, which = distinct(np.concatenate(hashes))
         blocks = np.bincount(which, minlength=len(first))
@@ -663,7 +683,7 @@ def _prepared(
     anchor = anchor or max(1, round(length * ANCHOR / LENGTH))
     shape = _Shape(length, anchor, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), hot)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("body"))
-    blocks = stage(narrow.mapInArrow(_packed(length, anchor, block_bytes), _BLOCK), "blocks")
+    blocks = stage_bucketed(narrow.mapInArrow(_packed(length, anchor, block_bytes), _BLOCK), "blocks", "block")
     asked = blocks.mapInArrow(_asked(shape), _ASKED)
     told = stage(asked.groupBy("bucket").applyInArrow(_answered(shape), _TOLD), "anchors")
     units = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_sent(shape), _UNITS)

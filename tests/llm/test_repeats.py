@@ -181,3 +181,30 @@ def test_query_agrees_with_sql_and_brute_force(spark, data_dir):
     table = spark.read.parquet(f"{data_dir}/documents.parquet")
     rows = [tuple(r) for r in table.select("doc_id", "text").collect()]
     assert rows_of(repeats.without_repeats(table)) == brute(rows, 50)
+
+
+def test_blocks_stay_where_they_are(spark):
+    """The blocks hold all texts; only what is told about them may be shuffled."""
+    found = repeats.without_repeats(docs(spark, passages(0)), 20, block_bytes=2000)
+    plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    initial = plan[plan.index("AdaptiveSparkPlan") :]
+    assert initial.count("Exchange hashpartitioning(block") == 1 and "Bucketed: true" in initial
+
+
+def test_leading_bits_of_anchors_go_there_and_back():
+    hashes = np.unique(np.random.default_rng(1).integers(0, 1 << 64, 3000, dtype=np.uint64))
+    for some in (hashes, hashes[:1], hashes[:0], np.array([0, 1, (1 << 64) - 1], dtype=np.uint64)):
+        assert (repeats._unpack_leading(repeats._pack_leading(some)) == some >> np.uint64(24)).all()
+    assert len(repeats._pack_leading(hashes)) < 0.6 * hashes.nbytes
+
+
+def test_anchors_that_agree_in_their_leading_bits_share_the_answer():
+    shape = repeats._Shape(50, 28, 1, 4)
+    row = lambda block, hashes, counts: {
+        "bucket": 0, "block": block, "hashes": repeats._pack_leading(np.array(hashes, np.uint64)),
+        "counts": repeats._pack(np.array(counts), "<u4"),
+    }
+    far = 1 << 60
+    told = repeats._answered(shape)(repeats._rows([row(1, [5, far], [2, 2]), row(2, [6, 2 * far], [2, 3])], repeats._ASKED))
+    codes = {r["block"]: repeats._unpack(r["values"], "u1").tolist() for r in told.to_pylist()}
+    assert codes == {1: [repeats.SHARED, repeats.ALONE], 2: [repeats.SHARED, repeats.SHARED]}
