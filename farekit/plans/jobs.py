@@ -101,7 +101,7 @@ def fit_multiplier(
         model = multiplier.stored_pipeline(**overrides).fit(train)
     else:
         label, prediction = "price_ratio", "predicted_ratio"
-        model = multiplier.notebook_pipeline(**overrides).fit(train)
+        model = multiplier.fit_machine(multiplier.notebook_pipeline(**overrides), train)
     sinks.save_model(model, f"{out}/model")
     metrics = encode.regression_metrics(model.transform(held_out), label, prediction)
     sinks.write_csv(metrics.withColumn("training_percent", F.lit(percent)), f"{out}/metrics")

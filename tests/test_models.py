@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -122,3 +123,62 @@ def test_large_tables_take_several_turns(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     with session.even_parts(spark.range(250 * cores)) as dealt:
         assert dealt.rdd.getNumPartitions() == 3 * cores and dealt.count() == 250 * cores
+
+
+def _ratio_rows(spark, data_dir):
+    rows, _, _ = multiplier.training_ratios(inputs.ratios(spark, data_dir), "fare_key")
+    return rows.withColumn("price_multiplier", F.col("price_ratio"))
+
+
+def _coefficients(model):
+    machine = model.stages[-1]
+    return np.concatenate([[machine.intercept], machine.linear.toArray(), machine.factors.toArray().ravel()])
+
+
+@pytest.mark.parametrize("pipeline", [multiplier.notebook_pipeline, multiplier.stored_pipeline])
+@pytest.mark.parametrize(
+    "overrides", [{}, {"fitIntercept": False, "maxIter": 9}, {"fitLinear": False, "maxIter": 9}, {"tol": 0.1}, {"solver": "gd", "maxIter": 3}]
+)
+def test_machine_from_moments_is_the_one_from_rows(spark, data_dir, pipeline, overrides):
+    rows = _ratio_rows(spark, data_dir)
+    ours, theirs = multiplier.fit_machine(pipeline(**overrides), rows), pipeline(**overrides).fit(rows)
+    assert _coefficients(ours) == pytest.approx(_coefficients(theirs), rel=1e-9, abs=1e-11)
+    set_in = lambda m: {p.name: v for p, v in m.stages[-1].extractParamMap().items()}
+    assert set_in(ours) == set_in(theirs)
+    path = scratch_path(spark, "machine")
+    sinks.save_model(ours, path)
+    loaded = readers.load_model(path)
+    assert (_coefficients(loaded) == _coefficients(ours)).all()
+    prediction = ours.stages[-1].getPredictionCol()
+    scored = [m.transform(rows).select("fare_key", prediction) for m in (loaded, theirs)]
+    far = scored[0].join(scored[1].toDF("fare_key", "theirs"), "fare_key").agg(F.max(F.abs(F.col(prediction) - F.col("theirs"))))
+    assert far.first()[0] < 1e-9
+
+
+@pytest.mark.parametrize("fit_of", ["notebook_fit"])
+def test_machine_passes_over_its_rows_once(spark, data_dir, monkeypatch, fit_of):
+    """Jobs of a fit do not grow with its steps; FMRegressor runs one in each."""
+    monkeypatch.setattr(inputs, "_fits", {})
+    group = f"jobs of {fit_of}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        model = getattr(inputs, fit_of)(spark, data_dir)[0]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < model.stages[-1].getMaxIter() - 10
+
+
+def test_rows_that_the_library_refuses_are_refused(spark):
+    for label, days in ((None, 2), (float("nan"), 2), (1.0, float("inf")), (1.0, None)):
+        rows = spark.createDataFrame([(1.0, 0.0, 1.0), (float(days) if days else None, 1.0, label)], "days_left double, class_numeric double, price_ratio double")
+        with pytest.raises(Exception):
+            multiplier.notebook_pipeline(maxIter=2).fit(rows)
+        with pytest.raises(Exception):
+            multiplier.fit_machine(multiplier.notebook_pipeline(maxIter=2), rows)
+
+
+def test_many_inputs_are_fitted_row_by_row(spark):
+    rows = spark.range(200).selectExpr("CAST(id % 30 AS INT) days_left", "CONCAT('c', id % 9) classx", "id % 7 / 4.0D price_multiplier")
+    ours, theirs = (f(multiplier.stored_pipeline(maxIter=4)) for f in (lambda p: multiplier.fit_machine(p, rows), lambda p: p.fit(rows)))
+    assert ours.stages[-1].numFeatures > multiplier.MOMENT_INPUTS
+    assert _coefficients(ours) == pytest.approx(_coefficients(theirs), rel=1e-9, abs=1e-11)
