@@ -98,7 +98,7 @@ def fit_multiplier(
         label, prediction = "price_multiplier", "predicted_multiplier"
         train = train.withColumnRenamed("price_ratio", label)
         held_out = held_out.withColumnRenamed("price_ratio", label)
-        model = multiplier.stored_pipeline(**overrides).fit(train)
+        model = multiplier.fit_machine(multiplier.stored_pipeline(**overrides), train)
     else:
         label, prediction = "price_ratio", "predicted_ratio"
         model = multiplier.fit_machine(multiplier.notebook_pipeline(**overrides), train)

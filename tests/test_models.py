@@ -155,7 +155,7 @@ def test_machine_from_moments_is_the_one_from_rows(spark, data_dir, pipeline, ov
     assert far.first()[0] < 1e-9
 
 
-@pytest.mark.parametrize("fit_of", ["notebook_fit"])
+@pytest.mark.parametrize("fit_of", ["notebook_fit", "stored_fit"])
 def test_machine_passes_over_its_rows_once(spark, data_dir, monkeypatch, fit_of):
     """Jobs of a fit do not grow with its steps; FMRegressor runs one in each."""
     monkeypatch.setattr(inputs, "_fits", {})
