@@ -57,3 +57,14 @@ def test_query_without_sql_gives_rows(spark, data_dir, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_the_pipeline_of_another_copy_does_not_count(tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(os.path.join(root, "farekit"), copy / "farekit", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), copy)
+    listing = "import __spark_entry__ as e; print(*e.queries())"
+    env = {**os.environ, "PYTHONPATH": root}
+    said = subprocess.run([sys.executable, "-c", listing], cwd=copy, env=env, capture_output=True, text=True, check=True).stdout.split()
+    assert "pipeline" not in said and "s01_typed_scan" in said
