@@ -91,3 +91,38 @@ def test_bins_hold_about_equal_numbers_of_rows():
     assert trees.bin_limits(np.array([1.0, 1.0, 2.0, 4.0]), 32).tolist() == [1.5, 3.0]
     limits = trees.bin_limits(np.arange(1000.0), 10)
     assert len(limits) == 9 and np.diff(np.searchsorted(np.arange(1000.0), limits)).tolist() == [100] * 8
+
+
+def test_bundles_give_the_columns_histograms_whatever_depends_on_what():
+    rng = np.random.default_rng(5)
+    a, c = rng.integers(0, 4, 500), rng.integers(0, 30, 500)
+    codes = np.stack([a, a // 2, c, rng.integers(0, 30, 500), rng.integers(0, 30, 500)]).astype(np.uint8)
+    columns = trees._columns([3, 2], [np.arange(29.0)] * 3, np.ones(8))
+    groups = trees.choose_groups(codes, columns, 8)
+    assert (0, 1) in groups and sorted(j for group in groups for j in group) == list(range(5))
+    keys = [np.unique(trees._joint(codes, group, columns)) if len(group) > 1 else None for group in groups]
+    bundles = trees.Bundles.of(columns, groups, keys)
+    node, y = rng.integers(0, 3, 500), rng.integers(-50, 50, 500).astype(float)
+    plain, bundled, squares = np.zeros((2, 3, columns.starts[-1])), np.zeros((2, 3, bundles.starts[-1])), np.zeros(3)
+    trees._add(plain, squares, columns, node, codes, y, None)
+    trees._add(bundled, squares, bundles, node, bundles.encode(codes, columns), y, None)
+    assert (bundles.by_column(bundled, columns) == plain).all()
+
+
+def test_groups_with_too_many_combinations_fall_apart(tables, monkeypatch):
+    """What the first blocks show need not hold for all rows; the trees are the same with any groups."""
+    found, of = [], trees._bundles
+    monkeypatch.setattr(trees, "_bundles", lambda *a: found.append(of(*a)) or found[-1])
+    joined = training.fit_fare_model(tables.train, maxIter=2)
+    monkeypatch.setattr(trees, "BUNDLE_CODES", 1)
+    single = training.fit_fare_model(tables.train, maxIter=2)
+    assert len(found[0].groups) < len(found[1].groups) == len(found[1].decoded)
+    both = _predicted(joined, tables.held_out, "a").join(_predicted(single, tables.held_out, "b"), "fare_key")
+    assert both.where(F.abs(F.col("a") - F.col("b")) > 1e-6).isEmpty()
+
+
+def test_models_are_stored_as_the_library_stores_them(tables, tmp_path):
+    """A model survives its own writer and reader, nodes included."""
+    model = training.fit_fare_model(tables.train, maxIter=2).stages[-1]
+    model.save(str(tmp_path / "model"))
+    assert type(model).load(str(tmp_path / "model")).toDebugString == model.toDebugString
