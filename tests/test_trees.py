@@ -126,3 +126,13 @@ def test_models_are_stored_as_the_library_stores_them(tables, tmp_path):
     model = training.fit_fare_model(tables.train, maxIter=2).stages[-1]
     model.save(str(tmp_path / "model"))
     assert type(model).load(str(tmp_path / "model")).toDebugString == model.toDebugString
+
+
+def test_forest_is_the_same_however_blocks_trees_and_nodes_are_put_together(tables, monkeypatch):
+    models = [training.fit_fare_model(tables.train, "rf", numTrees=3, maxDepth=4)]
+    for name in ("BLOCKS_TOGETHER", "TREES_TOGETHER", "NODES_TOGETHER"):
+        monkeypatch.setattr(trees, name, 2)
+    models.append(training.fit_fare_model(tables.train, "rf", numTrees=3, maxDepth=4))
+    a, b = (_predicted(model, tables.held_out, name) for model, name in zip(models, "ab", strict=True))
+    share = a.join(b, "fare_key").agg(F.avg((F.abs(F.col("a") - F.col("b")) < 1e-6).cast("int"))).first()[0]
+    assert share >= 0.99
