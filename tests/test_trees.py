@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from farekit.catalog import inputs
 from farekit.plans import training, trees
-from farekit.session import even_parts
+from farekit.session import even_parts, stage
 
 
 @pytest.fixture(scope="module")
@@ -136,3 +139,74 @@ def test_forest_is_the_same_however_blocks_trees_and_nodes_are_put_together(tabl
     a, b = (_predicted(model, tables.held_out, name) for model, name in zip(models, "ab", strict=True))
     share = a.join(b, "fare_key").agg(F.avg((F.abs(F.col("a") - F.col("b")) < 1e-6).cast("int"))).first()[0]
     assert share >= 0.99
+
+
+def test_fits_keep_no_copy_of_their_rows(tables, monkeypatch):
+    """Rows are neither dealt out nor held whole: their codes alone are, once."""
+
+    def refuse(*_):
+        raise AssertionError("rows held whole")
+
+    for module in (trees, training):
+        monkeypatch.setattr(module, "even_parts", refuse, raising=False)
+    seen = []
+    stage = trees.stage
+    monkeypatch.setattr(trees, "stage", lambda df, *a, **k: seen.append(df.columns) or stage(df, *a, **k))
+    model = training.fit_fare_model(tables.train, maxIter=2)
+    assert seen == [["part", "seq", "n", "codes", "labels", "hashes"]]
+    assert model.transform(tables.held_out).where("predicted_price IS NULL").isEmpty()
+
+
+def test_prepared_stages_are_the_library_s(tables):
+    """Labels with nulls, equal counts and several lengths, and numbers with gaps, as the library's own fits have them."""
+    gaps = {"airline": F.when(F.crc32("fare_key") % 5 > 0, F.col("airline")), "distance_km": F.when(F.crc32("fare_key") % 7 > 0, F.col("distance_km"))}
+    rows = tables.train.limit(700).withColumns(gaps).localCheckpoint()
+    *before, machine = training.fare_pipeline().getStages()
+    ours, kept, n = trees._prepared(before, rows, F.col("price").cast("double"))
+    theirs = Pipeline(stages=before).fit(rows).stages
+    assert n == rows.where(kept).count() == Pipeline(stages=before).fit(rows).transform(rows).count() < 700
+    assert ours[0].labelsArray == theirs[0].labelsArray and ours[1].categorySizes == theirs[1].categorySizes
+    assert np.allclose(ours[3].std.toArray(), theirs[3].std.toArray(), rtol=1e-9, atol=1e-12)
+    assert np.allclose(ours[3].mean.toArray(), theirs[3].mean.toArray(), rtol=1e-9, atol=1e-12)
+    assert ours[0].transform(rows).exceptAll(theirs[0].transform(rows)).isEmpty()
+
+
+def test_leaves_are_found_as_by_walking():
+    rng = np.random.default_rng(7)
+    columns = trees._columns([5, 3], [np.arange(20.0), np.arange(9.0)], np.ones(10))
+    codes = np.stack([rng.integers(0, w, 3000) for w in columns.widths]).astype(np.uint8)
+    keys = np.unique(trees._joint(codes, (0, 2), columns))
+    bundles = trees.Bundles.of(columns, [(0, 2), (1,), (3,)], [keys, None, None])
+    for depth in (1, 3, 6, 8):
+        tree = trees.Tree()
+        for level in range(depth):
+            found = np.zeros((len(tree.open), 8))
+            found[:, 3] = rng.integers(-1 if level else 0, len(columns.slot), len(tree.open))
+            tree.grow(columns, found, level == depth - 1)
+        numbers = np.arange(len(tree.child))
+        walked = trees._walk(trees._steps(tree, numbers, bundles, numbers), depth, bundles.encode(codes, columns))
+        assert (trees._targets(tree, bundles, numbers)(bundles.encode(codes, columns)) == walked).all()
+
+
+def test_draws_follow_the_row_and_have_their_law():
+    hashes = np.random.default_rng(9).integers(0, 2**32, 200_000, dtype=np.uint32)
+    turns = [trees._mixed(hashes, trees._salt(42, turn)) < np.uint32(0.8 * 2**32) for turn in (3, 4)]
+    assert [t.mean() for t in turns] == pytest.approx([0.8, 0.8], abs=0.005) and (turns[0] & turns[1]).mean() == pytest.approx(0.64, abs=0.005)
+    order = np.argsort(hashes)
+    assert (trees._mixed(hashes[order], trees._salt(42, 3)) == trees._mixed(hashes, trees._salt(42, 3))[order]).all()
+    drawn = trees._poisson(1.0, trees._mixed(hashes, trees._salt(42, 5)))
+    assert drawn.mean() == pytest.approx(1, abs=0.01) and drawn.var() == pytest.approx(1, abs=0.02) and (drawn == 0).mean() == pytest.approx(np.exp(-1), abs=0.005)
+
+
+def test_staging_leaves_no_shuffle_behind(spark):
+    """What made a staged table is gone once it is written, and the setting is as before."""
+    files = lambda: set(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|").split("|"))
+    shuffled = lambda: {f for f in files() if "shuffle_" in f}
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    staged = stage(spark.range(100_000).repartition(4, "id"), "shuffled")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and staged.count() == 100_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
