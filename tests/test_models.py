@@ -182,3 +182,26 @@ def test_many_inputs_are_fitted_row_by_row(spark):
     ours, theirs = (f(multiplier.stored_pipeline(maxIter=4)) for f in (lambda p: multiplier.fit_machine(p, rows), lambda p: p.fit(rows)))
     assert ours.stages[-1].numFeatures > multiplier.MOMENT_INPUTS
     assert _coefficients(ours) == pytest.approx(_coefficients(theirs), rel=1e-9, abs=1e-11)
+
+
+def test_quotes_take_their_names_from_the_staged_rows(spark, data_dir, fit, monkeypatch):
+    """The tables are not joined again for the vocabularies, and names and roles are the same."""
+    known = inputs.vocabularies(spark, data_dir)
+
+    def refuse(*_):
+        raise AssertionError("joined again")
+
+    monkeypatch.setattr(inputs, "vocabularies", refuse)
+    monkeypatch.setattr(inputs, "fare_fit", lambda *_: fit)
+    names = inputs.quote_context(spark, data_dir).names
+    for ours, theirs in ((names.airlines, known.airlines), (names.cities, known.cities)):
+        assert sorted(ours.collect()) == sorted(theirs.collect())
+
+
+def test_fits_are_not_scored_before_a_score_is_asked_for(spark, data_dir, monkeypatch):
+    asked = []
+    monkeypatch.setattr(inputs, "once", lambda spark, key, make: make())
+    monkeypatch.setattr(training, "fit_fare_model", lambda train, preset: None)
+    monkeypatch.setattr(inputs.encode, "regression_metrics", lambda *_: asked.append(1))
+    inputs.fare_fit(spark, data_dir)
+    assert not asked
