@@ -210,3 +210,11 @@ def test_staging_leaves_no_shuffle_behind(spark):
         time.sleep(0.1)
     assert shuffled() <= before and staged.count() == 100_000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_residuals_taken_anew_are_the_same(tables, monkeypatch):
+    models = [training.fit_fare_model(tables.train, maxIter=5)]
+    monkeypatch.setattr(trees, "FRESH_ROUNDS", 2)
+    models.append(training.fit_fare_model(tables.train, maxIter=5))
+    a, b = (_predicted(model, tables.held_out, name) for model, name in zip(models, "ab", strict=True))
+    assert a.join(b, "fare_key").where(F.abs(F.col("a") - F.col("b")) > 1e-6).isEmpty()
